@@ -32,17 +32,20 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` through the cluster's shared checkpoint folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all machines share: ``spark.checkpoint.dir``.
 
-    The folder is ``spark.checkpoint.dir``; only where that is unset (tests on
-    one machine) a temporary folder stands in.
+    Only where that is unset (tests on one machine) a temporary folder stands in.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="riskweave-"))
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="riskweave-"))
+    return spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage of ``df`` through the shared checkpoint folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
