@@ -11,6 +11,8 @@ from riskweave.llm import (
     line_dedup,
     line_rules,
     mixture,
+    quality_knn,
+    secret_scan,
     sharding,
     simhash_ball,
 )
@@ -22,11 +24,21 @@ def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+def op2_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document."""
+    return quality_knn.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document the mix takes."""
     return mixture.mix(table(spark, sf_dir, "documents"))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows found in every document."""
     found = decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -58,7 +70,9 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_html_extract,
+        op2_quality_knn,
         op3_mixture,
+        op4_secret_scan,
         op5_decontaminate,
         op6_sharding,
         op7_line_rules,
