@@ -11,6 +11,7 @@ from riskweave.llm import (
     line_dedup,
     line_rules,
     mixture,
+    pseudonyms,
     quality_knn,
     secret_scan,
     sharding,
@@ -66,6 +67,11 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_ball.classes(table(spark, sf_dir, "documents"))
 
 
+def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text with pseudonyms for personal data."""
+    return pseudonyms.protect(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -78,22 +84,23 @@ QUERIES = {
         op7_line_rules,
         op8_line_dedup,
         op9_simhash,
+        op10_pseudonyms,
     )
 }
 
 #: The words of a text as a list, and 10-word windows, in DuckDB.
 _OP5 = r"""
 WITH d AS (
-  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w FROM documents
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents
 ), i AS (
-  SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w FROM benchmark
+  SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark
 ), wins AS (
   SELECT item_id, least(len(w), 10) AS n, array_to_string(w[s:s + 9], ' ') AS win FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM i WHERE len(w) > 0)
-), at AS (
+), places AS (
   SELECT doc_id, s, n, array_to_string(w[s:s + n - 1], ' ') AS win
   FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, (SELECT DISTINCT n FROM wins) WHERE len(w) >= n)
 ), hits AS (
-  SELECT DISTINCT doc_id, s, at.n, item_id FROM at JOIN wins USING (win)
+  SELECT DISTINCT doc_id, s, places.n, item_id FROM places JOIN wins USING (win)
 ), per AS (
   SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hits) GROUP BY doc_id
 ), items AS (
@@ -109,8 +116,8 @@ _NOTICES = " OR ".join(f"contains(lower(line), '{n}')" for n in line_rules.NOTIC
 _OP7 = rf"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t,
-         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM documents
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM documents
 ), win AS (
   SELECT doc_id, unnest(range(1, len(w) - 1)) AS s, w FROM d WHERE len(w) >= 3
 ), grams AS (
@@ -123,7 +130,7 @@ WITH d AS (
   SELECT doc_id, line, length(line) AS n, length(regexp_replace(line, '[^\p{{Lu}}]+', '', 'g')) AS up, length(regexp_replace(line, '[^\p{{L}}]+', '', 'g')) AS letters,
     length(regexp_replace(line, '[^#*$%&|<>]+', '', 'g')) AS sym, length(regexp_replace(line, '[^|»·]+', '', 'g')) AS sep,
     len(string_split_regex(line, '[!?]{{2,}}')) - 1 AS shouts,
-    len(list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), x -> x <> '')) AS n_w FROM lines
+    len(list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS n_w FROM lines
 ), lost AS (
   SELECT doc_id, sum(CASE WHEN sym > {line_rules.MAX_SYMBOL_SHARE} * n OR shouts > {line_rules.MAX_SHOUTS}
       OR (letters >= {line_rules.MIN_LETTERS} AND up > {line_rules.MAX_UPPER_SHARE} * letters) OR sep >= {line_rules.MAX_SEPARATORS}

@@ -81,15 +81,15 @@ WITH RECURSIVE names AS (
   SELECT list(('0x' || md5('offset:' || name)[1:8])::BIGINT % {SLOTS} ORDER BY i) AS start,
          list(('0x' || md5('skip:' || name)[1:8])::BIGINT % {SLOTS - 1} + 1 ORDER BY i) AS step FROM names
 ), fill AS (
-  SELECT 0 AS turn, start AS at, step, [NULL::BIGINT for x in range({SLOTS})] AS owner, NULL::BIGINT AS slot, NULL::BIGINT AS shard FROM prefs
+  SELECT 0 AS turn, start AS pos, step, list_transform(range({SLOTS}), lambda x: -1::BIGINT) AS owner, -1::BIGINT AS slot, -1::BIGINT AS shard FROM prefs
   UNION ALL
-  SELECT turn + 1, at[:i] || [(slot + step[i + 1]) % {SLOTS}] || at[i + 2:], step,
-         owner[:slot] || [i] || owner[slot + 2:], slot, i
-  FROM (SELECT turn, at, step, owner, i,
-               (at[i + 1] + step[i + 1] * list_filter(range({SLOTS}), j -> owner[(at[i + 1] + j * step[i + 1]) % {SLOTS} + 1] IS NULL)[1]) % {SLOTS} AS slot
-        FROM (SELECT *, turn % {SHARDS} AS i FROM fill WHERE turn < {SLOTS}))
+  SELECT turn + 1, list_concat(pos[1:i], [(slot + step[i + 1]) % {SLOTS}], pos[i + 2:{SHARDS}]), step,
+         list_concat(owner[1:slot], [i], owner[slot + 2:{SLOTS}]), slot, i
+  FROM (SELECT turn, pos, step, owner, i,
+               (pos[i + 1] + step[i + 1] * list_filter(range({SLOTS}), lambda j: owner[((pos[i + 1] + j * step[i + 1]) % {SLOTS} + 1)::BIGINT] = -1)[1]) % {SLOTS} AS slot
+        FROM (SELECT *, (turn % {SHARDS})::BIGINT AS i FROM fill WHERE turn < {SLOTS}))
 )
 SELECT d.doc_id, f.slot::INTEGER AS slot, f.shard::INTEGER AS shard
 FROM (SELECT doc_id, ('0x' || md5(coalesce(doc_id::VARCHAR, 'text:' || coalesce(text, '')))[1:8])::BIGINT % {SLOTS} AS slot FROM documents) d
-JOIN (SELECT slot, shard FROM fill WHERE slot IS NOT NULL) f ON f.slot = d.slot
+JOIN (SELECT slot, shard FROM fill WHERE slot >= 0) f ON f.slot = d.slot
 """
