@@ -51,6 +51,7 @@ def above_usual(counts: DataFrame, keys: list[str], x: str, level: float, usual:
 def hourly_track(fixes: DataFrame, track: str, at: str, columns: list[str]) -> DataFrame:
     """Positions at every full hour between fixes, on straight lines."""
     line = Window.partitionBy(track).orderBy(at)
+    fixes = fixes.withColumn(at, F.col(at).cast("timestamp"))
     nxt = fixes.withColumns({f"_{c}": F.lead(c).over(line) for c in [at, *columns]})
     legs = nxt.where(F.col(f"_{at}").isNotNull())
     hours = F.sequence(

@@ -1 +1,172 @@
+"""Neighbourhoods, bridges, rasters and polygons."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from riskweave.functions import cells
+from riskweave.operators import raster, spatial
+from riskweave.plans import fixtures as X
+from riskweave.plans.registry import query
+from riskweave.session import table
+
+W = f"WITH {X.SQL}"
+_NEAR = """off AS (SELECT a.r, b.c FROM (VALUES (-1), (0), (1)) a(r), (VALUES (-1), (0), (1)) b(c)),
+near AS (SELECT pgid, pgid + r * 720 + c + CASE WHEN c = -1 AND (pgid - 1) % 720 = 0 THEN 720 WHEN c = 1 AND (pgid - 1) % 720 = 719 THEN -720 ELSE 0 END AS other FROM entities, off)"""
+
+
+@query(
+    f"""{W}, {_NEAR} SELECT q.pgid, q.year, q.quarter, round(m, 6) AS near_mean, round(s, 6) AS near_sum FROM quarterly q
+    LEFT JOIN (SELECT near.pgid, year, quarter, avg(value) AS m, sum(value) AS s FROM near JOIN quarterly o ON o.pgid = other GROUP BY ALL) n USING (pgid, year, quarter)"""
+)
+def neighbour_mean_sum(spark, d):
+    out = spatial.neighbourhood(X.quarterly(spark, d), "pgid", ["year", "quarter"], "value")
+    return out.select("pgid", "year", "quarter", F.round("near_mean", 6).alias("near_mean"), F.round("near_sum", 6).alias("near_sum"))
+
+
+@query(f"{W}, {_NEAR} SELECT pgid, other::INTEGER AS other FROM near WHERE other BETWEEN 1 AND 259200 AND other <> pgid")
+def dateline_neighbours(spark, d):
+    return X.entities(spark, d).select("pgid", F.explode(cells.neighbours(F.col("pgid"), keep_centre=False)).alias("other"))
+
+
+def _bridge(spark, d):
+    line = table(spark, d, "lineitem").join(table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("area")), "l_partkey")
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), (F.col("o_custkey") + 1).cast("int").alias("pgid"))
+    parts = line.join(o, "l_orderkey").groupBy("pgid", "area").agg(F.sum("l_quantity").alias("q"))
+    return parts.join(parts.groupBy("pgid").agg(F.sum("q").alias("t")), "pgid").select("pgid", "area", (F.col("q") / F.col("t")).alias("share"))
+
+
+_BRIDGE = """parts AS (SELECT (o_custkey + 1)::INTEGER AS pgid, p_brand AS area, sum(l_quantity) AS q FROM lineitem JOIN part ON p_partkey = l_partkey JOIN orders ON o_orderkey = l_orderkey GROUP BY ALL),
+bridge AS (SELECT pgid, area, q / sum(q) OVER (PARTITION BY pgid) AS share FROM parts)"""
+
+
+@query(
+    f"""WITH {_BRIDGE}, v AS (SELECT p_brand AS area, CASE WHEN p_brand LIKE '%1' THEN NULL ELSE avg(p_retailprice) END AS x FROM part GROUP BY p_brand)
+    SELECT pgid, round(sum(x * share) / sum(CASE WHEN x IS NOT NULL THEN share END), 6) AS x FROM bridge JOIN v USING (area) GROUP BY pgid"""
+)
+def area_weighted_mean(spark, d):
+    v = table(spark, d, "part").groupBy(F.col("p_brand").alias("area")).agg(F.avg("p_retailprice").alias("x")).withColumn("x", F.when(~F.col("area").endswith("1"), F.col("x")))
+    return spatial.bridged_mean(_bridge(spark, d), v, "area", ["pgid"], "x").select("pgid", F.round("x", 6).alias("x"))
+
+
+@query(f"WITH {_BRIDGE} SELECT pgid, area, round(covered, 6) AS covered FROM (SELECT *, sum(share) OVER (PARTITION BY pgid) AS covered, row_number() OVER (PARTITION BY pgid ORDER BY share DESC, area) AS r FROM bridge) WHERE r = 1 AND covered >= 0.25")
+def argmax_assignment(spark, d):
+    return spatial.largest_share(_bridge(spark, d), "pgid", "area").select("pgid", "area", F.round("covered", 6).alias("covered"))
+
+
+@query(
+    f"""{W}, r AS (SELECT iso3, value, row_number() OVER (PARTITION BY iso3 ORDER BY value) AS i, count(*) OVER (PARTITION BY iso3) AS n FROM ev JOIN entities USING (pgid))
+    SELECT iso3, round(2 * sum(i * value) / (max(n) * sum(value)) - (max(n) + 1.0) / max(n), 8) AS gini FROM r GROUP BY iso3"""
+)
+def gini_by_group(spark, d):
+    e = X.events(spark, d).join(X.entities(spark, d), "pgid")
+    return spatial.gini(e, ["iso3"], "value").select("iso3", F.round("gini", 8).alias("gini"))
+
+
+def _pixels(spark, d):
+    return table(spark, d, "lineitem").select(F.col("l_partkey").alias("x"), F.col("l_suppkey").alias("y"), F.col("l_quantity").alias("v"))
+
+
+@query("SELECT l_partkey // 50 AS zone, round(avg(l_quantity), 6) AS mean, sum(l_quantity) AS sum, count(l_quantity) AS n FROM lineitem GROUP BY 1")
+def zonal_stats(spark, d):
+    out = raster.zonal(_pixels(spark, d), F.floor(F.col("x") / 50), "v")
+    return out.select("zone", F.round("mean", 6).alias("mean"), "sum", "n")
+
+
+@query("SELECT l_suppkey AS zone, count(*) FILTER (l_linenumber = 1)::BIGINT AS water, count(*) FILTER (l_linenumber = 2)::BIGINT AS crop FROM lineitem GROUP BY 1")
+def pixel_categories(spark, d):
+    return raster.categories(table(spark, d, "lineitem"), F.col("l_suppkey"), "l_linenumber", {"water": 1, "crop": 2})
+
+
+@query("SELECT l_partkey // 5 AS x, l_suppkey // 5 AS y, sum(l_quantity) AS v FROM lineitem GROUP BY ALL")
+def coarsen_5x5(spark, d):
+    return raster.coarsen(_pixels(spark, d), "v", 5)
+
+
+@query(
+    """WITH p AS (SELECT l_partkey AS x, l_suppkey AS y, sum(l_quantity) AS v FROM lineitem GROUP BY ALL), m AS (SELECT l_partkey AS x, l_suppkey AS y, max(l_tax) AS t FROM lineitem WHERE l_linenumber < 4 GROUP BY ALL)
+    SELECT p.x, p.y, CASE WHEN t <= 0.05 THEN v END AS v FROM p LEFT JOIN m USING (x, y)"""
+)
+def masked_pixels(spark, d):
+    p = _pixels(spark, d).groupBy("x", "y").agg(F.sum("v").alias("v"))
+    m = table(spark, d, "lineitem").where("l_linenumber < 4").groupBy(F.col("l_partkey").alias("x"), F.col("l_suppkey").alias("y")).agg(F.max("l_tax").alias("t"))
+    return raster.masked(p, m, F.col("t") <= 0.05, "v").select("x", "y", "v")
+
+
+_NODES = "nodes AS (SELECT (i % 20)::DOUBLE AS x, (i // 20)::DOUBLE AS y, (i * i % 101)::DOUBLE AS v FROM range(400) t(i))"
+
+
+def _nodes(spark):
+    i = F.col("id")
+    return spark.range(400).select((i % 20).cast("double").alias("x"), F.floor(i / 20).cast("double").alias("y"), (i * i % 101).cast("double").alias("v"))
+
+
+@query(
+    f"""WITH {_NODES}, t AS (SELECT DISTINCT (c_custkey % 76) / 4.0 AS x, (c_custkey % 73) / 4.0 AS y FROM customer),
+    k AS (SELECT t.x, t.y, n.v, CASE WHEN n.x = floor(t.x) THEN 1 - (t.x - floor(t.x)) ELSE t.x - floor(t.x) END * CASE WHEN n.y = floor(t.y) THEN 1 - (t.y - floor(t.y)) ELSE t.y - floor(t.y) END AS w
+      FROM t JOIN nodes n ON n.x BETWEEN floor(t.x) AND floor(t.x) + 1 AND n.y BETWEEN floor(t.y) AND floor(t.y) + 1)
+    SELECT x, y, round(sum(v * w), 8) AS v FROM k GROUP BY ALL"""
+)
+def bilinear_resample(spark, d):
+    k = F.col("c_custkey")
+    t = table(spark, d, "customer").select(((k % 76) / 4.0).alias("x"), ((k % 73) / 4.0).alias("y")).distinct()
+    return raster.bilinear(_nodes(spark), t, "v").select("x", "y", F.round("v", 8).alias("v"))
+
+
+@query(f"WITH {_NODES}, t AS (SELECT DISTINCT (c_custkey % 76) / 4.0 AS x, (c_custkey % 73) / 4.0 AS y FROM customer) SELECT t.x, t.y, n.v FROM t LEFT JOIN nodes n ON n.x = round(t.x) AND n.y = round(t.y)")
+def nearest_resample(spark, d):
+    k = F.col("c_custkey")
+    t = table(spark, d, "customer").select(((k % 76) / 4.0).alias("x"), ((k % 73) / 4.0).alias("y")).distinct()
+    return raster.nearest(_nodes(spark), t, "v", 1.0)
+
+
+@query(f"{W}, b AS (SELECT pgid, avg(value) AS base FROM quarterly WHERE year <= 1997 GROUP BY pgid) SELECT pgid, year, quarter, round(value - base, 6) AS anomaly FROM quarterly LEFT JOIN b USING (pgid)")
+def baseline_anomaly(spark, d):
+    out = raster.anomaly(X.quarterly(spark, d), ["pgid"], "value", F.col("year") <= 1997)
+    return out.select("pgid", "year", "quarter", F.round("anomaly", 6).alias("anomaly"))
+
+
+@query(
+    """WITH p AS (SELECT l_suppkey AS zone, l_quantity AS cover, l_linenumber - 1 AS lossyear, l_linenumber % 3 AS datamask FROM lineitem),
+    b AS (SELECT zone, sum(cover) AS a, avg(CASE WHEN datamask = 1 THEN cover END) AS dens FROM p GROUP BY zone)
+    SELECT zone, y::INTEGER AS year, round(coalesce((SELECT sum(cover) FROM p WHERE p.zone = b.zone AND lossyear > 0 AND lossyear <= y), 0) / a * dens / 100, 8) AS loss FROM b, range(1, 7) t(y)"""
+)
+def loss_share(spark, d):
+    n = F.col("l_linenumber")
+    p = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("z"), F.col("l_quantity").alias("cover"), (n - 1).alias("lossyear"), (n % 3).alias("datamask"))
+    return raster.loss_share(p, F.col("z"), (1, 6)).select("zone", "year", F.round("loss", 8).alias("loss"))
+
+
+@query(
+    """WITH p AS (SELECT c_custkey AS id, (c_custkey % 100) / 10.0 + 0.03 AS x, (c_custkey % 70) / 10.0 + 0.07 AS y FROM customer)
+    SELECT id, 'box' AS area FROM p WHERE x BETWEEN 1 AND 4 AND y BETWEEN 1 AND 5
+    UNION ALL SELECT id, 'triangle' FROM p WHERE y > 2 AND y < 2 + (x - 3) AND x < 9 AND x > 3"""
+)
+def points_in_polygons(spark, d):
+    k = F.col("c_custkey")
+    p = table(spark, d, "customer").select(k.alias("id"), ((k % 100) / 10.0 + 0.03).alias("x"), ((k % 70) / 10.0 + 0.07).alias("y"))
+    shapes = spark.range(1).select(F.explode(F.array(
+        F.struct(F.lit("box").alias("area"), F.lit("POLYGON ((1 1, 4 1, 4 5, 1 5, 1 1))").alias("wkt")),
+        F.struct(F.lit("triangle").alias("area"), F.lit("POLYGON ((3 2, 9 2, 9 8, 3 2))").alias("wkt")),
+    )).alias("s")).select("s.area", spatial.ring_array(F.col("s.wkt")).alias("ring"))
+    return spatial.points_in_polygons(p, shapes).select("id", "area")
+
+
+@query(
+    """WITH g AS (SELECT a.i / 2.0 + 0.25 AS lon, b.j / 2.0 + 0.25 AS lat, a.i * 100 + b.j AS pgid FROM range(12) a(i), range(12) b(j))
+    SELECT pgid, 'box' AS area, round(greatest(least(lon + 0.25, 4.1) - greatest(lon - 0.25, 1.2), 0) * greatest(least(lat + 0.25, 5.3) - greatest(lat - 0.25, 0.9), 0) * 4, 8) AS share FROM g
+    WHERE least(lon + 0.25, 4.1) > greatest(lon - 0.25, 1.2) AND least(lat + 0.25, 5.3) > greatest(lat - 0.25, 0.9)"""
+)
+def polygon_shares(spark, d):
+    i = F.col("id")
+    g = spark.range(144).select((F.floor(i / 12) / 2 + 0.25).alias("lon"), (i % 12 / 2 + 0.25).alias("lat"), (F.floor(i / 12) * 100 + i % 12).alias("pgid"))
+    box = spark.range(1).select(F.lit("box").alias("area"), spatial.ring_array(F.lit("POLYGON ((1.2 0.9, 4.1 0.9, 4.1 5.3, 1.2 5.3, 1.2 0.9))")).alias("ring"))
+    return spatial.area_bridge(g, box).select("pgid", "area", F.round("share", 8).alias("share"))
+
+
+@query("SELECT s_suppkey, b / 2.0 + 0.25 AS lon, (s_suppkey % 7)::DOUBLE + 0.25 AS lat FROM supplier, range(0, 6) t(b) WHERE b <= floor((s_suppkey % 5) / 2.0 / 0.5 + 0.5)")
+def line_cells(spark, d):
+    k = F.col("s_suppkey")
+    y = (k % 7).cast("double") + 0.2
+    lines = table(spark, d, "supplier").select("s_suppkey", F.lit(0.1).alias("x0"), y.alias("y0"), (F.lit(0.1) + (k % 5) / 2.0 + 0.2).alias("x1"), y.alias("y1"))
+    return spatial.touched_cells(lines).select("s_suppkey", "lon", "lat")
