@@ -10,7 +10,7 @@ from riskweave.functions import calendar
 
 def entity_years(entities: DataFrame, first: int, last: int) -> DataFrame:
     """Every entity in every year; rows are generated, not joined."""
-    return entities.withColumn("year", F.explode(F.sequence(F.lit(first), F.lit(last))).cast("int"))
+    return entities.withColumn("year", F.explode(F.sequence(F.lit(first), F.lit(last))))
 
 
 def entity_quarters(entities: DataFrame, first: tuple[int, int], last: tuple[int, int]) -> DataFrame:
