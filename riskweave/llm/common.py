@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +36,16 @@ def split_words(text: Column, gaps: str) -> Column:
     return F.array_remove(F.split(text, gaps), "")
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once.
+
+    Inside a lambda an expression over columns is evaluated for each element,
+    also one that the optimizer has merged in from an earlier projection or
+    pushed down with a filter; a bound variable is not.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def row_key(text: str = "text", id_col: str = "doc_id") -> Column:
     """A key that equal (id, text) rows share; null ids have keys too."""
     whole = text_of(text)

@@ -87,13 +87,13 @@ def search(index: DataFrame, anchors: DataFrame, size: int, slop: int = 0) -> Da
     exact = (first >= 1) & (F.slice("near", F.greatest(first, F.lit(1)), length) == F.col("seq"))
     if not slop:
         return hits.where(start >= 0).where(exact).select("key", "win", start.alias("start"), length.alias("length"), F.lit(True).alias("exact"))
-    close = F.forall(
-        F.transform("seq", lambda term, i: F.struct(term.alias("term"), i.alias("i"))),
-        lambda t: F.array_contains(
-            F.slice("near", F.greatest(first + t["i"] - slop, F.lit(1)), first + t["i"] + slop + 1 - F.greatest(first + t["i"] - slop, F.lit(1))),
-            t["term"],
-        ),
-    )
+    placed = F.transform("seq", lambda term, i: F.struct(term.alias("term"), i.alias("i")))
+
+    def near_its_place(t: Column) -> Column:
+        low = F.greatest(first + t["i"] - slop, F.lit(1))
+        return F.array_contains(F.slice("near", low, F.greatest(first + t["i"] + slop + 1 - low, F.lit(0))), t["term"])
+
+    close = F.forall(placed, near_its_place)
     return hits.where((first + length + slop >= 1) & close).select(
         "key", "win", start.alias("start"), length.alias("length"), F.coalesce(exact, F.lit(False)).alias("exact")
     )

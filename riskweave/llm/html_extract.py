@@ -138,6 +138,8 @@ class _Lines(HTMLParser):
             self.parts.append(data)
 
     def close(self) -> None:
+        if re.match(r"<[!/?a-zA-Z]", self.rawdata):  # markup that the page's end cuts off
+            self.rawdata = ""
         super().close()
         self._flush()
 

@@ -11,8 +11,7 @@ Results by case: a text with one or two lines is one window of all its lines;
 null, empty and blank texts have none and come back unchanged (null as ''). The
 order of documents is that of doc_id, null last; rows with equal doc_id and text
 are one document and all get its result; rows sharing doc_id with other texts
-are ordered by the hash of their text. Extra columns are ignored by ``marked``
-and kept by ``clean``.
+are ordered by the hash of their text. Extra columns stay.
 """
 
 from __future__ import annotations
@@ -54,40 +53,36 @@ def later(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def marked(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """All rows and columns of ``docs`` with line_text, the text without repeats, n_lines and n_removed."""
-    gone = cut(later(docs, width)).select(*[F.col(c).alias(f"gone_{c}") for c in ("id", "h", "n", "starts")])
-    keyed = docs.withColumn("key_of_row", row_key())
-    same = [keyed[f"key_of_row.{c}"].eqNullSafe(gone[f"gone_{c}"]) for c in ("id", "h", "n")]
+    """All rows and columns of ``docs``, but its own of these names, with line_text, the text without repeats, n_lines and n_removed."""
+    gone = cut(later(docs, width)).select(*[F.col(c).alias(f"_gone_{c}") for c in ("id", "h", "n", "starts")])
+    keyed = docs.withColumn("_key_of_row", row_key())
+    same = [keyed[f"_key_of_row.{c}"].eqNullSafe(gone[f"_gone_{c}"]) for c in ("id", "h", "n")]
     # The removals are the built side: the texts stream past and are never sorted.
     joined = keyed.join(gone.hint("shuffle_hash"), same[0] & same[1] & same[2], "left")
-    # A line is covered if one of the windows that start at it or just before is marked.
-    state = F.aggregate(
-        _lines(text_of()),
-        F.struct(F.array().cast("array<string>").alias("kept"), F.lit(0).alias("at"), F.lit(0).alias("cut")),
-        lambda s, line: F.when(
-            ~line.rlike(r"[^\x20\x09-\x0D]"), F.struct(F.array_append(s["kept"], line).alias("kept"), s["at"].alias("at"), s["cut"].alias("cut"))
-        )
-        .when(
-            F.arrays_overlap("gone_starts", F.sequence(s["at"] + 2 - width, s["at"] + 1)),
-            F.struct(s["kept"].alias("kept"), (s["at"] + 1).alias("at"), (s["cut"] + 1).alias("cut")),
-        )
-        .otherwise(F.struct(F.array_append(s["kept"], line).alias("kept"), (s["at"] + 1).alias("at"), s["cut"].alias("cut"))),
-    )
+
+    def step(s: Column, line: Column) -> Column:
+        """A line is covered if one of the windows that start at it or just before is marked."""
+        worded = line.rlike(r"[^\x20\x09-\x0D]")
+        gone_now = worded & F.arrays_overlap("_gone_starts", F.sequence(s["at"] + 2 - width, s["at"] + 1))
+        return F.struct(
+            F.when(gone_now, s["kept"]).otherwise(F.array_append(s["kept"], line)).alias("kept"),
+            (s["at"] + worded.cast("int")).alias("at"), (s["cut"] + gone_now.cast("int")).alias("cut"),
+        )
+
+    start = F.struct(F.array().cast("array<string>").alias("kept"), F.lit(0).alias("at"), F.lit(0).alias("cut"))
+    state = F.when(F.col("_gone_starts").isNotNull(), F.aggregate(_lines(text_of()), start, step))
+    names = [c for c in docs.columns if c not in ("line_text", "n_lines", "n_removed")]
     worded = F.size(F.filter(_lines(text_of()), lambda line: line.rlike(r"[^\x20\x09-\x0D]")))
-    done = joined.withColumn("state", F.when(F.col("gone_starts").isNotNull(), state))
+    done = joined.select(*names, text_of().alias("_old"), state.alias("_line_state"), worded.cast("long").alias("n_lines"))
     return done.select(
-        *[docs[c] for c in docs.columns],
-        F.coalesce(F.array_join("state.kept", "\n"), text_of()).alias("line_text"),
-        worded.cast("long").alias("n_lines"),
-        F.coalesce("state.cut", F.lit(0)).cast("long").alias("n_removed"),
+        *names,
+        F.coalesce(F.array_join("_line_state.kept", "\n"), "_old").alias("line_text"),
+        "n_lines",
+        F.coalesce("_line_state.cut", F.lit(0)).cast("long").alias("n_removed"),
     )
 
 
 def clean(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """The rows of ``docs``, their text without repeated lines; a text left blank stays as ''."""
-    plain = docs.drop("line_text", "n_lines", "n_removed")
-    done = marked(plain, width).withColumn("text", F.col("line_text"))
-    extra = [c for c in docs.columns if c not in plain.columns]
-    if extra:
-        raise ValueError(f"columns {extra} clash with the operator's own")
-    return done.select(*docs.columns)
+    row = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), "doc_id", "text")
+    return marked(row, width).select(F.col("_row").withField("text", F.col("line_text")).alias("_row")).select("_row.*")

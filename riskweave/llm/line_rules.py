@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import split_words, text_of
+from riskweave.llm.common import bind, split_words, text_of
 
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -64,65 +64,73 @@ def failed_rule(line: Column) -> Column:
     )
 
 
-def _judged(docs: DataFrame) -> DataFrame:
-    """``docs`` with judged_text, judged_lines: array of (line, rule), lines without a word left out."""
-    lines = F.filter(F.split(F.col("judged_text"), "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
-    return docs.withColumn("judged_text", text_of()).withColumn(
-        "judged_lines", F.transform(lines, lambda line: F.struct(line.alias("line"), failed_rule(line).alias("rule")))
-    )
-
+def judged_lines(text: Column) -> Column:
+    """The lines with a word, each with the rule it fails."""
+    lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
+    return F.transform(lines, lambda line: F.struct(line.alias("line"), failed_rule(line).alias("rule")))
 
-def _chars(lines: Column) -> Column:
-    return F.aggregate(lines, F.lit(0).cast("long"), lambda n, x: n + F.length(x["line"]))
 
-
-def _lost(lines: str = "judged_lines") -> Column:
+def _lost(lines: Column) -> Column:
     """The share of the lines' characters that failing lines hold."""
-    failing = F.filter(lines, lambda x: x["rule"].isNotNull())
-    return F.coalesce(F.try_divide(_chars(failing), _chars(F.col(lines))), F.lit(1.0))
+    add = lambda n, x: F.struct(
+        (n["all"] + F.length(x["line"])).alias("all"), (n["lost"] + F.when(x["rule"].isNotNull(), F.length(x["line"])).otherwise(0)).alias("lost")
+    )
+    zero = F.lit(0).cast("long")
+    total = F.aggregate(lines, F.struct(zero.alias("all"), zero.alias("lost")), add)
+    return bind(total, lambda n: F.coalesce(F.try_divide(n["lost"], n["all"]), F.lit(1.0)))
 
 
-def _with_counts(judged: DataFrame) -> DataFrame:
-    """Adds the base counts, base_failed, lost_share and kept."""
-    split = judged.withColumn("w", split_words(F.col("judged_text"), SPACE))
-    n = F.size("w")
+def repeated_words(words: Column) -> Column:
+    """Words inside three-word windows that occur more than once."""
+    n = F.size(words)
     # One struct (hash, place) for each window, sorted: equal windows become neighbours.
     starts = F.when(n >= 3, F.sequence(F.lit(0), n - 3)).otherwise(F.array().cast("array<int>"))
-    grams = F.transform(starts, lambda i: F.struct(F.xxhash64(F.get("w", i), F.get("w", i + 1), F.get("w", i + 2)).alias("h"), i.alias("i")))
-    ordered = split.withColumn("grams", F.sort_array(grams))
-    same = lambda x, k: F.coalesce(F.get("grams", k)["h"] == x["h"], F.lit(False))
-    repeated = F.filter("grams", lambda x, k: same(x, k - 1) | same(x, k + 1))
-    placed = ordered.withColumn("places", F.sort_array(F.transform(repeated, lambda x: x["i"])))
-    covered = F.aggregate(
-        "places",
-        F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n")),
-        lambda s, p: F.struct((p + 3).alias("end"), (s["n"] + p + 3 - F.greatest(s["end"], p)).alias("n")),
-    )["n"]
-    lines = F.transform("judged_lines", lambda x: x["line"])
-    text = F.col("judged_text")
-    counted = placed.withColumns({
-        "n_words": n.cast("long"),
-        "word_chars": F.length(F.array_join("w", "")).cast("long"),
-        "n_symbols": _count(text, SYMBOLS).cast("long"),
-        "n_dup_lines": (F.size("judged_lines") - F.size(F.array_distinct(lines))).cast("long"),
-        "n_repeat_words": covered.cast("long"),
-        "lost_share": _lost(),
-    })
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
-    return counted.withColumn("base_failed", failed).withColumn(
-        "kept", ~F.col("base_failed") & (F.col("lost_share") <= MAX_LOST_SHARE)
+    gram = lambda i: F.struct(F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("h"), i.alias("i"))
+
+    def places(grams: Column) -> Column:
+        same = lambda x, k: F.coalesce(F.get(grams, k)["h"] == x["h"], F.lit(False))
+        again = F.filter(grams, lambda x, k: same(x, k - 1) | same(x, k + 1))
+        return F.sort_array(F.transform(again, lambda x: x["i"]))
+
+    add = lambda s, p: F.struct((p + 3).alias("end"), (s["n"] + p + 3 - F.greatest(s["end"], p)).alias("n"))
+    found = bind(F.sort_array(F.transform(starts, gram)), places)
+    return F.aggregate(found, F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n")), add)["n"]
+
+
+def facts(text: Column) -> Column:
+    """All counts of a text and the share its failing lines hold, as one struct."""
+    of_words = bind(
+        split_words(text, SPACE),
+        lambda w: F.struct(
+            F.size(w).cast("long").alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars"), repeated_words(w).cast("long").alias("n_repeat_words")
+        ),
     )
+    of_lines = bind(
+        judged_lines(text),
+        lambda ls: F.struct((F.size(ls) - F.size(F.array_distinct(F.transform(ls, lambda x: x["line"])))).cast("long").alias("n_dup_lines"), _lost(ls).alias("lost_share")),
+    )
+    return F.struct(of_words.alias("words"), of_lines.alias("lines"), _count(text, SYMBOLS).cast("long").alias("n_symbols"))
+
+
+def _verdict(rows: DataFrame) -> DataFrame:
+    """Adds the counts, base_failed, kept and lost_share to rows with a text."""
+    counted = rows.withColumn("_facts", facts(text_of()))
+    counted = counted.select(
+        *rows.columns, "_facts.words.n_words", "_facts.words.word_chars", "_facts.n_symbols", "_facts.lines.n_dup_lines", "_facts.words.n_repeat_words", "_facts.lines.lost_share"
+    )
+    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
+    return counted.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("lost_share") <= MAX_LOST_SHARE))
 
 
 def measure(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, the base counts, base_failed, kept and lost_share."""
-    return _with_counts(_judged(docs.select("doc_id", "text"))).select(
+    return _verdict(docs.select("doc_id", "text")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lost_share"
     )
 
 
 def clean(docs: DataFrame) -> DataFrame:
     """The kept rows, their text without the failing lines."""
-    done = _with_counts(_judged(docs.withColumn("text", F.col("text"))))
-    good = F.transform(F.filter("judged_lines", lambda x: x["rule"].isNull()), lambda x: x["line"])
-    return done.where("kept").withColumn("text", F.array_join(good, "\n")).select(*docs.columns)
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), "text")
+    good = F.transform(F.filter(judged_lines(text_of()), lambda x: x["rule"].isNull()), lambda x: x["line"])
+    return _verdict(rows).where("kept").select(F.col("_row").withField("text", F.array_join(good, "\n")).alias("_row")).select("_row.*")

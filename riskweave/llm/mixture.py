@@ -153,11 +153,11 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, budget: float = B
 def apply_mix(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it."""
     plan = mix(docs, **settings).where("taken > 0").select(
-        F.col("doc_id").alias("mixed_id"), (F.col("taken") / F.col("size")).cast("int").alias("copies")
+        F.col("doc_id").alias("_mixed"), (F.col("taken") / F.col("size")).cast("int").alias("_copies")
     )
-    plan = plan.groupBy("mixed_id").agg(F.sum("copies").alias("all"), F.count("*").alias("rows"))
-    joined = docs.join(plan.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(plan["mixed_id"]))
-    # Rows that share an id are taken as often as the first of them.
-    times = F.explode(F.sequence(F.lit(1), F.ceil(F.col("all") / F.col("rows")).cast("int")))
-    return joined.select(*[docs[c] for c in docs.columns], times.alias("copy_no")).drop("copy_no")
+    plan = plan.groupBy("_mixed").agg(F.sum("_copies").alias("_copies"), F.count("*").alias("_rows"))
+    joined = docs.join(plan.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(plan["_mixed"]))
+    # Rows that share an id are all taken as often as they are on average, rounded up.
+    times = F.explode(F.sequence(F.lit(1), F.ceil(F.col("_copies") / F.col("_rows")).cast("int")))
+    return joined.select(*[docs[c] for c in docs.columns], times.alias("_copy")).drop("_copy")
 

@@ -18,11 +18,11 @@ named n_pii and pii_kinds and keeps the others.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskweave.llm.common import bind
+
 ROUNDS = 8
 #: For tests and examples only; real runs pass a secret key.
 KEY = "not a secret"
@@ -40,11 +40,6 @@ PATTERNS = {
 ANY = "|".join(PATTERNS.values())
 
 
-def bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with the value computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def div(x: Column, by: int) -> Column:
     """Whole-number division; ``/`` would go through doubles, which are exact only below 2^53."""
     return F.call_function("div", x, F.lit(by))

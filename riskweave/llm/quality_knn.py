@@ -177,10 +177,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     return model
 
 
-def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """The rows of ``docs`` and their ``score``, the vote for good quality between 0 and 1."""
+def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, out: str = "score") -> DataFrame:
+    """The rows of ``docs`` and ``out``, the vote for good quality between 0 and 1."""
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, sample))
-    plain = docs.drop("score")
+    plain = docs.drop(out)
     place = plain.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,10 +190,10 @@ def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFram
             for start in range(0, len(texts), BLOCK):
                 block = [terms.counts(None if (t := x.as_py()) is None else t.encode()) for x in texts.slice(start, BLOCK)]
                 scores.extend(found.scores(np.stack(block)).tolist())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, out])
 
     schema = ", ".join(f"`{c}` {kind}" for c, kind in plain.dtypes)
-    return plain.mapInArrow(run, f"{schema}, score double")
+    return plain.mapInArrow(run, f"{schema}, `{out}` double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -205,4 +205,4 @@ def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
 
 def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """The rows of ``docs`` that the vote does not reject."""
-    return scored(docs.select(*[F.col(c) for c in docs.columns]), labels, sample).where("score >= 0.5").select(*docs.columns)
+    return scored(docs, labels, sample, "_quality").where(F.col("_quality") >= 0.5).drop("_quality")

@@ -72,6 +72,13 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.protect(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five stages of the corpus pipeline, one after another."""
+    from corpus_pipeline import run
+
+    return run(spark, sf_dir)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -85,6 +92,7 @@ QUERIES = {
         op8_line_dedup,
         op9_simhash,
         op10_pseudonyms,
+        pipeline,
     )
 }
 

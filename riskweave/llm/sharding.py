@@ -59,7 +59,8 @@ def shard(docs: DataFrame, shards: list[str] | None = None, slots: int = SLOTS)
     names = shards or [f"shard-{i:05d}" for i in range(SHARDS)]
     filled = F.from_json(F.lit(str(lookup_table(names, slots))), "array<int>")
     table = docs.sparkSession.range(1).select(F.posexplode(filled).alias("slot", "shard"))
-    key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), text_of())) if "text" in docs.columns else F.col("doc_id").cast("string")
+    text = text_of() if "text" in docs.columns else F.lit("")
+    key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), text))
     placed = docs.drop("slot", "shard").withColumn("slot", slot_of(key, slots))
     return placed.join(F.broadcast(table), "slot").select(*[c for c in placed.columns if c != "slot"], "slot", "shard")
 
