@@ -161,7 +161,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             rows = [terms.counts(t.as_py()).tobytes() for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("good"), pa.array(rows, pa.binary())], names=["doc_id", "good", "row"])
 
-    texts = docs.join(picked, "doc_id").select("doc_id", "good", F.col("text").cast("binary").alias("text"))
+    texts = docs.select("doc_id", "text").join(picked, "doc_id").select("doc_id", "good", F.col("text").cast("binary").alias("text"))
     rows = texts.mapInArrow(run, f"doc_id {dict(texts.dtypes)['doc_id']}, good int, row binary").groupBy("doc_id").agg(F.first("good").alias("good"), F.min("row").alias("row")).orderBy("doc_id").collect()
     good = np.array([r["good"] for r in rows], np.float32)
     if len(set(good.tolist())) < 2:

@@ -38,6 +38,6 @@ def test_edge_rows(spark, docs, crowded, nothing):
     assert len(blank) == 1
     assert q.classify(nothing, labels).collect() == []
     assert {r.score for r in q.classify(docs, labels.where("false")).collect()} == {0.5}
-    assert {r.score for r in q.classify(docs, labels_for(spark, [(2, 1, 0), (3, 1, 0)])).collect()} == {1.0}
+    assert {r.score for r in q.classify(docs, labels_for(spark, [(i, 1, 0) for i in range(1, 10)])).collect()} == {1.0}
     kept = q.keep_good(crowded, labels)
     assert kept.columns == crowded.columns

@@ -95,9 +95,7 @@ def test_bytes_outside_ascii_keep_their_case():
 def test_one_of_each_stays(spark, docs, crowded):
     out = s.deduplicate(docs)
     left = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
-    classes = s.classes(docs)
-    n = classes.where("component_id is not null").select("component_id").distinct().count()
-    n += docs.where("doc_id is null").count() and classes.where("doc_id is null and component_id is null").select("fingerprint").distinct().count()
+    n = s.rooted(s.fingerprints(docs)).select("root").distinct().count()
     assert len(left) == n
     assert (1, words(120)) in left and all(d != 2 for d, _ in left)
     assert s.deduplicate(crowded).columns == crowded.columns
