@@ -125,8 +125,9 @@ def find(docs: DataFrame, items: DataFrame, width: int = WIDTH, slop: int = 0) -
 def contaminated(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
     """(key, n_hit, items): per document key with a match, its hit words and the items found."""
     matches, wins = find(docs, items, width)
-    spans = matches.groupBy("key").agg(
-        F.collect_set(F.struct("start", "length")).alias("spans"), F.collect_set("win").alias("wins")
+    # Cut, since both the spans and the items are read from it: else the corpus would be searched twice.
+    spans = cut(
+        matches.groupBy("key").agg(F.collect_set(F.struct("start", "length")).alias("spans"), F.collect_set("win").alias("wins"))
     )
     by_window = wins.where("item_id is not null").groupBy("win").agg(F.collect_set(F.col("item_id").cast("string")).alias("of"))
     listed = spans.select("key", F.explode("wins").alias("win")).join(by_window, "win").select("key", F.explode("of").alias("item"))
