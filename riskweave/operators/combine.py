@@ -7,8 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.functions.scores import combined
-from riskweave.operators.scale import scaled
+from riskweave.functions.scores import combined, rescale
 
 
 @dataclass(frozen=True)
@@ -57,21 +56,35 @@ class Index:
         return {p for a in self.aggregates for p in a.parts} - made
 
 
+def _score(spec: Aggregate):
+    return combined(spec.method, [(F.col(p), w) for p, w in spec.parts.items()], spec.missing)
+
+
 def aggregate(df: DataFrame, spec: Aggregate) -> DataFrame:
     """``df`` with the score of one aggregate, scaled to 0-1 over the panel if asked."""
-    absent = [p for p in spec.parts if p not in df.columns]
-    if absent:
-        raise KeyError(f"{spec.name} needs {absent}")
-    out = df.withColumn(spec.name, combined(spec.method, [(F.col(p), w) for p, w in spec.parts.items()], spec.missing))
-    return scaled(out, spec.name, spec.name) if spec.rescale else out
+    return evaluate(df, Index((spec,)))
 
 
 def evaluate(df: DataFrame, index: Index) -> DataFrame:
     """``df`` with all scores of an index.
 
-    Min-max bounds of aggregates that don't build on each other could share a
-    pass; each takes one aggregate over the panel.
+    Aggregates whose parts are all there make one level; the bounds of a level
+    are one pass over the panel, however many aggregates it has.
     """
-    for spec in index.aggregates:
-        df = aggregate(df, spec)
+    pending = list(index.aggregates)
+    while pending:
+        made = {a.name for a in pending}
+        ready = [a for a in pending if all(p in df.columns and (p not in made or p == a.name) for p in a.parts)]
+        if not ready:
+            spec = pending[0]
+            raise KeyError(f"{spec.name} needs {[p for p in spec.parts if p not in df.columns]}")
+        df = df.withColumns({a.name: _score(a) for a in ready})
+        if names := [a.name for a in ready if a.rescale]:
+            ends = df.agg(*[f(n) for n in names for f in (F.min, F.max)]).first()
+            scaled = {}
+            for i, name in enumerate(names):
+                low, high = ends[2 * i], ends[2 * i + 1]
+                scaled[name] = F.lit(None).cast("double") if low is None else rescale(F.col(name), low, high)
+            df = df.withColumns(scaled)
+        pending = [a for a in pending if a not in ready]
     return df

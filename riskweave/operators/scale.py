@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -12,15 +14,47 @@ from riskweave.functions.scores import rescale, zero_if_negative
 TRANSFORMS = {"log1p": F.log1p, "exp": F.exp, "zero_if_negative": zero_if_negative, "identity": lambda x: x}
 
 
-def bounds(df: DataFrame, x: Column, limits: tuple[float | None, float | None] = (None, None), where: Column | None = None) -> tuple[float, float]:
-    """Two numbers: the given quantiles of ``x``, or its minimum and maximum, over the rows that count.
+def quantile(df: DataFrame, x: Column, level: float, most: int = 100_000) -> float | None:
+    """The exact quantile of a whole column, interpolated linearly between ranks.
 
-    Quantiles interpolate linearly between ranks.
+    ``percentile`` would bring every distinct value into one task. Here an
+    approximate quantile brackets the wanted rank, two counts confirm the
+    bracket, and so on until few rows are left, which are counted by value. Each
+    pass is one scan, and a pass narrows the bracket to about a five-hundredth.
     """
+    values = df.select(x.cast("double").alias("x")).where("x is not null")
+    n, low, high = values.agg(F.count("x"), F.min("x"), F.max("x")).first()
+    if not n:
+        return None
+    place = level * (n - 1)
+    first, last = math.floor(place), min(math.floor(place) + 1, n - 1)
+    below, inside, slack = 0, n, 0.001
+    while inside > most and low < high and slack < 0.5:
+        part = values.where(F.col("x").between(low, high))
+        at = (first - below) / inside
+        ends = part.agg(F.percentile_approx("x", F.array(F.lit(max(at - slack, 0.0)), F.lit(min(at + slack, 1.0))), 10_000)).first()[0]
+        less, among = part.agg(F.count(F.when(F.col("x") < ends[0], 1)), F.count(F.when(F.col("x").between(*ends), 1))).first()
+        if below + less <= first and last < below + less + among and among < inside:
+            low, high, below, inside = *ends, below + less, among
+        else:
+            slack *= 4
+    found, before = [None, None], below
+    counted = values.where(F.col("x").between(low, high)).groupBy("x").agg(F.count("*").alias("n")).orderBy("x")
+    for value, times in counted.toLocalIterator():
+        for i, rank in enumerate((first, last)):
+            if before <= rank < before + times:
+                found[i] = value
+        before += times
+        if found[1] is not None:
+            break
+    return found[0] + (found[1] - found[0]) * (place - first)
+
+
+def bounds(df: DataFrame, x: Column, limits: tuple[float | None, float | None] = (None, None), where: Column | None = None) -> tuple[float | None, float | None]:
+    """Two numbers: the given quantiles of ``x``, or its minimum and maximum, over the rows that count."""
     used = F.when(where, x) if where is not None else x
-    low = F.min(used) if limits[0] is None else F.percentile(used, limits[0])
-    high = F.max(used) if limits[1] is None else F.percentile(used, limits[1])
-    return tuple(df.agg(low, high).first())
+    ends = df.agg(F.min(used), F.max(used)).first() if None in limits else (None, None)
+    return tuple(end if level is None else quantile(df, used, level) for level, end in zip(limits, ends, strict=True))
 
 
 def scaled(df: DataFrame, x: str, out: str, limits=(None, None), fixed=(None, None), nonzero: bool = False, until: int | None = None, transform: str = "identity") -> DataFrame:

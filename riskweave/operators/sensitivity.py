@@ -7,7 +7,8 @@ from itertools import combinations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskweave.operators.combine import Aggregate, Index, aggregate, evaluate
+from riskweave.operators.combine import Aggregate, Index, evaluate
+from riskweave.operators.scale import quantile
 
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -34,7 +35,7 @@ def same_group(a: str, b: str, parts: int = 1) -> bool:
 def overlap_classes(df: DataFrame, first: str, second: str, both: str, level: float) -> DataFrame:
     """``overlap``: 5 if all three scores are in their top share, 4 and 3 if the combined and one other are,
     2 if both others are, 1 if any is, else 0."""
-    cuts = df.agg(*[F.percentile(c, level) for c in (first, second, both)]).first()
+    cuts = [quantile(df, F.col(c), level) for c in (first, second, both)]
     a, b, c = (F.coalesce(F.col(x) >= F.lit(v), F.lit(False)) for x, v in zip((first, second, both), cuts, strict=True))
     return df.withColumn("overlap", F.when(a & b & c, 5).when(a & c, 4).when(b & c, 3).when(a & b, 2).when(a | b | c, 1).otherwise(0))
 
@@ -42,13 +43,14 @@ def overlap_classes(df: DataFrame, first: str, second: str, both: str, level: fl
 def leave_one_out(df: DataFrame, spec: Aggregate, keys: list[str]) -> DataFrame:
     """(keys, left_out, delta): the change of a score when each part is left out, in one row set.
 
-    All variants are columns of one plan over the same input.
+    All variants are columns of one plan, and their bounds one pass over the input.
     """
-    full = aggregate(df, spec)
     names = list(spec.parts)
+    shorter = []
     for i, part in enumerate(names):
         short = spec.without(part)
-        full = aggregate(full, Aggregate(f"_loo{i}", short.parts, short.method, short.level, short.rescale))
+        shorter.append(Aggregate(f"_loo{i}", short.parts, short.method, short.level, short.rescale))
+    full = evaluate(df, Index((spec, *shorter)))
     rows = F.array(*[F.struct(F.lit(p).alias("left_out"), (F.col(f"_loo{i}") - F.col(spec.name)).alias("delta")) for i, p in enumerate(names)])
     return full.select(*keys, F.explode(rows).alias("v")).select(*keys, "v.*")
 

@@ -177,3 +177,16 @@ def test_leaving_out_everywhere(spark):
     assert index.needs() == {"a", "b"}
     out = sensitivity.leave_out(df, index, "b").orderBy("k").collect()
     assert [r.d for r in out] == pytest.approx([0.0, 1.0, 0.5])
+
+
+@pytest.mark.parametrize("most", [1, 10, 100_000])
+def test_quantile_is_exact(spark, most):
+    rng = random.Random(5)
+    for values in ([rng.gauss(0, 1) for _ in range(500)], [0.0] * 300 + [rng.random() for _ in range(200)], [1.0, 2.0], [7.0]):
+        df = spark.createDataFrame([(v,) for v in [*values, None]], "x double")
+        for level in (0.0, 0.05, 0.5, 0.61, 0.99, 1.0):
+            ranked, place = sorted(values), level * (len(values) - 1)
+            low = math.floor(place)
+            wanted = ranked[low] + (ranked[min(low + 1, len(values) - 1)] - ranked[low]) * (place - low)
+            assert scale.quantile(df, F.col("x"), level, most) == pytest.approx(wanted)
+    assert scale.quantile(df.where("false"), F.col("x"), 0.5) is None
