@@ -26,6 +26,7 @@ from riskweave.plans import (  # noqa: E402,F401  these register themselves
     analysis_queries,
     event_queries,
     panel_queries,
+    recipe_queries,
     score_queries,
     spatial_queries,
     window_queries,
