@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskweave.functions import cells
-from riskweave.operators import raster, spatial
+from riskweave.operators import grid, raster, spatial
 from riskweave.plans import fixtures as X
 from riskweave.plans.registry import query
 from riskweave.session import table
@@ -170,3 +170,32 @@ def line_cells(spark, d):
     y = (k % 7).cast("double") + 0.2
     lines = table(spark, d, "supplier").select("s_suppkey", F.lit(0.1).alias("x0"), y.alias("y0"), (F.lit(0.1) + (k % 5) / 2.0 + 0.2).alias("x1"), y.alias("y1"))
     return spatial.touched_cells(lines).select("s_suppkey", "lon", "lat")
+
+
+@query(
+    """SELECT (((lat + 90.25) * 2 - 1) * 720 + (lon + 180.25) * 2)::INTEGER AS pgid, lat, lon
+    FROM (SELECT 9.75 + r / 2.0 AS lat, -20.25 + c / 2.0 AS lon FROM range(12) a(r), range(62) b(c))"""
+)
+def grid_from_bounds(spark, d):
+    return grid.from_bounds(spark, -20.1, 9.8, 10.3, 15.2).select("pgid", F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon"))
+
+
+@query(
+    """SELECT iso3, r_regionkey, dense_rank() OVER (ORDER BY iso3) - 1 AS cid FROM (SELECT CASE n_name WHEN 'FRANCE' THEN 'GERMANY' ELSE n_name END AS iso3, n_regionkey AS r_regionkey FROM nation WHERE n_name <> 'PERU' AND n_nationkey <> 7)
+    """
+)
+def country_numbers(spark, d):
+    n = table(spark, d, "nation").select(F.col("n_name").alias("iso3"), F.col("n_regionkey").alias("r_regionkey"), "n_nationkey")
+    out = grid.countries(n, {"FRANCE": "GERMANY"}, ["PERU"], F.col("n_nationkey") == 7)
+    return out.select("iso3", "r_regionkey", F.col("cid").cast("long").alias("cid"))
+
+
+@query(
+    """WITH f AS (SELECT user_id, ts, max(value) / 2 AS lat, (max(value) * 37) % 360 - 180 AS lon FROM events GROUP BY ALL),
+    n AS (SELECT *, lead(ts) OVER w AS t2, lead(lat) OVER w AS la2, lead(lon) OVER w AS lo2 FROM f WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+    m AS (SELECT user_id, ts, (epoch_us(t2) - epoch_us(ts)) / 3.6e9 AS hours, sqrt(pow((lo2 - lon + 180 - 360 * floor((lo2 - lon + 180) / 360) - 180) * cos(radians((lat + la2) / 2)) * 111.2, 2) + pow((la2 - lat) * 111.2, 2)) AS km FROM n)
+    SELECT user_id, ts, round(hours, 6) AS hours, round(km, 4) AS km FROM m"""
+)
+def track_motion(spark, d):
+    f = table(spark, d, "events").groupBy("user_id", "ts").agg((F.max("value") / 2).alias("lat"), ((F.max("value") * 37) % 360 - 180).alias("lon"))
+    return grid.track_motion(f, "user_id", "ts").select("user_id", "ts", F.round("hours", 6).alias("hours"), F.round("km", 4).alias("km"))

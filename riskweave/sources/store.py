@@ -64,12 +64,14 @@ class Store:
         self.save(recency(scores, [c for c in scores.columns if c not in keys]), "output", f"recency_{name}", name)
         return name
 
-    def restore(self, release: str) -> list[str]:
+    def restore(self, release: str, overwrite: bool = True) -> list[str]:
         """Split a release into one table for each component: its score and raw columns, without exposure ones."""
         scores = self.load("output", f"scores_{release}", release)
         keys = ["pgid", "year", "quarter"]
         names = [c for c in scores.columns if c not in keys and not c.endswith(("_raw", "_exposure"))]
         for name in names:
+            if not overwrite and self.exists("output", name):
+                continue
             group = [c for c in (name, f"{name}_raw") if c in scores.columns]
             self.save(scores.select(*keys, *group), "output", name)
         return names

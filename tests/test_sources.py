@@ -65,3 +65,33 @@ def test_sessions(spark):
     rows = [("u", "2024-01-01 00:00:00"), ("u", "2024-01-01 00:20:00"), ("u", "2024-01-01 02:00:00")]
     df = spark.createDataFrame(rows, "u string, s string").select("u", F.to_timestamp("s").alias("ts"))
     assert sorted(r.n for r in counts.sessions(df, "ts", ["u"]).collect()) == [1, 2]
+
+
+def test_publishing(spark, tmp_path):
+    from riskweave.plans import publish
+    from riskweave.restore import main
+
+    (tmp_path / "spec.json").write_text(json.dumps({"d": {"weights": {"a": 1}}}))
+    assert publish.load_spec(spark, str(tmp_path / "spec.json")).needs() == {"a"}
+    df = spark.createDataFrame([(1, 2015, 1, 0.5, 1.0), (1, 2015, 2, None, 2.0)], "pgid int, year int, quarter int, d double, d_raw double")
+    shown = publish.dashboard(df, ["d"])
+    assert {(r.quarter, r.d, r.d_raw) for r in shown.collect()} == {(1, 0.5, 1.0), (2, 0.5, 2.0)}
+    assert publish.latest(shown, ["d"]).first().quarter == 2
+    a, b = (spark.createDataFrame([(k, 2000, 1.0)], f"iso3 string, year int, {k} double") for k in ("x", "y"))
+    assert publish.country_data([a, b]).count() == 2
+    Store(spark, str(tmp_path)).release(df, 2015, 2)
+    assert main([str(tmp_path), "2015_Q2"]) == ["d"]
+
+
+def test_grid_of_countries(spark):
+    from riskweave.operators import grid
+
+    with pytest.raises(ValueError):
+        grid.from_bounds(spark, -190, 0, 0, 1)
+    g = grid.from_bounds(spark, 0, 0, 1, 1)
+    ids = sorted(r.pgid for r in g.collect())
+    assert len(ids) == 4
+    shares = spark.createDataFrame([(ids[0], "A", 0.6), (ids[0], "B", 0.4), (ids[1], "A", 0.1), (ids[2], "B", 0.9)], "pgid int, area string, share double")
+    lakes = spark.createDataFrame([(ids[2], 0.8)], "pgid int, share double")
+    assert [(r.pgid, r.iso3) for r in grid.matched(g, shares, lakes).collect()] == [(ids[0], "A")]
+    assert grid.dense(shares, spark, "share", 0, 0, 1, 1).where("share is null").count() == 1
