@@ -49,7 +49,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def broadcast_below(df: DataFrame, size_bytes: int, limit_bytes: int = 64 << 20) -> DataFrame:
+#: The most bytes that are broadcast.
+BROADCAST_LIMIT = 64 << 20
+
+
+def broadcast_below(df: DataFrame, size_bytes: int, limit_bytes: int = BROADCAST_LIMIT) -> DataFrame:
     """Broadcast ``df`` only if its measured size is below the limit.
 
     Past the limit the plan is left to Spark, which then shuffles both sides.
