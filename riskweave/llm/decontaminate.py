@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from riskweave.llm.common import lower_ascii, row_key, split_words, text_of
-from riskweave.session import broadcast_below, cut
+from riskweave.session import BROADCAST_LIMIT, broadcast_below, cut
 
 GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WIDTH = 10
@@ -69,13 +69,17 @@ def postings(docs: DataFrame, terms: DataFrame, size: int, width: int = WIDTH, s
 
     ``near`` holds the words up to width - 1 + slop positions away and ``lead`` the place of the
     term in it. Write it out to keep the index for further benchmarks with these terms.
+    Broadcast terms meet the words before anything is copied; where the terms are too many for
+    that, each word is cut loose with its surroundings first, so a text is never shuffled once a word.
     """
     reach = width - 1 + slop
     each = docs.select(row_key().alias("key"), words().alias("w")).select("key", "w", F.posexplode("w").alias("pos", "term"))
-    found = each.join(broadcast_below(terms, size), "term")
     lead = F.least(F.col("pos"), F.lit(reach))
     near = F.slice("w", F.col("pos") - lead + 1, lead + reach + 1)
-    return found.select("key", "term", "pos", lead.alias("lead"), near.alias("near"))
+    kept = ["key", "term", "pos", lead.alias("lead"), near.alias("near")]
+    if size <= BROADCAST_LIMIT:
+        return each.join(F.broadcast(terms), "term").select(*kept)
+    return each.select(*kept).join(terms, "term")
 
 
 def search(index: DataFrame, anchors: DataFrame, size: int, slop: int = 0) -> DataFrame:
@@ -112,14 +116,19 @@ def covered(spans: Column) -> Column:
     return state["n"]
 
 
+def _bytes(rows: DataFrame, text: str) -> int:
+    """About what the rows take in memory: four times their text and a fixed share each."""
+    return rows.agg(F.sum(F.octet_length(text) * 4 + 64)).first()[0] or 0
+
+
 def find(docs: DataFrame, items: DataFrame, width: int = WIDTH, slop: int = 0) -> tuple[DataFrame, DataFrame]:
     """(matches, windows) of the items in the documents."""
     wins = cut(windows(items, width))
-    terms = wins.select(F.explode("seq").alias("term")).distinct()
-    size = wins.agg(F.sum(F.length("win") * 4)).first()[0] or 0  # bytes, with what arrays add
-    anchors = cut(anchored(wins, term_counts(docs, terms, size)))
-    index = postings(docs, anchors.select("term").distinct(), size, width, slop)
-    return search(index, anchors, size, slop), wins
+    terms = cut(wins.select(F.explode("seq").alias("term")).distinct())
+    anchors = cut(anchored(wins, term_counts(docs, terms, _bytes(terms, "term"))))
+    rarest = anchors.select("term").distinct()
+    index = postings(docs, rarest, _bytes(rarest, "term"), width, slop)
+    return search(index, anchors, _bytes(anchors, "win"), slop), wins
 
 
 def contaminated(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import row_key, text_of
+from riskweave.llm.common import bind, row_key, text_of
 from riskweave.session import cut
 
 WIDTH = 3
@@ -29,13 +29,14 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
+def _worded(line: Column) -> Column:
+    return line.rlike(r"[^\x20\x09-\x0D]")
+
+
 def occurrences(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(hash, at): every window; ``at`` orders occurrences: no id, id, text hash, size, place."""
-    worded = F.filter(
-        F.transform(_lines(text_of()), lambda line, i: F.struct(F.trim(line).alias("line"), i.alias("i"))),
-        lambda x: x["line"].rlike(r"[^\x20\x09-\x0D]"),
-    )
-    rows = docs.select(row_key().alias("key"), F.transform(worded, lambda x: x["line"]).alias("lines")).where(F.size("lines") > 0)
+    worded = F.filter(F.transform(_lines(text_of()), lambda line: F.trim(line)), _worded)
+    rows = docs.select(row_key().alias("key"), worded.alias("lines")).where(F.size("lines") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.size("lines") - width + 1, F.lit(1)))
     each = rows.select("key", "lines", F.explode(starts).alias("s"))
     window = F.array_join(F.slice("lines", F.col("s"), F.lit(width)), "\n")
@@ -60,24 +61,28 @@ def marked(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     # The removals are the built side: the texts stream past and are never sorted.
     joined = keyed.join(gone.hint("shuffle_hash"), same[0] & same[1] & same[2], "left")
 
-    def step(s: Column, line: Column) -> Column:
-        """A line is covered if one of the windows that start at it or just before is marked."""
-        worded = line.rlike(r"[^\x20\x09-\x0D]")
-        gone_now = worded & F.arrays_overlap("_gone_starts", F.sequence(s["at"] + 2 - width, s["at"] + 1))
-        return F.struct(
-            F.when(gone_now, s["kept"]).otherwise(F.array_append(s["kept"], line)).alias("kept"),
-            (s["at"] + worded.cast("int")).alias("at"), (s["cut"] + gone_now.cast("int")).alias("cut"),
-        )
-
-    start = F.struct(F.array().cast("array<string>").alias("kept"), F.lit(0).alias("at"), F.lit(0).alias("cut"))
-    state = F.when(F.col("_gone_starts").isNotNull(), F.aggregate(_lines(text_of()), start, step))
+    def without(lines: Column) -> Column:
+        """The lines left and the number gone; only hash sets and lookups by place, so linear in the text."""
+        places = F.filter(F.transform(lines, lambda line, i: F.when(_worded(line), i)), lambda i: i.isNotNull())
+        marks = F.array_distinct(F.flatten(F.transform("_gone_starts", lambda s: F.sequence(s - 1, s + width - 2))))
+
+        def drop(at: Column) -> Column:
+            gone = F.filter(F.transform(marks, lambda k: F.get(at, k)), lambda i: i.isNotNull())
+            left = lambda g: F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), g)
+            return bind(
+                gone,
+                lambda g: F.struct(F.transform(left(g), lambda i: F.get(lines, i)).alias("kept"), F.size(g).alias("cut"), F.size(at).alias("all")),
+            )
+
+        return bind(places, drop)
+
+    state = F.when(F.col("_gone_starts").isNotNull(), bind(_lines(text_of()), without))
     names = [c for c in docs.columns if c not in ("line_text", "n_lines", "n_removed")]
-    worded = F.size(F.filter(_lines(text_of()), lambda line: line.rlike(r"[^\x20\x09-\x0D]")))
-    done = joined.select(*names, text_of().alias("_old"), state.alias("_line_state"), worded.cast("long").alias("n_lines"))
+    done = joined.select(*names, text_of().alias("_old"), state.alias("_line_state"))
     return done.select(
         *names,
         F.coalesce(F.array_join("_line_state.kept", "\n"), "_old").alias("line_text"),
-        "n_lines",
+        F.coalesce("_line_state.all", F.size(F.filter(_lines(F.col("_old")), _worded))).cast("long").alias("n_lines"),
         F.coalesce("_line_state.cut", F.lit(0)).cast("long").alias("n_removed"),
     )
 

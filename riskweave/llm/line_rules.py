@@ -46,7 +46,7 @@ def _count(text: Column, chars: str) -> Column:
 def failed_rule(line: Column) -> Column:
     """The rule a line fails: punctuation, navigation, boilerplate, or null."""
     size = F.length(line)
-    few = F.size(F.split(F.trim(line), SPACE, SHORT_WORDS + 1)) <= SHORT_WORDS  # stops splitting there
+    few = F.size(F.split(F.trim(line, F.lit(" \t\n\x0b\f\r")), SPACE, SHORT_WORDS + 1)) <= SHORT_WORDS  # stops splitting there
     shouts = F.size(F.split(line, r"[!?]{2,}")) - 1
     upper = F.length(F.regexp_replace(line, r"[^\p{Lu}]+", ""))
     letters = F.length(F.regexp_replace(line, r"[^\p{L}]+", ""))

@@ -6,7 +6,7 @@ the variants are shuffled, and whatever collides is checked bit by bit. A
 variant has at most 65 fingerprints within one bit, so no bucket can grow with
 the data; equal fingerprints are one node however many documents carry them.
 Inside a bucket all members link to the least one, which keeps every
-connection without emitting all pairs; where r > 2 the pairs between a bucket
+connection without emitting all pairs; at other radii the pairs between a bucket
 and its least member may be further apart than r, so there every bucket pair
 is verified.
 
@@ -82,7 +82,7 @@ def links(fps: DataFrame, radius: int = 2) -> DataFrame:
         F.col("fp"), F.col("fp").bitwiseXOR(F.col("mask")).alias("variant")
     )
     near = lambda a, b: F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= radius
-    if radius <= 2:
+    if radius % 2 == 0 and radius <= 2:
         # Both lie within one bit of the variant, so each is within two of the least.
         pairs = balls.select(F.min("fp").over(Window.partitionBy("variant")).alias("a"), F.col("fp").alias("b"))
     else:

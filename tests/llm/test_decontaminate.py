@@ -62,6 +62,7 @@ def test_windows_against_brute_force(spark):
 
 def test_without_broadcast(spark, monkeypatch):
     monkeypatch.setattr(d, "broadcast_below", lambda df, size: df)
+    monkeypatch.setattr(d, "BROADCAST_LIMIT", -1)
     a, b = tables(spark)
     assert got(d.report(a, b)) == brute(TEXTS, ITEMS)
 

@@ -41,3 +41,13 @@ def test_repeated_rows_share_a_result(spark):
     df = spark.createDataFrame([(1, "\n".join([A, B, C]))] * 3 + [(2, "\n".join([A, B, C]))], "doc_id long, text string")
     got = sorted((r.doc_id, r.n_removed) for r in ld.marked(df).collect())
     assert got == [(1, 0), (1, 0), (1, 0), (2, 3)]
+
+
+def test_a_very_long_repeated_text(spark):
+    text = "\n".join(f"line {i}" if i % 7 else "" for i in range(60_000))
+    df = spark.createDataFrame([(1, text), (2, text + "\nanother line")], "doc_id long, text string")
+    rows = {r.doc_id: r for r in ld.marked(df).collect()}
+    worded = sum(1 for i in range(60_000) if i % 7)
+    assert (rows[1].n_removed, rows[1].line_text) == (0, text)
+    assert (rows[2].n_lines, rows[2].n_removed) == (worded + 1, worded)
+    assert rows[2].line_text == "\n" * (60_000 - worded) + "another line"

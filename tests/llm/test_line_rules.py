@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from riskweave.llm import line_rules as r
 from tests.conftest import DATA
@@ -76,3 +77,9 @@ def test_cleaned_text(spark):
     text = words(60) + ".\nHome\nAll rights reserved by all.\n" + words(30, 70) + "."
     out = r.clean(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
     assert out.text == words(60) + ".\n" + words(30, 70) + "."
+
+
+def test_blanks_around_a_line_do_not_count_as_words(spark):
+    lines = ["three short words", "\tthree short words", "three short words\r", "\x0b three short words \f"]
+    df = spark.createDataFrame([(x,) for x in lines], "line string").select(r.failed_rule(F.col("line")).alias("rule"))
+    assert {row.rule for row in df.collect()} == {"navigation"}

@@ -78,6 +78,14 @@ def test_links_find_every_near_pair(spark):
         assert all(same[a] == same[b] for a, b in near)
 
 
+def test_radius_one_keeps_links_past_the_least_of_a_bucket(spark):
+    b = 0b1000
+    fps = [0b1001, b, 0b1100, 0b0001, 0b0000]  # the bucket of each meets some least member that is two bits away
+    edges = s.links(spark.createDataFrame([(x,) for x in fps], "fp long"), 1)
+    near = {(x, y) for x in fps for y in fps if x < y and (x ^ y).bit_count() == 1}
+    assert {(r.a, r.b) for r in edges.collect()} == near
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 300)] + [(5000, 5001), (5001, 5000), (7, 7)]
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
