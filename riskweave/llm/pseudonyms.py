@@ -29,7 +29,7 @@ KEY = "not a secret"
 
 #: Fixed patterns, in the order in which they are tried at a place.
 PATTERNS = {
-    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,254}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){1,126}",  # bounded: long runs stay linear
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
     "date": r"(?<![\d.])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\d])",
     "ip": r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d]|\.\d)",

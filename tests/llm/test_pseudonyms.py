@@ -110,3 +110,13 @@ def test_documents(spark):
         for card in re.findall(r"(?<!\d)\d{16}(?!\d)", r.old):
             assert card not in r.text if luhn(card) else card in r.text
         assert r.old.count("\n") == r.text.count("\n")
+
+
+def test_long_runs_without_a_blank(spark):
+    """A run of a million letters takes linear time; so do very many labels after an @."""
+    run_of = "a" * 1_000_000
+    many = "me@x" + ".y" * 20_000
+    out = run(spark, [run_of, many, "write to jo@example.org"])
+    assert out[0] == (run_of, 0, "")
+    assert out[1][2].startswith("email") and "me@" not in out[1][0]
+    assert out[2][2] == "email"
