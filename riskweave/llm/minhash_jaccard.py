@@ -1,0 +1,153 @@
+"""Near-duplicate classes by Jaccard similarity: MinHash bands propose, exact sets decide.
+
+A text is the set of its five-word shingles. Texts with equal sets are one node
+however many documents carry them. Every node has ``BANDS`` fingerprints of
+``ROWS`` minima each; nodes that share one are candidates (a pair at similarity
+0.8 shares none with probability (1 - 0.8^5)^20 = 0.0004). First all nodes of a
+bucket are compared with one of them. Buckets of more than two nodes that this
+leaves in several classes are then compared in full, every node against all
+those of other classes, so no pair of a bucket goes unexamined; only links that
+join two classes come out, never all pairs. All comparisons are exact Jaccard
+similarities of the whole sets.
+
+Results by case: null, empty and blank texts are one class; a text of fewer
+words than a shingle is hashed whole. Extra columns are ignored.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from itertools import repeat
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from riskweave.llm.common import connected_components
+from riskweave.llm.simhash_ball import best_rows
+from riskweave.session import broadcast_below, cut
+
+SHINGLE, SIMILARITY = 5, 0.8
+BANDS, ROWS, SEED = 20, 5, 42
+_RANDOM = np.random.default_rng(SEED)
+_FLIP = _RANDOM.integers(0, 1 << 64, (BANDS * ROWS, 1), dtype=np.uint64)
+_TIMES = _RANDOM.integers(0, 1 << 64, (BANDS * ROWS, 1), dtype=np.uint64) | np.uint64(1)
+
+
+def shingles(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
+    """The sorted distinct hashes of the shingles of UTF-8 bytes, A-Z read as a-z."""
+    words = text.lower().split() if text else []
+    if len(words) < shingle:
+        grams = [b" ".join(words)] if words else []
+    else:
+        grams = map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(SEED)), dtype="<u8"))
+
+
+def bands(grams: np.ndarray) -> list[int]:
+    """One signed number for each band: a hash of its minima."""
+    if not len(grams):
+        return []
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for start in range(0, len(grams), 4096):  # bounded memory on very long texts
+        least = np.minimum(least, ((grams[start : start + 4096] ^ _FLIP) * _TIMES).min(1))
+    keys = [xxhash.xxh64_intdigest(part.tobytes(), band) for band, part in enumerate(least.reshape(BANDS, ROWS))]
+    return [k - (1 << 64) if k >> 63 else k for k in keys]
+
+
+def _node(grams: np.ndarray) -> int:
+    key = xxhash.xxh64_intdigest(grams.tobytes(), SEED)
+    return key - (1 << 64) if key >> 63 else key
+
+
+def marked_rows(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(doc_id, h, fp, bands) for every row; fp names the set of shingles, h is a hash of the text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(text.as_py(), shingle) for text in batch.column("text")]
+            arrays = [pa.array(map(_node, sets), pa.int64()), pa.array(map(bands, sets), pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("h"), *arrays], names=["doc_id", "h", "fp", "bands"])
+
+    kept = docs.select("doc_id", F.xxhash64("text").alias("h"), F.col("text").cast("binary").alias("text"))
+    return kept.mapInArrow(run, f"doc_id {dict(kept.dtypes)['doc_id']}, h long, fp long, bands array<long>")
+
+
+def sets_of(docs: DataFrame, marked: DataFrame, nodes: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(fp, grams): the whole shingle set of each node asked for, from the text of one of its rows."""
+    one = cut(marked.join(nodes, "fp", "left_semi").groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h")).alias("r")))
+    wanted = one.select(F.col("r.doc_id").alias("wanted"), F.col("r.h").alias("wanted_h")).distinct()
+    rows = docs.select("doc_id", F.xxhash64("text").alias("h"), F.col("text").cast("binary").alias("text"))
+    same = F.col("doc_id").eqNullSafe(F.col("wanted")) & (F.col("h") == F.col("wanted_h"))
+    # An id may be a string: 96 bytes are ample for a row of keys.
+    picked = rows.join(broadcast_below(wanted, 96 * one.count()), same, "left_semi").select("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(text.as_py(), shingle) for text in batch.column("text")]
+            arrays = [pa.array(map(_node, sets), pa.int64()), pa.array([s.view("<i8") for s in sets], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["fp", "grams"])
+
+    return picked.mapInArrow(run, "fp long, grams array<long>").dropDuplicates(["fp"])
+
+
+def jaccard(a: Column, b: Column) -> Column:
+    both = F.size(F.array_intersect(a, b))
+    return both / (F.size(a) + F.size(b) - both)
+
+
+def joining_links(fps: np.ndarray, roots: np.ndarray, sets: list[np.ndarray], least: float) -> list[tuple[int, int]]:
+    """Links that join the classes of one bucket wherever any two of their nodes are similar enough."""
+    number, at = np.unique(np.concatenate(sets), return_inverse=True)
+    sizes = np.array([len(s) for s in sets])
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    _, group = np.unique(roots, return_inverse=True)
+    largest = np.bincount(group).argmax()
+    found = []
+    for i in np.flatnonzero(group != largest):  # any pair of two classes has a node outside the largest
+        mine = np.zeros(len(number), np.int64)
+        mine[at[starts[i] : starts[i] + sizes[i]]] = 1
+        both = np.add.reduceat(mine[at], starts)
+        for j in np.flatnonzero(both >= least * (sizes + sizes[i] - both)):
+            if group[j] != group[i]:
+                found.append((int(fps[i]), int(fps[j])))
+                group[group == group[j]] = group[i]
+    return found
+
+
+def links(docs: DataFrame, marked: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE) -> DataFrame:
+    """Edges (a, b) of nodes that keep every connection of similar nodes sharing a band."""
+    nodes = marked.groupBy("fp").agg(F.first("bands").alias("bands"))
+    each = nodes.select("fp", F.explode("bands").alias("bucket"))
+    size = each.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("fp", "bucket").alias("o"), "fp")).alias("m"))
+    shared = size.where("n > 1").select("bucket", "n", F.col("m.fp").alias("centre"))
+    members = cut(each.join(shared, "bucket"))
+    sets = cut(sets_of(docs, marked, members.select("fp").distinct(), shingle))
+    pairs = members.where("fp <> centre").select(F.least("fp", "centre").alias("a"), F.greatest("fp", "centre").alias("b")).distinct()
+    whole = pairs.join(sets.select(F.col("fp").alias("a"), F.col("grams").alias("x")), "a").join(sets.select(F.col("fp").alias("b"), F.col("grams").alias("y")), "b")
+    direct = cut(whole.where(jaccard(F.col("x"), F.col("y")) >= similarity).select("a", "b"))
+    roots = connected_components(direct).withColumnRenamed("node", "fp")
+    placed = cut(members.where("n > 2").join(roots, "fp", "left").select("fp", "bucket", F.coalesce("root", "fp").alias("root")))
+    split = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("bucket")
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        found = joining_links(frame["fp"].to_numpy(), frame["root"].to_numpy(), [np.asarray(g) for g in frame["grams"]], similarity)
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    rest = placed.join(split, "bucket").join(sets, "fp").groupBy("bucket").applyInPandas(compare, "a long, b long")
+    return direct.unionByName(rest)
+
+
+def rooted(docs: DataFrame, marked: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE) -> DataFrame:
+    """(fp, root): the class of every node."""
+    roots = connected_components(links(docs, marked, similarity, shingle)).withColumnRenamed("node", "fp")
+    return marked.select("fp").distinct().join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
+def deduplicate(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE) -> DataFrame:
+    """One row of each class: that of the least doc_id, null last; of several, that of the least text hash."""
+    marked = cut(marked_rows(docs, shingle))
+    return best_rows(docs, marked, rooted(docs, marked, similarity, shingle))

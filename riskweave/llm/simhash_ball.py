@@ -110,8 +110,13 @@ def classes(docs: DataFrame, radius: int = 2, shingle: int = 3) -> DataFrame:
 def deduplicate(docs: DataFrame, radius: int = 2, shingle: int = 3) -> DataFrame:
     """One row of each class: that of the least doc_id, null last; of several, that of the least text hash."""
     marked = cut(fingerprints(docs, shingle))
+    return best_rows(docs, marked, rooted(marked, radius))
+
+
+def best_rows(docs: DataFrame, marked: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stand for their class: ``marked`` has (doc_id, h, fp), ``roots`` (fp, root)."""
     rank = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h")).alias("best")
-    least = marked.groupBy("fp").agg(rank).join(rooted(marked, radius), "fp")
+    least = marked.groupBy("fp").agg(rank).join(roots, "fp")
     best = cut(least.groupBy("root").agg(F.min("best").alias("best")).select("best.doc_id", "best.h"))
     rows = docs.withColumn("text_hash_of_row", F.xxhash64("text"))
     same = rows["doc_id"].eqNullSafe(best["doc_id"]) & (rows["text_hash_of_row"] == best["h"])

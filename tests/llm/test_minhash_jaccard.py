@@ -1,0 +1,66 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+
+import corpus_pipeline as cp
+from riskweave.llm import minhash_jaccard as m
+from tests.conftest import DATA
+
+
+def grams(text):
+    w = (text or "").encode().lower().split()
+    return frozenset(b" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+
+
+def least_of_classes(rows):
+    """Brute force: the least id of each component of the pairs with a Jaccard similarity of 0.8."""
+    sets = [grams(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a == b or (a and b and 5 * len(a & b) >= 4 * len(a | b)):
+                root[top(i)] = top(j)
+    return sorted(min(d for k, (d, _) in enumerate(rows) if top(k) == r) for r in {top(k) for k in range(len(rows))})
+
+
+def test_stage_finds_edited_copies(spark):
+    """Copies with edited words, many and few bits apart, chains and a crowd around one text."""
+    rng = random.Random(3)
+    rows = []
+    for family in range(12):
+        base = [f"f{family}w{rng.randrange(5000)}" for _ in range(200)]
+        for edits in (0, 0, 1, 2, 3, 4, 5, 8, 20) if family else (0, *range(1, 7)) * 8:
+            w = list(base)
+            for i in rng.sample(range(200), edits):
+                w[i] = f"x{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(w)))
+    rows += [(len(rows) + i, t) for i, t in enumerate((None, "", " \n", "one two", "One two", "one three"))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in cp.one_of_each(spark, df, DATA).collect()) == least_of_classes(rows)
+
+
+def test_stage_on_documents_against_brute_force(spark):
+    df = spark.read.parquet(f"{DATA}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in df.collect()]
+    assert sorted(r.doc_id for r in cp.one_of_each(spark, df, DATA).collect()) == least_of_classes(rows)
+
+
+def test_links_past_the_centre_of_a_bucket():
+    sets = [np.arange(k, 100 + k, dtype=np.int64) for k in (0, 8, 16, 24, 500)]
+    fps = np.array([10, 11, 12, 13, 14])
+    got = m.joining_links(fps, fps, sets, 0.8)
+    assert len(got) == 3 and {x for pair in got for x in pair} == {10, 11, 12, 13}
+
+
+def test_rows_of_one_id(spark, docs, crowded):
+    out = m.deduplicate(docs)
+    assert out.columns == docs.columns and m.deduplicate(crowded).columns == crowded.columns
+    assert m.deduplicate(out).count() == out.count()
