@@ -2,7 +2,7 @@
 
 Base spans are plain matches of three kinds: assignments of passwords and
 tokens, access-key ids, and long hex runs. The method then takes every long
-base64 or hex run as a candidate, decodes it, and reports it only if the bytes
+base64 or hex run, also one wrapped over lines, as a candidate, decodes it, and reports it only if the bytes
 have the structure of a secret: a signed token whose header names an algorithm,
 a DER private key whose nested lengths add up, an OpenSSH private key whose
 length-prefixed fields do, or a text that itself holds a base secret. Base
@@ -31,8 +31,12 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 MIN_VALUE = 8
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{24,}={0,2}")
-HEX_ANY = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{48,}|[0-9A-F]{48,})(?![0-9A-Za-z])")
+#: The shortest base secret, token= and eight characters, has 14 bytes: 19 characters of base64, 28 of hex.
+BASE64 = re.compile(r"[A-Za-z0-9+/_-]{19,}={0,2}")
+HEX_ANY = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{28,}|[0-9A-F]{28,})(?![0-9A-Za-z])")
+#: A base64 run that ends its line, before a line that is nothing but base64; and such a line.
+LINE_END = re.compile(r"(?<![A-Za-z0-9+/_-])([A-Za-z0-9+/_-]{8,})[ \t]*\r?\n(?=[ \t]*[A-Za-z0-9+/_-]+={0,2}[ \t]*(?:\r?\n|\Z))")
+WHOLE_LINE = re.compile(r"[ \t]*([A-Za-z0-9+/_-]+)(={0,2})[ \t]*(?:\r?\n|\Z)")
 TOKEN = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
 PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----([A-Za-z0-9+/=\s:,-]*?)-----END \1-----")
 
@@ -62,6 +66,33 @@ def decode64(run: str) -> bytes | None:
         return None
 
 
+def wrapped_runs(text: str) -> Iterator[list[tuple[int, int]]]:
+    """The line spans of base64 that goes on over lines: any start, lines of one width, a last one no wider."""
+    at = 0
+    while m := LINE_END.search(text, at):
+        spans, at, width = [m.span(1)], m.end(), None
+        while line := WHOLE_LINE.match(text, at):
+            n = line.end(2) - line.start(1)
+            if width is not None and n > width:
+                break
+            spans.append((line.start(1), line.end(2)))
+            at = line.end()
+            if line[2] or width is not None and n < width:
+                break
+            width = n
+        yield spans
+        at = spans[-1][0]  # the last line may begin another run
+
+
+def wrapped_choices(spans: list[tuple[int, int]]) -> Iterator[list[tuple[int, int]]]:
+    """A run without a word above it or below it that only looks like part of it, the longest first."""
+    last = len(spans)
+    for end in sorted({last, last - 1, 2}, reverse=True):
+        for start in (0, 1):
+            if end - start >= 2:
+                yield spans[start:end]
+
+
 def der_items(data: bytes) -> list[tuple[int, bytes]] | None:
     """The (tag, content) items that fill ``data`` exactly, or None."""
     items, at = [], 0
@@ -168,6 +199,15 @@ def confirmed_spans(text: str) -> list[Span]:
                 found.append((m.start(), m.end(), "pem"))
     taken = [(a, b) for a, b, _ in found]
     free = lambda m: not any(a < m.end() and m.start() < b for a, b in taken)
+    for spans in wrapped_runs(text):
+        for part in wrapped_choices(spans):
+            start, end = part[0][0], part[-1][1]
+            if any(a < end and start < b for a, b in taken):
+                continue
+            if kind := _kind_of(decode64("".join(text[a:b] for a, b in part))):
+                found.append((start, end, kind))
+                taken.append((start, end))
+                break
     for m in BASE64.finditer(text):
         if free(m) and (kind := _kind_of(decode64(m[0]))):
             found.append((m.start(), m.end(), kind))
