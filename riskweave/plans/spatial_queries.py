@@ -148,7 +148,7 @@ def points_in_polygons(spark, d):
     shapes = spark.range(1).select(F.explode(F.array(
         F.struct(F.lit("box").alias("area"), F.lit("POLYGON ((1 1, 4 1, 4 5, 1 5, 1 1))").alias("wkt")),
         F.struct(F.lit("triangle").alias("area"), F.lit("POLYGON ((3 2, 9 2, 9 8, 3 2))").alias("wkt")),
-    )).alias("s")).select("s.area", spatial.ring_array(F.col("s.wkt")).alias("ring"))
+    )).alias("s")).select("s.area", spatial.polygon_parts(F.col("s.wkt")).alias("parts"))
     return spatial.points_in_polygons(p, shapes).select("id", "area")
 
 
@@ -160,7 +160,7 @@ def points_in_polygons(spark, d):
 def polygon_shares(spark, d):
     i = F.col("id")
     g = spark.range(144).select((F.floor(i / 12) / 2 + 0.25).alias("lon"), (i % 12 / 2 + 0.25).alias("lat"), (F.floor(i / 12) * 100 + i % 12).alias("pgid"))
-    box = spark.range(1).select(F.lit("box").alias("area"), spatial.ring_array(F.lit("POLYGON ((1.2 0.9, 4.1 0.9, 4.1 5.3, 1.2 5.3, 1.2 0.9))")).alias("ring"))
+    box = spark.range(1).select(F.lit("box").alias("area"), spatial.polygon_parts(F.lit("POLYGON ((1.2 0.9, 4.1 0.9, 4.1 5.3, 1.2 5.3, 1.2 0.9))")).alias("parts"))
     return spatial.area_bridge(g, box).select("pgid", "area", F.round("share", 8).alias("share"))
 
 
