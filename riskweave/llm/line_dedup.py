@@ -23,6 +23,7 @@ from riskweave.llm.common import bind, row_key, text_of
 from riskweave.session import cut
 
 WIDTH = 3
+MADE = ("line_text", "n_lines", "n_removed")
 
 
 def _lines(text: Column) -> Column:
@@ -55,16 +56,23 @@ def later(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 def marked(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """All rows and columns of ``docs``, but its own of these names, with line_text, the text without repeats, n_lines and n_removed."""
-    gone = cut(later(docs, width)).select(*[F.col(c).alias(f"_gone_{c}") for c in ("id", "h", "n", "starts")])
-    keyed = docs.withColumn("_key_of_row", row_key())
-    same = [keyed[f"_key_of_row.{c}"].eqNullSafe(gone[f"_gone_{c}"]) for c in ("id", "h", "n")]
+    names = [c for c in docs.columns if c not in MADE]
+    return _stripped(docs, width).select(*[F.col("old") if c == "text" else F.col(f"row.`{c}`") for c in names], *MADE).toDF(*names, *MADE)
+
+
+def _stripped(docs: DataFrame, width: int) -> DataFrame:
+    """(row, old, line_text, n_lines, n_removed): ``row`` has all columns but the text, ``old``, so no names clash."""
+    docs = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"))
+    gone = cut(later(docs, width)).select(*[F.col(c).alias(f"gone_{c}") for c in ("id", "h", "n", "starts")])
+    keyed = docs.withColumn("key", row_key())
+    same = [keyed[f"key.{c}"].eqNullSafe(gone[f"gone_{c}"]) for c in ("id", "h", "n")]
     # The removals are the built side: the texts stream past and are never sorted.
     joined = keyed.join(gone.hint("shuffle_hash"), same[0] & same[1] & same[2], "left")
 
     def without(lines: Column) -> Column:
         """The lines left and the number gone; only hash sets and lookups by place, so linear in the text."""
         places = F.filter(F.transform(lines, lambda line, i: F.when(_worded(line), i)), lambda i: i.isNotNull())
-        marks = F.array_distinct(F.flatten(F.transform("_gone_starts", lambda s: F.sequence(s - 1, s + width - 2))))
+        marks = F.array_distinct(F.flatten(F.transform("gone_starts", lambda s: F.sequence(s - 1, s + width - 2))))
 
         def drop(at: Column) -> Column:
             gone = F.filter(F.transform(marks, lambda k: F.get(at, k)), lambda i: i.isNotNull())
@@ -76,18 +84,18 @@ def marked(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
         return bind(places, drop)
 
-    state = F.when(F.col("_gone_starts").isNotNull(), bind(_lines(text_of()), without))
-    names = [c for c in docs.columns if c not in ("line_text", "n_lines", "n_removed")]
-    done = joined.select(*names, text_of().alias("_old"), state.alias("_line_state"))
+    state = F.when(F.col("gone_starts").isNotNull(), bind(_lines(text_of()), without))
+    done = joined.select("row", F.col("text").alias("old"), state.alias("state"))
     return done.select(
-        *names,
-        F.coalesce(F.array_join("_line_state.kept", "\n"), "_old").alias("line_text"),
-        F.coalesce("_line_state.all", F.size(F.filter(_lines(F.col("_old")), _worded))).cast("long").alias("n_lines"),
-        F.coalesce("_line_state.cut", F.lit(0)).cast("long").alias("n_removed"),
+        "row",
+        "old",
+        F.coalesce(F.array_join("state.kept", "\n"), text_of("old")).alias("line_text"),
+        F.coalesce("state.all", F.size(F.filter(_lines(text_of("old")), _worded))).cast("long").alias("n_lines"),
+        F.coalesce("state.cut", F.lit(0)).cast("long").alias("n_removed"),
     )
 
 
 def clean(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """The rows of ``docs``, their text without repeated lines; a text left blank stays as ''."""
-    row = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), "doc_id", "text")
-    return marked(row, width).select(F.col("_row").withField("text", F.col("line_text")).alias("_row")).select("_row.*")
+    """The rows of ``docs`` with all their columns, their text without repeated lines; a text left blank stays as ''."""
+    names = docs.columns
+    return _stripped(docs, width).select(*[F.col("line_text") if c == "text" else F.col(f"row.`{c}`") for c in names]).toDF(*names)

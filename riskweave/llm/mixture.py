@@ -11,12 +11,14 @@ taken is decided by a seeded hash, so reruns agree.
 
 Only (source, length) histograms meet in one task, never documents: a group of
 equal (source, length) is ranked in slices of the hash range, whose counts give
-each slice its offset.
+each slice its offset. Rows that repeat each other are counted per input
+partition first and ranked as one, so no window holds them all.
 
 Results by case: a null text has size 0; sizes of 0 take 0; a null source is a
-source of its own, the last; ties in the hash are broken by doc_id, null first,
-and equal rows are interchangeable. An empty table gives no rows. Extra columns
-are ignored.
+source of its own, the last; the order hashes id and text, so rows without an id
+or with one in common are told apart by their texts, and equal rows are
+interchangeable. An empty table gives no rows. Extra columns are ignored by
+``mix``; ``apply_mix`` returns them whatever their names.
 """
 
 from __future__ import annotations
@@ -35,9 +37,10 @@ SPACE = r"[\x20\x09-\x0D]+"
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size, order): the exact word count and the seeded place in line."""
+    """(doc_id, source, h, size, order, part): the exact word count, the seeded place in line, the input partition."""
     size = F.size(split_words(text_of(), SPACE)).cast("long")
-    return docs.select("doc_id", "source", size.alias("size"), F.xxhash64(F.lit(SEED), "doc_id").alias("order"))
+    h = F.xxhash64(text_of())
+    return docs.select("doc_id", "source", h.alias("h"), size.alias("size"), F.xxhash64(F.lit(SEED), "doc_id", h).alias("order"), F.spark_partition_id().alias("part"))
 
 
 def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, budget: float = BUDGET, cap: float = CAP) -> DataFrame:
@@ -120,8 +123,9 @@ def _fit_source(frame: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, budget: float = BUDGET, cap: float = CAP) -> DataFrame:
-    """Per row: doc_id, size, source_size, target and taken, the words the mix takes of it."""
+def plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, budget: float = BUDGET, cap: float = CAP) -> DataFrame:
+    """(doc_id, source, h, size, n, source_size, target, whole, more): of each ``n`` equal rows, ``more`` are taken
+    once more than ``whole`` times."""
     rows = cut(sized(docs))
     goals = cut(targets(rows, weights, budget, cap))
     # Slices of the hash range in rising order: a slice's offset is the count of those before it.
@@ -142,22 +146,44 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, budget: float = B
         .join(goals, F.col("of").eqNullSafe(F.col("source")))
         .drop("source")
     )
-    ranked = rows.withColumn("slice", slice_of).withColumn(
-        "rank", F.row_number().over(Window.partitionBy("source", "size", "slice").orderBy("order", "doc_id"))
-    )
+    alike = rows.groupBy("source", "size", slice_of, "order", "doc_id", "h", "part").agg(F.count("*").alias("n"))
+    upto = Window.partitionBy("source", "size", "slice").orderBy("order", "doc_id", "h", "part").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = alike.withColumn("ahead", F.coalesce(F.sum("n").over(upto), F.lit(0)))
     joined = ranked.join(asked, F.col("source").eqNullSafe(F.col("of")) & (F.col("size") == F.col("len")) & (F.col("slice") == F.col("cell")))
-    copies = F.col("whole") + (F.col("rank") <= F.col("extra")).cast("long")
-    return joined.select("doc_id", "size", "source_size", "target", (F.col("size") * copies).alias("taken"))
+    more = F.greatest(F.least(F.col("extra") - F.col("ahead"), F.col("n")), F.lit(0))
+    return joined.select("doc_id", "source", "h", "size", "n", "source_size", "target", "whole", more.alias("more"))
+
+
+def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, budget: float = BUDGET, cap: float = CAP) -> DataFrame:
+    """Per row: doc_id, size, source_size, target and taken, the words the mix takes of it."""
+    # ``n`` counts equal rows of one input partition, which bounds the sequence.
+    each = plan(docs, weights, budget, cap).withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    copies = F.col("whole") + (F.col("i") <= F.col("more")).cast("long")
+    return each.select("doc_id", "size", "source_size", "target", (F.col("size") * copies).alias("taken"))
 
 
 def apply_mix(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it."""
-    plan = mix(docs, **settings).where("taken > 0").select(
-        F.col("doc_id").alias("_mixed"), (F.col("taken") / F.col("size")).cast("int").alias("_copies")
+    """The rows of ``docs``, each as often as the mix takes it; of equal rows, as many in all as it takes."""
+    key = ("doc_id", "source", "h")
+    takes = plan(docs, **settings).where("size > 0").groupBy(*key).agg(
+        F.sum("n").alias("n"), F.min("whole").alias("whole"), F.sum("more").alias("more")
     )
-    plan = plan.groupBy("_mixed").agg(F.sum("_copies").alias("_copies"), F.count("*").alias("_rows"))
-    joined = docs.join(plan.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(plan["_mixed"]))
-    # Rows that share an id are all taken as often as they are on average, rounded up.
-    times = F.explode(F.sequence(F.lit(1), F.ceil(F.col("_copies") / F.col("_rows")).cast("int")))
-    return joined.select(*[docs[c] for c in docs.columns], times.alias("_copy")).drop("_copy")
-
+    takes = cut(takes.where("whole > 0 or more > 0").select(*[F.col(c).alias(f"of_{c}") for c in key], "n", "whole", "more"))
+    keyed = docs.select("doc_id", "source", F.xxhash64(text_of()).alias("h"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    same = lambda a: F.col("doc_id").eqNullSafe(a["of_doc_id"]) & F.col("source").eqNullSafe(a["of_source"]) & (F.col("h") == a["of_h"])
+    # All rows of a key alike: the texts stream past the takes.
+    even = takes.where("more = 0 or more = n")
+    joined = keyed.join(even.hint("shuffle_hash"), same(even)).withColumn("times", F.col("whole") + (F.col("more") > 0).cast("int"))
+    # Of some keys a part of the equal rows is taken once more: those rows are numbered, by input partition and within it.
+    odd = takes.where("more > 0 and more < n")
+    if not odd.isEmpty():
+        some = cut(keyed.join(odd, same(odd)).withColumn("part", F.spark_partition_id()))
+        counts = some.groupBy(*key, "part").agg(F.count("*").alias("c"))
+        ahead = counts.withColumn("ahead", F.coalesce(F.sum("c").over(Window.partitionBy(*key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        ahead = ahead.select(*[F.col(c).alias(f"in_{c}") for c in (*key, "part")], "ahead")
+        within = some.withColumn("i", F.row_number().over(Window.partitionBy(*key, "part").orderBy("h")))
+        met = within["doc_id"].eqNullSafe(ahead["in_doc_id"]) & within["source"].eqNullSafe(ahead["in_source"]) & (within["h"] == ahead["in_h"]) & (within["part"] == ahead["in_part"])
+        numbered = within.join(ahead, met).withColumn("times", F.col("whole") + (F.col("i") + F.col("ahead") <= F.col("more")).cast("int"))
+        joined = joined.select("row", "times").unionByName(numbered.where("times > 0").select("row", "times"))
+    copied = joined.select("row", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("copy"))
+    return copied.select("row.*")

@@ -12,8 +12,10 @@ different. All of it is SQL expressions inside the row; nothing is shuffled.
 
 Results by case: a null text stays null, a text without validated values is
 unchanged; values that fail validation stay as they are; dates outside 1900 to
-2099 stay too. Repeated rows get equal results. ``protect`` replaces columns
-named n_pii and pii_kinds and keeps the others.
+2099 stay too. Slash dates are read month first and, where that is no date, day
+first. An IBAN ends where its country's length says, so what follows it can't
+spoil it. Repeated rows get equal results. ``protect`` replaces columns named
+n_pii and pii_kinds and keeps the others whatever their names.
 """
 
 from __future__ import annotations
@@ -27,15 +29,34 @@ ROUNDS = 8
 #: For tests and examples only; real runs pass a secret key.
 KEY = "not a secret"
 
+#: The length of an IBAN by country, as registered.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC",
+}
+
+
+def _iban_pattern() -> str:
+    """One alternative for each length; blanks may stand before every fourth character."""
+    ways = []
+    for n, countries in IBAN_LENGTHS.items():
+        full, rest = divmod(n - 4, 4)
+        tail = f" ?[A-Z0-9]{{{rest}}}" if rest else ""
+        ways.append(f"(?:{'|'.join(countries.split())})\\d{{2}}(?: ?[A-Z0-9]{{4}}){{{full}}}{tail}")
+    return f"\\b(?=[A-Z]{{2}}\\d{{2}})(?:{'|'.join(ways)})(?![A-Za-z0-9])"
+
+
 #: Fixed patterns, in the order in which they are tried at a place.
 PATTERNS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,254}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){1,126}",  # bounded: long runs stay linear
-    "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
+    "iban": _iban_pattern(),
     "date": r"(?<![\d.])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\d])",
     "ip": r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d]|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "card": r"(?<![\d-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?![\d-])",
+    "card": r"(?<![\d-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}(?:[ -]\d{3})?|\d{4}[ -]\d{6}[ -]\d{4,5})(?![\d-])",
     "phone": r"(?<![\d])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)",
+    "intl": r"(?<![\d+])\+[1-9]\d{0,2}(?:[ .-]?\(?\d{1,4}\)?){2,6}(?!\d)",
 }
 ANY = "|".join(PATTERNS.values())
 
@@ -133,6 +154,22 @@ def _phone(value: Column, key: str) -> Column:
     return bind(bind(digits(value), body), lambda new: put_back(value, new))
 
 
+def _intl(value: Column, key: str) -> Column:
+    """International numbers: the country code stays, the digits after it are permuted among all of their count."""
+    code = F.regexp_extract(value, r"^\+(\d{1,3})", 1)
+
+    def body(number: Column) -> Column:
+        head = F.substring(number, F.lit(1), F.length(code))
+        rest = F.substring(number, F.length(code) + 1, F.lit(15))
+        made = None
+        for n in range(5, 15):
+            one = _padded(permute(rest.cast("long"), 10 ** (n // 2), 10 ** (n - n // 2), key, F.concat(F.lit(f"intl{n}:"), head)), n)
+            made = F.when(F.length(rest) == n, one) if made is None else made.when(F.length(rest) == n, one)
+        return F.concat(head, made)
+
+    return bind(bind(digits(value), body), lambda new: put_back(value, new))
+
+
 def _ip(value: Column, key: str) -> Column:
     def body(parts: Column) -> Column:
         x = F.aggregate(parts, F.lit(0).cast("long"), lambda n, p: n * 256 + p.cast("long"))
@@ -163,12 +200,15 @@ FIRST_DAY, DAYS = "1900-01-01", 73049
 FORMATS = (("-", "yyyy-MM-dd"), ("/", "MM/dd/yyyy"), (".", "dd.MM.yyyy"))
 
 
+def _as_day(value: Column, day_at: int, month_at: int) -> Column:
+    return F.try_to_date(F.concat_ws("-", F.substring(value, 7, 4), F.substring(value, month_at, 2), F.substring(value, day_at, 2)), "yyyy-MM-dd")
+
+
 def _day(value: Column) -> Column:
     """The date a value names, null where the calendar has none."""
-    iso = F.concat_ws("-", F.substring(value, 7, 4), F.substring(value, 1, 2), F.substring(value, 4, 2))
-    dotted = F.concat_ws("-", F.substring(value, 7, 4), F.substring(value, 4, 2), F.substring(value, 1, 2))
-    text = F.when(value.contains("-"), value).when(value.contains("/"), iso).otherwise(dotted)
-    return F.try_to_date(text, "yyyy-MM-dd")
+    dotted = _as_day(value, 1, 4)
+    slashed = F.coalesce(_as_day(value, 4, 1), dotted)
+    return F.when(value.contains("-"), F.try_to_date(value, "yyyy-MM-dd")).when(value.contains("/"), slashed).otherwise(dotted)
 
 
 def _date(value: Column, key: str) -> Column:
@@ -176,7 +216,38 @@ def _date(value: Column, key: str) -> Column:
     offset = F.datediff(_day(value), F.lit(FIRST_DAY).cast("date")).cast("long")
     new = F.date_add(F.lit(FIRST_DAY).cast("date"), permute(offset, 319, 229, key, "date").cast("int"))
     shown = [(value.contains(sign), F.date_format(new, shape)) for sign, shape in FORMATS]
-    return F.when(*shown[0]).when(*shown[1]).otherwise(shown[2][1])
+    day_first = value.contains("/") & _as_day(value, 4, 1).isNull()
+    return F.when(day_first, _day_first(value, key)).when(*shown[0]).when(*shown[1]).otherwise(shown[2][1])
+
+
+LONG_MONTHS = (1, 3, 5, 7, 8, 10, 12)
+
+
+def _day_first(value: Column, key: str) -> Column:
+    """A slash date that only reads day first: permuted among such dates, by whether its month need have that day."""
+    day, month, year = (F.substring(value, a, n).cast("long") for a, n in ((1, 2), (4, 2), (7, 4)))
+    y = year - 1900
+    at = F.array_position(F.array(*[F.lit(m) for m in LONG_MONTHS]), month.cast("int")) - 1
+
+    def shown(d: Column, m: Column, years: Column) -> Column:
+        return F.concat_ws("/", _padded(d, 2), _padded(m, 2), (years + 1900).cast("string"))
+
+    common = bind(
+        permute((y * 12 + month - 1) * 16 + day - 13, 2400, 16, key, "day<29"),
+        lambda x: shown(x % 16 + 13, div(x, 16) % 12 + 1, div(x, 192)),
+    )
+    # Eleven months, all but February, have a 29th and 30th in every year.
+    late = bind(
+        permute(y * 22 + F.when(month == 1, 0).otherwise(month - 2) * 2 + day - 29, 200, 22, key, "day<31"),
+        lambda x: bind(div(x, 2) % 11, lambda m: shown(x % 2 + 29, F.when(m == 0, 1).otherwise(m + 2), div(x, 22))),
+    )
+    last = bind(
+        permute(y * 7 + at, 200, 7, key, "day31"),
+        lambda x: shown(F.lit(31), F.get(F.array(*[F.lit(m) for m in LONG_MONTHS]), (x % 7).cast("int")), div(x, 7)),
+    )
+    # The 49 leap years from 1904 to 2096.
+    leap = bind(permute(div(year - 1904, 4), 7, 7, key, "leap"), lambda x: shown(F.lit(29), F.lit(2), x * 4 + 4))
+    return F.when(day < 29, common).when(day == 31, last).when(month == 2, leap).otherwise(late)
 
 
 ALPHABETS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
@@ -266,12 +337,13 @@ def kind_of(value: Column) -> Column:
         .when(whole["ssn"] & (area != "000") & (area != "666") & (area < "900") & (group != "00") & (serial != "0000"), "ssn")
         .when(whole["card"] & (luhn_sum(digits(value)) % 10 == 0), "card")
         .when(whole["phone"], "phone")
+        .when(whole["intl"] & F.length(digits(value)).between(8, 15) & (F.length(digits(value)) - F.length(F.regexp_extract(value, r"^\+(\d{1,3})", 1)) >= 5), "intl")
     )
 
 
 def pseudonym(value: Column, kind: Column, key: str = KEY) -> Column:
     """The pseudonym of a validated value, the value itself where the kind is null."""
-    made = {"email": _email, "iban": _iban, "date": _date, "ip": _ip, "ssn": _ssn, "card": _card, "phone": _phone}
+    made = {"email": _email, "iban": _iban, "date": _date, "ip": _ip, "ssn": _ssn, "card": _card, "phone": _phone, "intl": _intl}
     chosen = F.when(F.lit(False), value)
     for name, maker in made.items():
         chosen = chosen.when(kind == name, maker(value, key))
@@ -281,16 +353,16 @@ def pseudonym(value: Column, kind: Column, key: str = KEY) -> Column:
 def protect(docs: DataFrame, key: str = KEY) -> DataFrame:
     """The rows of ``docs``, personal data in ``text`` replaced, with n_pii and pii_kinds, the kinds in text order."""
     names = [c for c in docs.columns if c not in ("n_pii", "pii_kinds")]
+    rest = F.struct(*[F.col(f"`{c}`") for c in names if c != "text"]) if len(names) > 1 else F.lit(None)
     # Only texts with a candidate pay for more than one pass.
     some = F.col("text").rlike(ANY)
     found = F.when(some, F.regexp_extract_all("text", F.lit(f"({ANY})"), F.lit(0)))
     made = F.transform(found, lambda v: bind(kind_of(v), lambda k: F.struct(k.alias("kind"), pseudonym(v, k, key).alias("new"))))
-    marked = docs.select(*names, made.alias("pii_made"))
+    marked = docs.select(rest.alias("rest"), "text", made.alias("made"))
     pieces = F.split("text", f"(?:{ANY})")
-    joined = F.array_join(
-        F.zip_with(pieces, "pii_made", lambda piece, x: F.concat(piece, F.coalesce(x["new"], F.lit("")))), ""
-    )
-    kinds = F.filter(F.transform("pii_made", lambda x: x["kind"]), lambda k: k.isNotNull())
-    text = F.when(F.col("pii_made").isNull(), F.col("text")).otherwise(joined)
+    joined = F.array_join(F.zip_with(pieces, "made", lambda piece, x: F.concat(piece, F.coalesce(x["new"], F.lit("")))), "")
+    kinds = F.filter(F.transform("made", lambda x: x["kind"]), lambda k: k.isNotNull())
+    text = F.when(F.col("made").isNull(), F.col("text")).otherwise(joined)
     listed = F.coalesce(kinds, F.array().cast("array<string>"))
-    return marked.select(*[text.alias("text") if c == "text" else F.col(c) for c in names], F.size(listed).cast("long").alias("n_pii"), F.array_join(listed, ",").alias("pii_kinds"))
+    columns = [text if c == "text" else F.col(f"rest.`{c}`") for c in names]
+    return marked.select(*columns, F.size(listed).cast("long"), F.array_join(listed, ",")).toDF(*names, "n_pii", "pii_kinds")

@@ -1,8 +1,8 @@
 """Operator 2: document quality by nearest-neighbour votes in a latent semantic space.
 
 Terms are hashed into a fixed number of columns. Half of the columns hold words;
-the other half hold their shapes (letter runs by case and rough length with the
-signs around them) and repetitions of the word one or two places before, since
+the other half hold their shapes (the runs of letters by case, of digits and of
+signs, over the whole word, with rough lengths) and repetitions of the word one or two places before, since
 form tells quality better than topic does. Document frequencies are counted
 over all documents. A bounded, seeded, class-balanced sample of the training
 labels is weighted by TF-IDF and decomposed (SVD), which gives the latent axes
@@ -23,6 +23,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import groupby
 from operator import eq
 
 import numpy as np
@@ -43,15 +44,14 @@ SHAPE_OF = bytes(_CLASSES)
 
 
 def _shape_column(shape: bytes) -> int:
-    """Runs of one class count roughly (1, 2-3, 4-7, ...), so lengths matter little."""
-    runs, last, n = [], None, 0
-    for c in [*shape[:64], None]:
-        if c != last:
-            if last is not None:
-                runs.append(f"{chr(last)}{n.bit_length() if chr(last) not in 'aA0' else min(n, 2)}")
-            last, n = c, 0
-        n += 1
-    return WORDS + zlib.crc32("".join(runs).encode()) % (SHAPES - 2)
+    """The column of a whole shape; runs count roughly, letters and digits as 1 or more, signs as 1, 2-3, 4-7, ..."""
+    runs = ((chr(c), sum(1 for _ in run)) for c, run in groupby(shape))
+    name = "".join(f"{c}{min(n, 2) if c in 'aA0' else n.bit_length()}" for c, n in runs)
+    return WORDS + zlib.crc32(name.encode()) % (SHAPES - 2)
+
+
+#: Columns of terms up to this length are remembered; longer ones are computed each time.
+REMEMBERED = 256
 
 
 class Terms:
@@ -61,6 +61,14 @@ class Terms:
         self.words: dict[bytes, int] = {}
         self.shapes: dict[bytes, int] = {}
 
+    @staticmethod
+    def _keep(known: dict[bytes, int], term: bytes, column: int) -> int:
+        if len(known) > 200_000:
+            known.clear()
+        if len(term) <= REMEMBERED:
+            known[term] = column
+        return column
+
     def counts(self, text: bytes | None) -> np.ndarray:
         row = np.zeros(WIDTH, np.float32)
         words = text.split() if text else []
@@ -69,16 +77,12 @@ class Terms:
         for word, n in Counter(words).items():
             column = self.words.get(word)
             if column is None:
-                if len(self.words) > 200_000:
-                    self.words.clear()
-                column = self.words[word] = zlib.crc32(word) % WORDS
+                column = self._keep(self.words, word, zlib.crc32(word) % WORDS)
             row[column] += n
         for shape, n in Counter(text.translate(SHAPE_OF).split()).items():
             column = self.shapes.get(shape)
             if column is None:
-                if len(self.shapes) > 200_000:
-                    self.shapes.clear()
-                column = self.shapes[shape] = _shape_column(shape)
+                column = self._keep(self.shapes, shape, _shape_column(shape))
             row[column] += n
         row[WIDTH - 2] = sum(map(eq, words, words[1:]))
         row[WIDTH - 1] = sum(map(eq, words, words[2:]))
@@ -177,10 +181,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     return model
 
 
-def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, out: str = "score") -> DataFrame:
-    """The rows of ``docs`` and ``out``, the vote for good quality between 0 and 1."""
+def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, out: str = "score", least: float | None = None) -> DataFrame:
+    """The rows of ``docs`` and ``out``, the vote for good quality between 0 and 1; only those that reach ``least``, if given."""
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, sample))
-    plain = docs.drop(out)
+    plain = docs.drop(out) if least is None else docs
     place = plain.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,10 +194,14 @@ def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, out: str =
             for start in range(0, len(texts), BLOCK):
                 block = [terms.counts(None if (t := x.as_py()) is None else t.encode()) for x in texts.slice(start, BLOCK)]
                 scores.extend(found.scores(np.stack(block)).tolist())
+            scores = np.array(scores)
+            if least is not None:
+                yield batch.filter(pa.array(scores >= least))
+                continue
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, out])
 
     schema = ", ".join(f"`{c}` {kind}" for c, kind in plain.dtypes)
-    return plain.mapInArrow(run, f"{schema}, `{out}` double")
+    return plain.mapInArrow(run, schema if least is not None else f"{schema}, `{out}` double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -204,5 +212,5 @@ def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """The rows of ``docs`` that the vote does not reject."""
-    return scored(docs, labels, sample, "_quality").where(F.col("_quality") >= 0.5).drop("_quality")
+    """The rows of ``docs`` that the vote does not reject, with all their columns."""
+    return scored(docs, labels, sample, least=0.5)

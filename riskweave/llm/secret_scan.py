@@ -2,14 +2,18 @@
 
 Base spans are plain matches of three kinds: assignments of passwords and
 tokens, access-key ids, and long hex runs. The method then takes every long
-base64 or hex run, also one wrapped over lines, as a candidate, decodes it, and reports it only if the bytes
-have the structure of a secret: a signed token whose header names an algorithm,
-a DER private key whose nested lengths add up, an OpenSSH private key whose
-length-prefixed fields do, or a text that itself holds a base secret. Base
-spans stay whatever the method finds.
+base64 or hex run, also one wrapped over lines, as a candidate, decodes it, and
+reports it only if the bytes have the structure of a secret: a signed token
+whose header names an algorithm, a DER private key whose nested lengths add up,
+an OpenSSH private key whose length-prefixed fields do, or a text that itself
+holds a secret, plain or encoded again, at most ``DEPTH`` layers down. A PEM
+block counts if its body is such a key or, with encryption headers, names a
+cipher and start value and holds whole cipher blocks. Base spans stay whatever
+the method finds.
 
 Results by case: null and empty texts have no spans. Offsets count code points,
-ends are exclusive. Repeated rows get equal results; extra columns are ignored.
+ends are exclusive. Confirmed spans do not overlap each other. Repeated rows get
+equal results; extra columns are ignored. Time grows in proportion to the text.
 """
 
 from __future__ import annotations
@@ -19,6 +23,7 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -33,12 +38,15 @@ HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 MIN_VALUE = 8
 #: The shortest base secret, token= and eight characters, has 14 bytes: 19 characters of base64, 28 of hex.
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{19,}={0,2}")
-HEX_ANY = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{28,}|[0-9A-F]{28,})(?![0-9A-Za-z])")
+HEX_ANY = re.compile(r"[0-9A-Fa-f]{28,}")
+#: Encodings inside encodings are followed this far; deeper ones are not reported.
+DEPTH = 4
 #: A base64 run that ends its line, before a line that is nothing but base64; and such a line.
 LINE_END = re.compile(r"(?<![A-Za-z0-9+/_-])([A-Za-z0-9+/_-]{8,})[ \t]*\r?\n(?=[ \t]*[A-Za-z0-9+/_-]+={0,2}[ \t]*(?:\r?\n|\Z))")
 WHOLE_LINE = re.compile(r"[ \t]*([A-Za-z0-9+/_-]+)(={0,2})[ \t]*(?:\r?\n|\Z)")
 TOKEN = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----([A-Za-z0-9+/=\s:,-]*?)-----END \1-----")
+PEM = re.compile(r"-----(BEGIN|END) ((?:[A-Z0-9]+ )*PRIVATE KEY)-----")
+CIPHER = re.compile(r"DEK-Info: [A-Z0-9-]+,(?:[0-9A-Fa-f]{2}){8,}\s*$", re.M)
 
 Span = tuple[int, int, str]
 
@@ -172,7 +180,8 @@ def is_signed_token(token: str) -> bool:
     return unsigned or bool(sign) and decode64(sign) is not None
 
 
-def _kind_of(data: bytes | None) -> str | None:
+def _kind_of(data: bytes | None, depth: int) -> str | None:
+    """The kind of secret that decoded bytes are, or None."""
     if not data:
         return None
     if is_der_key(data):
@@ -180,41 +189,83 @@ def _kind_of(data: bytes | None) -> str | None:
     if is_openssh_key(data):
         return "openssh"
     try:
-        inside = data.decode("ascii")
+        inside = data.decode()
     except UnicodeDecodeError:
         return None
-    return "nested" if inside.isprintable() and any(kind != "hex" for *_, kind in base_spans(inside)) else None
+    if not inside.translate(BLANKS).isprintable():
+        return None
+    if any(kind != "hex" for *_, kind in base_spans(inside)):
+        return "nested"
+    return "nested" if depth < DEPTH and confirmed_spans(inside, depth + 1) else None
+
+
+BLANKS = str.maketrans("\t\n\r", "   ")
+
+
+def is_pem_body(body: str) -> bool:
+    """The lines between the markers: a key, or an encrypted one with its headers."""
+    headers, blank, rest = body.replace("\r", "").partition("\n\n")
+    if ":" not in headers:
+        data = decode64("".join(body.split()))
+        return bool(data) and (is_der_key(data) or is_openssh_key(data))
+    data = decode64("".join(rest.split())) if blank else None
+    return bool(data) and len(data) >= 16 and len(data) % 8 == 0 and "ENCRYPTED" in headers and bool(CIPHER.search(headers))
+
+
+def pem_blocks(text: str) -> Iterator[tuple[int, int]]:
+    """Each end marker with the nearest begin marker of its label before it, if no other marker lies between."""
+    begun: re.Match | None = None
+    for m in PEM.finditer(text):
+        if m[1] == "END" and begun and begun[2] == m[2] and is_pem_body(text[begun.end() : m.start()]):
+            yield begun.start(), m.end()
+        begun = m if m[1] == "BEGIN" else None
+
+
+class Taken:
+    """Disjoint spans by start, for lookups in logarithmic time."""
 
+    def __init__(self, spans: list[tuple[int, int]]) -> None:
+        self.spans = sorted(spans)
 
-def confirmed_spans(text: str) -> list[Span]:
+    def free(self, start: int, end: int) -> bool:
+        at = bisect_left(self.spans, (end, 0))
+        return at == 0 or self.spans[at - 1][1] <= start
+
+    def add(self, start: int, end: int) -> None:
+        insort(self.spans, (start, end))
+
+
+def confirmed_spans(text: str, depth: int = 1) -> list[Span]:
     """Candidates whose decoded bytes have the structure of a secret; the first kind that fits counts."""
     found: list[Span] = []
-    if "eyJ" in text:
-        found += [(m.start(), m.end(), "jwt") for m in TOKEN.finditer(text) if is_signed_token(m[0])]
     if "PRIVATE KEY-----" in text:
-        for m in PEM.finditer(text):
-            body = re.sub(r"^.*?\n\s*\n", "", m[2], flags=re.S) if ":" in m[2] else m[2]
-            data = decode64(re.sub(r"\s+", "", body))
-            if data and (is_der_key(data) or is_openssh_key(data) or ":" in m[2]):
-                found.append((m.start(), m.end(), "pem"))
-    taken = [(a, b) for a, b, _ in found]
-    free = lambda m: not any(a < m.end() and m.start() < b for a, b in taken)
+        found += [(a, b, "pem") for a, b in pem_blocks(text)]
+    taken = Taken([(a, b) for a, b, _ in found])
+    if "eyJ" in text:
+        tokens = [m for m in TOKEN.finditer(text) if taken.free(*m.span()) and is_signed_token(m[0])]
+        found += [(m.start(), m.end(), "jwt") for m in tokens]
+        for m in tokens:
+            taken.add(*m.span())
+
+    def report(start: int, end: int, data: bytes | None) -> bool:
+        if kind := _kind_of(data, depth):
+            found.append((start, end, kind))
+            taken.add(start, end)
+        return kind is not None
+
     for spans in wrapped_runs(text):
         for part in wrapped_choices(spans):
             start, end = part[0][0], part[-1][1]
-            if any(a < end and start < b for a, b in taken):
-                continue
-            if kind := _kind_of(decode64("".join(text[a:b] for a, b in part))):
-                found.append((start, end, kind))
-                taken.append((start, end))
+            if taken.free(start, end) and report(start, end, decode64("".join(text[a:b] for a, b in part))):
                 break
     for m in BASE64.finditer(text):
-        if free(m) and (kind := _kind_of(decode64(m[0]))):
-            found.append((m.start(), m.end(), kind))
-            taken.append(m.span())
-    for m in HEX_ANY.finditer(text):
-        if len(m[0]) % 2 == 0 and free(m) and (kind := _kind_of(bytes.fromhex(m[0]))):
-            found.append((m.start(), m.end(), kind))
+        if taken.free(*m.span()):
+            report(*m.span(), decode64(m[0]))
+    for m in HEX_ANY.finditer(text):  # a letter beside the run may belong to it: both alignments are tried
+        for start in (m.start(), m.start() + 1):
+            end = m.end() - (m.end() - start) % 2
+            if taken.free(start, end) and report(start, end, bytes.fromhex(text[start:end])):
+                break
     return found
 
 

@@ -3,7 +3,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import random
 import re
+import time
 
 import pytest
 
@@ -131,3 +133,71 @@ def test_base64_wrapped_over_lines_without_markers(data, kind, width):
 def test_wrapped_lines_without_a_secret():
     assert kinds("\n".join(["Donaudampfschiff"] * 3000)) == []
     assert kinds("\n".join(base64.b64encode(bytes(range(i, i + 48))).decode() for i in range(200))) == []
+
+
+def coded(data: bytes) -> list[str]:
+    return [base64.b64encode(data).decode(), url64(data), data.hex(), data.hex().upper(), "".join(c.upper() if i % 3 else c for i, c in enumerate(data.hex()))]
+
+
+PEM = f"-----BEGIN PRIVATE KEY-----\n{base64.encodebytes(PKCS8).decode()}-----END PRIVATE KEY-----\n"
+
+
+@pytest.mark.parametrize("inner", [b"user=admin\npassword=hunter2hunter2\n", b"a\tb\r\ntoken: abcdefgh12", PEM.encode(), base64.b64encode(RSA), b"x " + base64.b64encode(b"api_key=0123456789")])
+def test_secrets_inside_encoded_texts(inner):
+    for run in coded(inner):
+        assert s.confirmed_spans(f"see {run} here") == [(4, 4 + len(run), "nested")], run
+
+
+def test_depth_is_bounded():
+    run = b"password=hunter2hunter2"
+    for layers in range(1, s.DEPTH + 2):
+        run = base64.b64encode(run)
+        assert kinds(run.decode()) == (["nested"] if layers <= s.DEPTH else [])
+
+
+def test_hex_beside_letters():
+    run = b"password=hunter2hunter2".hex()
+    assert s.confirmed_spans(f"x{run}z") == [(1, 1 + len(run), "nested")]
+    assert s.confirmed_spans(f"a{run}b") == [(1, 1 + len(run), "nested")]
+
+
+def test_encrypted_pem_needs_its_structure():
+    def block(head: str, body: bytes) -> str:
+        return f"-----BEGIN RSA PRIVATE KEY-----\n{head}\n\n{base64.encodebytes(body).decode()}-----END RSA PRIVATE KEY-----"
+
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC," + "0A" * 16
+    assert kinds(block(head, b"c" * 64)) == ["pem"]
+    assert kinds(block(head, b"c" * 63)) == []
+    assert kinds(block("Comment: none", b"c" * 64)) == []
+    assert kinds("-----BEGIN PRIVATE KEY-----\nNote: x\n\nAAAAAAAA\n-----END PRIVATE KEY-----") == []
+
+
+def test_markers_pair_with_the_nearest():
+    assert s.confirmed_spans("-----BEGIN PRIVATE KEY-----\n" + PEM) == [(28, 28 + len(PEM) - 1, "pem")]
+    assert kinds(PEM.replace("END", "END RSA")) != ["pem"]
+
+
+@pytest.mark.parametrize("unit", ["-----BEGIN PRIVATE KEY-----\n", "eyJ.eyJa.", "password   ", "abcdefghij\n", base64.b64encode(b"token=12345678").decode() + " ", "AKIA", "deadbeef"])
+def test_long_texts_take_linear_time(unit):
+    began = time.process_time()
+    s.confirmed_spans(unit * (400_000 // len(unit)))
+    s.base_spans(unit * (400_000 // len(unit)))
+    assert time.process_time() - began < 5
+
+
+def test_planted_spans_against_their_places():
+    """Encoded secrets and harmless runs among words: exactly the planted places are reported."""
+    dice = random.Random(11)
+    secrets = [(RSA, "der"), (EC, "der"), (OPENSSH, "openssh"), (b"password=hunter2hunter2", "nested"), (b"a\nsecret: longlonglong\n", "nested")]
+    harmless = [base64.b64encode(bytes(dice.randrange(128, 256) for _ in range(40))).decode() for _ in range(5)] + ["f" * 40, "Rindfleischetikettierung" * 2]
+    for _ in range(100):
+        text, wanted = "", []
+        for _ in range(dice.randint(1, 12)):
+            if dice.random() < 0.4:
+                data, kind = dice.choice(secrets)
+                run = dice.choice(coded(data))
+                wanted.append((len(text), len(text) + len(run), kind))
+            else:
+                run = dice.choice([*harmless, "word", "漢字"])
+            text += run + dice.choice([" ", ", ", "; "])
+        assert sorted(s.confirmed_spans(text)) == wanted
