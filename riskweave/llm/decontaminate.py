@@ -1,40 +1,46 @@
-"""Operator 5: benchmark decontamination over a distributed positional index.
-
-Every item is cut into windows of consecutive words. A first pass counts how
-often each benchmark term occurs in the whole corpus; the rarest term of each
-window is its anchor. The index then holds one posting per occurrence of an
-anchor term: the document, the position, and the words around it, which is all
-a window can reach. A search takes each window's shortest list, that of its
-rarest term, shifts the positions by the term's offset in the window, and
-intersects them with the other terms at their own offsets, rarest first, inside
-the posting's neighbourhood; what is left are exact phrase matches. With
-``slop`` the other terms may lie up to that many positions off, which gives
-proximity matches.
-
-Only benchmark windows are broadcast, after their size is measured; past the
-limit Spark shuffles both sides instead. Matches of a document are merged under
-its own key, so no list grows with the corpus.
+"""Operator 5: benchmark decontamination over a distributed positional inverted index.
+
+The documents are cut into words once; their postings (document, term, position)
+are written to the shared folder, each file sorted by term, so a term's list lies
+together in every part of the corpus and a reader skips what it isn't asked for.
+The index knows nothing of the benchmark: keep its path and search again.
+
+Every item is cut into windows of consecutive words, whose terms are put in order
+of how rare they are in the corpus. A search takes the list of each window's
+rarest term and shifts it by the term's offset, which gives starts; these are
+intersected with the shifted list of the next rarest term, and what is left of
+them with the lists of all other terms. Starts at which every list has its
+position are exact phrase matches. With ``slop`` a term may lie up to that many
+positions off its place, either way, which gives proximity matches.
+
+Only tables whose size is measured are broadcast; past the limit Spark shuffles
+both sides instead, by document, term and position, so no term's list meets in
+one task. Matches of a document are merged under its own number, so no list grows
+with the corpus.
 
 Results by case: null texts have no words; items without words have no windows,
-repeated items are items of their own; rows sharing doc_id and text share the
-result; a null doc_id is a key like any other. Null item_ids are left out of
-item lists. An empty benchmark leaves every document clean. Extra columns are
-ignored.
+repeated items are items of their own; every row is a document of its own, so
+equal rows get equal results; a null doc_id is an id like any other. Null
+item_ids are left out of item lists. An empty benchmark leaves every document
+clean. Extra columns are ignored; ``remove`` returns them whatever their names.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import uuid
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from riskweave.llm.common import lower_ascii, row_key, split_words, text_of
-from riskweave.session import BROADCAST_LIMIT, broadcast_below, cut
+from riskweave.session import broadcast_below, cut, shared_folder
 
 GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WIDTH = 10
+#: How far a term may lie off its place in a proximity match of the report.
+SLOP = 1
 
 
 def words(text: str = "text") -> Column:
@@ -42,6 +48,33 @@ def words(text: str = "text") -> Column:
     return split_words(lower_ascii(text_of(text)), GAPS)
 
 
+@dataclass(frozen=True)
+class PositionalIndex:
+    """Stored postings: ``documents`` (doc, id, h, n, n_words) and ``postings`` (doc, term, pos)."""
+
+    documents: DataFrame
+    postings: DataFrame
+
+
+def build(docs: DataFrame, path: str | None = None) -> PositionalIndex:
+    """Write the index of ``docs`` to ``path``, or to a new folder below the shared one."""
+    spark = docs.sparkSession
+    path = path or f"{shared_folder(spark)}/index-{uuid.uuid4().hex}"
+    key = row_key()
+    numbered = docs.select(F.monotonically_increasing_id().alias("doc"), key["id"].alias("id"), key["h"].alias("h"), key["n"].alias("n"), words().alias("w"))
+    # Stored before it is read again, so that every later job sees the same numbers.
+    numbered.withColumn("n_words", F.size("w").cast("long")).write.parquet(f"{path}/documents")
+    stored = spark.read.parquet(f"{path}/documents")
+    each = stored.select("doc", F.posexplode("w").alias("pos", "term"))
+    each.sortWithinPartitions("term", "doc", "pos").write.parquet(f"{path}/postings")
+    return load(spark, path)
+
+
+def load(spark: SparkSession, path: str) -> PositionalIndex:
+    """An index that ``build`` has written."""
+    return PositionalIndex(spark.read.parquet(f"{path}/documents").drop("w"), spark.read.parquet(f"{path}/postings"))
+
+
 def windows(items: DataFrame, width: int = WIDTH) -> DataFrame:
     """(win, item_id, seq): every window of every item; ``win`` is its words joined by spaces."""
     cut_up = items.select("item_id", words().alias("w")).where(F.size("w") > 0)
@@ -50,57 +83,68 @@ def windows(items: DataFrame, width: int = WIDTH) -> DataFrame:
     return seqs.select(F.concat_ws(" ", "seq").alias("win"), "item_id", "seq")
 
 
-def term_counts(docs: DataFrame, terms: DataFrame, size: int) -> DataFrame:
-    """(term, n): occurrences in all documents of each term, 0 included."""
-    seen = docs.select(F.explode(words()).alias("term")).join(broadcast_below(terms, size), "term").groupBy("term").agg(F.count("*").alias("n"))
-    return terms.join(seen, "term", "left").select("term", F.coalesce("n", F.lit(0)).alias("n"))
+def _bytes(rows: DataFrame, text: str | None = None) -> int:
+    """About what the rows take in memory: four times their text and a fixed share each."""
+    return rows.agg(F.sum((F.octet_length(text) * 4 if text else F.lit(0)) + 64)).first()[0] or 0
 
 
-def anchored(wins: DataFrame, counts: DataFrame) -> DataFrame:
-    """(win, seq, term, off): each distinct window with its rarest term and that term's offset."""
+def ordered_terms(postings: DataFrame, wins: DataFrame) -> DataFrame:
+    """(win, length, rank, term, off): the terms of each distinct window, the rarest in the corpus first."""
     distinct = wins.dropDuplicates(["win"]).select("win", "seq")
-    terms = distinct.select("win", "seq", F.posexplode("seq").alias("off", "term")).join(counts, "term")
-    best = terms.groupBy("win").agg(F.min(F.struct("n", "term", "off")).alias("best"), F.first("seq").alias("seq"))
-    return best.select("win", "seq", F.col("best.term").alias("term"), F.col("best.off").alias("off"))
-
-
-def postings(docs: DataFrame, terms: DataFrame, size: int, width: int = WIDTH, slop: int = 0) -> DataFrame:
-    """(key, term, pos, lead, near): the positional index of the given terms.
-
-    ``near`` holds the words up to width - 1 + slop positions away and ``lead`` the place of the
-    term in it. Write it out to keep the index for further benchmarks with these terms.
-    Broadcast terms meet the words before anything is copied; where the terms are too many for
-    that, each word is cut loose with its surroundings first, so a text is never shuffled once a word.
-    """
-    reach = width - 1 + slop
-    each = docs.select(row_key().alias("key"), words().alias("w")).select("key", "w", F.posexplode("w").alias("pos", "term"))
-    lead = F.least(F.col("pos"), F.lit(reach))
-    near = F.slice("w", F.col("pos") - lead + 1, lead + reach + 1)
-    kept = ["key", "term", "pos", lead.alias("lead"), near.alias("near")]
-    if size <= BROADCAST_LIMIT:
-        return each.join(F.broadcast(terms), "term").select(*kept)
-    return each.select(*kept).join(terms, "term")
-
-
-def search(index: DataFrame, anchors: DataFrame, size: int, slop: int = 0) -> DataFrame:
-    """(key, win, start, length, exact): matches of the windows; inexact ones only with ``slop``."""
-    hits = index.join(broadcast_below(anchors, size), "term")
+    terms = cut(distinct.select(F.explode("seq").alias("term")).distinct())
+    # Counted before the join: one row a term and task is shuffled, never a posting.
+    counts = postings.groupBy("term").agg(F.count("*").alias("n")).join(broadcast_below(terms, _bytes(terms, "term")), "term")
+    each = distinct.select("win", F.size("seq").alias("length"), F.posexplode("seq").alias("off", "term")).join(counts, "term", "left")
+    listed = each.groupBy("win", "length").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "term", "off"))).alias("terms"))
+    # A term that no document has rules its window out.
+    some = listed.where(F.col("terms")[0]["n"] > 0)
+    return some.select("win", "length", F.posexplode("terms").alias("rank", "t")).select("win", "length", "rank", "t.term", "t.off")
+
+
+def _listed(postings: DataFrame, terms: DataFrame) -> DataFrame:
+    """The lists of the given terms."""
+    distinct = terms.select("term").distinct()
+    return postings.join(broadcast_below(distinct, _bytes(distinct, "term")), "term", "left_semi")
+
+
+def intersect(postings: DataFrame, starts: DataFrame, terms: DataFrame, slop: int = 0) -> DataFrame:
+    """The (doc, w, start) rows at which all of a window's ``terms`` (w, term, off) have a position, within ``slop``."""
+    asked = starts.join(broadcast_below(terms, _bytes(terms, "term")), "w")
+    place = F.col("start") + F.col("off")
+    near = F.explode(F.sequence(place - slop, place + slop)) if slop else place
+    asked = asked.select("doc", "w", "start", "off", "term", near.alias("pos")).where("pos >= 0")
+    size = _bytes(asked, "term")
+    met = _listed(postings, terms).join(broadcast_below(asked, size), ["doc", "term", "pos"]).select("doc", "w", "start", "off")
+    found = (met.distinct() if slop else met).groupBy("doc", "w", "start").agg(F.count("*").alias("k"))
+    wanted = terms.groupBy("w").agg(F.count("*").alias("of"))
+    return found.join(F.broadcast(wanted), "w").where("k = of").select("doc", "w", "start")  # one short row a window, fewer than ``terms``
+
+
+def search(index: PositionalIndex, wins: DataFrame, slop: int = 0) -> tuple[DataFrame, DataFrame]:
+    """(matches, numbers): (doc, w, start, length, exact) of the windows, inexact only with ``slop``; (w, win) of those searched."""
+    listed = ordered_terms(index.postings, wins)
+    numbers = cut(listed.where("rank = 0").select(F.monotonically_increasing_id().alias("w"), "win", "length", "term", "off"))
+    lengths = numbers.select("w", "length")
+    small = lambda df: broadcast_below(df, _bytes(df))
+    terms = cut(listed.join(broadcast_below(numbers.select("w", "win"), _bytes(numbers, "win")), "win").select("w", "rank", "term", "off"))
+    of = lambda where: terms.where(where).select("w", "term", "off")
+    rarest = of("rank = 0")
     start = F.col("pos") - F.col("off")
-    first = F.col("lead") - F.col("off") + 1  # of the window inside ``near``, counted from 1
-    length = F.size("seq")
-    exact = (first >= 1) & (F.slice("near", F.greatest(first, F.lit(1)), length) == F.col("seq"))
-    if not slop:
-        return hits.where(start >= 0).where(exact).select("key", "win", start.alias("start"), length.alias("length"), F.lit(True).alias("exact"))
-    placed = F.transform("seq", lambda term, i: F.struct(term.alias("term"), i.alias("i")))
-
-    def near_its_place(t: Column) -> Column:
-        low = F.greatest(first + t["i"] - slop, F.lit(1))
-        return F.array_contains(F.slice("near", low, F.greatest(first + t["i"] + slop + 1 - low, F.lit(0))), t["term"])
-
-    close = F.forall(placed, near_its_place)
-    return hits.where((first + length + slop >= 1) & close).select(
-        "key", "win", start.alias("start"), length.alias("length"), F.coalesce(exact, F.lit(False)).alias("exact")
-    )
+    first = index.postings.join(broadcast_below(rarest, _bytes(rarest, "term")), "term")
+    starts = first.select("doc", "w", (F.explode(F.sequence(start - slop, start + slop)) if slop else start).alias("start")).where("start >= 0")
+    alone = lengths.where("length = 1").select("w")
+    rest = cut((starts.distinct() if slop else starts).join(small(alone), "w", "left_anti"))
+    pairs = cut(intersect(index.postings, rest, of("rank = 1"), slop))
+    long = lengths.where("length > 2").select("w")
+    whole = intersect(index.postings, pairs.join(small(long), "w", "left_semi"), of("rank > 1"), slop)
+    single = starts.distinct().join(small(alone), "w", "left_semi") if slop else starts.join(small(alone), "w", "left_semi")
+    found = cut(single.unionByName(pairs.join(small(long), "w", "left_anti")).unionByName(whole)).join(small(lengths), "w")
+    if slop:
+        exact = intersect(index.postings, found.select("doc", "w", "start"), of("true")).withColumn("exact", F.lit(True))
+        found = found.join(exact, ["doc", "w", "start"], "left")
+    else:
+        found = found.withColumn("exact", F.lit(True))
+    return found.select("doc", "w", "start", "length", F.coalesce("exact", F.lit(False)).alias("exact")), numbers.select("w", "win")
 
 
 def covered(spans: Column) -> Column:
@@ -116,53 +160,44 @@ def covered(spans: Column) -> Column:
     return state["n"]
 
 
-def _bytes(rows: DataFrame, text: str) -> int:
-    """About what the rows take in memory: four times their text and a fixed share each."""
-    return rows.agg(F.sum(F.octet_length(text) * 4 + 64)).first()[0] or 0
-
-
-def find(docs: DataFrame, items: DataFrame, width: int = WIDTH, slop: int = 0) -> tuple[DataFrame, DataFrame]:
-    """(matches, windows) of the items in the documents."""
+def find(docs: DataFrame, items: DataFrame, width: int = WIDTH, slop: int = 0, index: PositionalIndex | None = None) -> tuple[PositionalIndex, DataFrame, DataFrame]:
+    """(index, matches, windows): where the items' windows are in the documents; ``windows`` is (w, item_id)."""
+    index = index or build(docs)
     wins = cut(windows(items, width))
-    terms = cut(wins.select(F.explode("seq").alias("term")).distinct())
-    anchors = cut(anchored(wins, term_counts(docs, terms, _bytes(terms, "term"))))
-    rarest = anchors.select("term").distinct()
-    index = postings(docs, rarest, _bytes(rarest, "term"), width, slop)
-    return search(index, anchors, _bytes(anchors, "win"), slop), wins
-
-
-def contaminated(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(key, n_hit, items): per document key with a match, its hit words and the items found."""
-    matches, wins = find(docs, items, width)
-    # Cut, since both the spans and the items are read from it: else the corpus would be searched twice.
-    spans = cut(
-        matches.groupBy("key").agg(F.collect_set(F.struct("start", "length")).alias("spans"), F.collect_set("win").alias("wins"))
-    )
-    by_window = wins.where("item_id is not null").groupBy("win").agg(F.collect_set(F.col("item_id").cast("string")).alias("of"))
-    listed = spans.select("key", F.explode("wins").alias("win")).join(by_window, "win").select("key", F.explode("of").alias("item"))
-    items_of = listed.groupBy("key").agg(F.array_sort(F.collect_set("item")).alias("items"))
-    return spans.select("key", covered(F.col("spans")).alias("n_hit")).join(items_of, "key", "left")
-
-
-def report(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_words, n_hit, n_items, items and contaminated."""
-    found = contaminated(docs, items, width).withColumnRenamed("key", "found")
-    rows = docs.select("doc_id", row_key().alias("key"), F.size(words()).cast("long").alias("n_words"))
-    same = reduce(lambda a, b: a & b, (rows[f"key.{x}"].eqNullSafe(found[f"found.{x}"]) for x in ("id", "h", "n")))
-    listed = F.coalesce("items", F.array().cast("array<string>"))
-    return rows.join(found, same, "left").select(
-        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.size(listed).cast("long").alias("n_items"),
-        listed.alias("items"), (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
+    matches, numbers = search(index, wins, slop)
+    return index, cut(matches), wins.join(broadcast_below(numbers, _bytes(numbers, "win")), "win").select("w", "item_id").distinct()
+
+
+def contaminated(matches: DataFrame, owners: DataFrame) -> DataFrame:
+    """(doc, n_hit, items, n_near): per document with a match its hit words, the items found, and the number of those found or nearly so."""
+    exact = F.col("exact")
+    spans = matches.groupBy("doc").agg(F.collect_set(F.when(exact, F.struct("start", "length"))).alias("spans"))
+    ids = matches.groupBy("doc", "w").agg(F.max("exact").alias("exact")).join(owners.where("item_id is not null"), "w")
+    per = ids.groupBy("doc", F.col("item_id").cast("string").alias("item")).agg(F.max("exact").alias("exact"))
+    listed = per.groupBy("doc").agg(F.array_sort(F.collect_list(F.when(exact, F.col("item")))).alias("items"), F.count("*").alias("n_near"))
+    return spans.select("doc", covered(F.col("spans")).alias("n_hit")).join(listed, "doc", "left")
+
+
+def report(docs: DataFrame, items: DataFrame, width: int = WIDTH, slop: int = SLOP) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_words, n_hit, n_items, items, contaminated and n_near, the number of items with a match
+    that is exact or within ``slop``."""
+    index, matches, owners = find(docs, items, width, slop)
+    found = contaminated(matches, owners)
+    rows = index.documents.select("doc", F.col("id").alias("doc_id"), "n_words").join(found, "doc", "left")
+    listed, hit = F.coalesce("items", F.array().cast("array<string>")), F.coalesce("n_hit", F.lit(0)).cast("long")
+    return rows.select(
+        "doc_id", "n_words", hit.alias("n_hit"), F.size(listed).cast("long").alias("n_items"), listed.alias("items"),
+        (hit > 0).alias("contaminated"), F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
     )
 
 
-def remove(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
-    """The rows of ``docs`` without any match."""
-    matches, _ = find(docs, items, width)
-    found = matches.select("key").distinct().select(*[F.col(f"key.{x}").alias(f"found_{x}") for x in ("id", "h", "n")])
-    keyed = docs.withColumn("key_of_row", row_key())
-    same = reduce(lambda a, b: a & b, (keyed[f"key_of_row.{x}"].eqNullSafe(found[f"found_{x}"]) for x in ("id", "h", "n")))
-    return keyed.join(found.hint("shuffle_hash"), same, "left_anti").drop("key_of_row")
+def remove(docs: DataFrame, items: DataFrame, width: int = WIDTH, slop: int = 0) -> DataFrame:
+    """The rows of ``docs`` without any match, with all their columns; proximity matches count with ``slop``."""
+    index, matches, _ = find(docs, items, width, slop)
+    found = index.documents.join(matches.select("doc").distinct(), "doc", "left_semi").select(*[F.col(x).alias(f"of_{x}") for x in ("id", "h", "n")]).distinct()
+    keyed = docs.select(row_key().alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    same = keyed["key.id"].eqNullSafe(found["of_id"]) & (keyed["key.h"] == found["of_h"]) & (keyed["key.n"] == found["of_n"])
+    return keyed.join(found.hint("shuffle_hash"), same, "left_anti").select("row.*")
 
 
 def merge_windows(spans: DataFrame) -> DataFrame:

@@ -41,10 +41,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark windows found in every document."""
+    """Benchmark windows found in every document, and the items found or nearly so."""
     found = decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
-    return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated", "n_near")
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,10 +113,19 @@ WITH d AS (
   SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hits) GROUP BY doc_id
 ), items AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id
+), want AS (
+  SELECT win, n, unnest(range(0, n)) AS i, unnest(string_split(win, ' ')) AS term FROM (SELECT DISTINCT win, n FROM wins)
+), have AS (
+  SELECT doc_id, unnest(range(0, len(w))) AS p, unnest(w) AS term FROM d
+), close AS (
+  SELECT doc_id, win FROM (SELECT doc_id, win, n, i, p - i + delta AS s FROM have JOIN want USING (term), (VALUES (-1), (0), (1)) t(delta))
+  WHERE s >= 0 GROUP BY doc_id, win, n, s HAVING count(DISTINCT i) = n
+), near AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_near FROM (SELECT DISTINCT doc_id, win FROM close) JOIN wins USING (win) GROUP BY doc_id
 )
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
-       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN per USING (doc_id) LEFT JOIN items USING (doc_id)
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0)::BIGINT AS n_near
+FROM d LEFT JOIN per USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN near USING (doc_id)
 """
 
 _NOTICES = " OR ".join(f"contains(lower(line), '{n}')" for n in line_rules.NOTICES)

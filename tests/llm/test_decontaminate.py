@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from riskweave.llm import decontaminate as d
@@ -61,10 +63,13 @@ def test_windows_against_brute_force(spark):
 
 
 def test_without_broadcast(spark, monkeypatch):
+    with_it = sorted(d.report(*tables(spark)).collect(), key=str)
     monkeypatch.setattr(d, "broadcast_below", lambda df, size: df)
-    monkeypatch.setattr(d, "BROADCAST_LIMIT", -1)
-    a, b = tables(spark)
-    assert got(d.report(a, b)) == brute(TEXTS, ITEMS)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert sorted(d.report(*tables(spark)).collect(), key=str) == with_it
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_documents_against_brute_force(spark):
@@ -90,13 +95,53 @@ def test_empty_tables(spark, docs, nothing):
     assert d.report(docs, b).count() == docs.count()
 
 
-def test_proximity(spark):
-    a = spark.createDataFrame([(1, "one two three four"), (2, "one three two four"), (3, "one x two y three four"), (4, "four one")], "doc_id long, text string")
-    b = spark.createDataFrame([(1, "one two three four")], "item_id long, text string")
-    matches, _ = d.find(a, b, slop=2)
-    found = {r.id: r.exact for r in matches.select("key.id", "exact").collect()}
-    assert found[1] is True and found[2] is False and found[3] is False and 4 not in found
-    assert {r.id for r in d.find(a, b)[0].select("key.id").collect()} == {1}
+def brute_near(docs, items, width=10, slop=1):
+    """Per document the items with a window all of whose terms lie within ``slop`` of their places."""
+    out = []
+    for doc, text in docs:
+        w, found = split(text), set()
+        for item, other in items:
+            v = split(other)
+            for i in range(max(len(v) - width + 1, 1) if v else 0):
+                win = v[i : i + width]
+                if any(all(t in w[max(s + k - slop, 0) : s + k + slop + 1] for k, t in enumerate(win)) for s in range(len(w) + slop)):
+                    found.add(item)
+        out.append((doc, len(found - {None})))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("slop", [1, 2])
+def test_proximity_against_brute_force(spark, slop):
+    dice = random.Random(6)
+    items = [(i, " ".join(dice.choices("abcdefgh", k=dice.randint(1, 14)))) for i in range(12)] + ITEMS
+    texts = []
+    for i in range(30):
+        w = dice.choices("abcdefghijkl", k=dice.randint(0, 40))
+        moved = (dice.choice(items)[1] or "").split() if dice.random() < 0.7 else []
+        for k in range(len(moved) - 1):
+            if dice.random() < 0.2:
+                moved[k], moved[k + 1] = moved[k + 1], moved[k]
+        texts.append((100 + i, " ".join([*w, *moved, *w])))
+    texts += TEXTS
+    a, b = tables(spark, texts, [(i, t) for i, t in items if t is not None])
+    rows = d.report(a, b, slop=slop).collect()
+    assert sorted(((r.doc_id, r.n_near) for r in rows), key=str) == brute_near(texts, items, slop=slop)
+    assert got(d.report(a, b, slop=slop)) == brute(texts, items)
+    clean = [x[0] for x in brute(texts, items) if not x[4]]
+    assert sorted((r.doc_id for r in d.remove(a, b).collect()), key=str) == sorted(clean, key=str)
+
+
+def test_a_stored_index_serves_other_benchmarks(spark, tmp_path):
+    a, b = tables(spark)
+    d.build(a, f"{tmp_path}/index")
+    index = d.load(spark, f"{tmp_path}/index")
+    assert index.postings.columns == ["doc", "pos", "term"]
+    assert index.postings.count() == sum(len(split(t)) for _, t in TEXTS)
+    for items in (b, b.where("item_id = 3"), b.where("false")):
+        _, matches, _ = d.find(a, items, index=index)
+        ids = {r.id for r in matches.join(index.documents, "doc").select("id").collect()}
+        wanted = brute(TEXTS, [(r.item_id, r.text) for r in items.collect()])
+        assert ids == {x[0] for x in wanted if x[4]}
 
 
 def test_merged_windows(spark):
