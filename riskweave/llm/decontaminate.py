@@ -3,15 +3,18 @@
 The documents are cut into words once; their postings (document, term, position)
 are written to the shared folder, each file sorted by term, so a term's list lies
 together in every part of the corpus and a reader skips what it isn't asked for.
-The index knows nothing of the benchmark: keep its path and search again.
+The list of the empty term, which is no word, names the documents. The index
+knows nothing of the benchmark: keep its path and search again.
 
 Every item is cut into windows of consecutive words, whose terms are put in order
 of how rare they are in the corpus. A search takes the list of each window's
-rarest term and shifts it by the term's offset, which gives starts; these are
-intersected with the shifted list of the next rarest term, and what is left of
-them with the lists of all other terms. Starts at which every list has its
-position are exact phrase matches. With ``slop`` a term may lie up to that many
-positions off its place, either way, which gives proximity matches.
+rarest term and shifts it by the term's offset in the item, which gives
+alignments of the item with a document; these are intersected with the shifted
+list of the next rarest term, and what is left of them with the lists of all
+other terms. A window whose terms are all in place is an exact phrase match. With
+``slop`` the other terms may lie up to that many positions off their places while
+the rarest is in its own; that gives proximity matches. Overlapping windows share
+their alignments and terms, so each is looked up once.
 
 Only tables whose size is measured are broadcast; past the limit Spark shuffles
 both sides instead, by document, term and position, so no term's list meets in
@@ -61,26 +64,30 @@ def build(docs: DataFrame, path: str | None = None) -> PositionalIndex:
     spark = docs.sparkSession
     path = path or f"{shared_folder(spark)}/index-{uuid.uuid4().hex}"
     key = row_key()
-    numbered = docs.select(F.monotonically_increasing_id().alias("doc"), key["id"].alias("id"), key["h"].alias("h"), key["n"].alias("n"), words().alias("w"))
-    # Stored before it is read again, so that every later job sees the same numbers.
-    numbered.withColumn("n_words", F.size("w").cast("long")).write.parquet(f"{path}/documents")
-    stored = spark.read.parquet(f"{path}/documents")
-    each = stored.select("doc", F.posexplode("w").alias("pos", "term"))
-    each.sortWithinPartitions("term", "doc", "pos").write.parquet(f"{path}/postings")
+    numbered = docs.select(F.monotonically_increasing_id().alias("doc"), key.alias("key"), words().alias("w"))
+    # One posting of the empty term for each document: its key, and its number of words for a position.
+    each = numbered.select("doc", "key", F.size("w").alias("n_words"), F.posexplode(F.concat(F.array(F.lit("")), "w")).alias("at", "term"))
+    named = F.col("at") == 0
+    rows = each.select(
+        "doc", "term", F.when(named, F.col("n_words")).otherwise(F.col("at") - 1).alias("pos"),
+        *[F.when(named, F.col(f"key.{x}")).alias(x) for x in ("id", "h", "n")],
+    )
+    rows.sortWithinPartitions("term", "doc", "pos").write.parquet(path)
     return load(spark, path)
 
 
 def load(spark: SparkSession, path: str) -> PositionalIndex:
     """An index that ``build`` has written."""
-    return PositionalIndex(spark.read.parquet(f"{path}/documents").drop("w"), spark.read.parquet(f"{path}/postings"))
+    stored = spark.read.parquet(path)
+    documents = stored.where("term = ''").select("doc", "id", "h", "n", F.col("pos").cast("long").alias("n_words"))
+    return PositionalIndex(documents, stored.where("term <> ''").select("doc", "term", "pos"))
 
 
-def windows(items: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(win, item_id, seq): every window of every item; ``win`` is its words joined by spaces."""
-    cut_up = items.select("item_id", words().alias("w")).where(F.size("w") > 0)
-    starts = F.sequence(F.lit(1), F.greatest(F.size("w") - width + 1, F.lit(1)))
-    seqs = cut_up.select("item_id", "w", F.explode(starts).alias("s")).select("item_id", F.slice("w", F.col("s"), F.lit(width)).alias("seq"))
-    return seqs.select(F.concat_ws(" ", "seq").alias("win"), "item_id", "seq")
+def numbered_items(items: DataFrame) -> DataFrame:
+    """(i, w, item_id): the words of every item; equal texts share a number."""
+    rows = cut(items.select(words().alias("w"), "item_id").where(F.size("w") > 0))
+    numbers = cut(rows.select("w").distinct().select(F.monotonically_increasing_id().alias("i"), "w"))
+    return rows.join(numbers, "w").select("i", "w", "item_id")
 
 
 def _bytes(rows: DataFrame, text: str | None = None) -> int:
@@ -88,63 +95,73 @@ def _bytes(rows: DataFrame, text: str | None = None) -> int:
     return rows.agg(F.sum((F.octet_length(text) * 4 if text else F.lit(0)) + 64)).first()[0] or 0
 
 
-def ordered_terms(postings: DataFrame, wins: DataFrame) -> DataFrame:
-    """(win, length, rank, term, off): the terms of each distinct window, the rarest in the corpus first."""
-    distinct = wins.dropDuplicates(["win"]).select("win", "seq")
-    terms = cut(distinct.select(F.explode("seq").alias("term")).distinct())
-    # Counted before the join: one row a term and task is shuffled, never a posting.
-    counts = postings.groupBy("term").agg(F.count("*").alias("n")).join(broadcast_below(terms, _bytes(terms, "term")), "term")
-    each = distinct.select("win", F.size("seq").alias("length"), F.posexplode("seq").alias("off", "term")).join(counts, "term", "left")
-    listed = each.groupBy("win", "length").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "term", "off"))).alias("terms"))
-    # A term that no document has rules its window out.
-    some = listed.where(F.col("terms")[0]["n"] > 0)
-    return some.select("win", "length", F.posexplode("terms").alias("rank", "t")).select("win", "length", "rank", "t.term", "t.off")
-
-
-def _listed(postings: DataFrame, terms: DataFrame) -> DataFrame:
-    """The lists of the given terms."""
-    distinct = terms.select("term").distinct()
-    return postings.join(broadcast_below(distinct, _bytes(distinct, "term")), "term", "left_semi")
+def _small(rows: DataFrame, text: str | None = None) -> DataFrame:
+    """``rows``, broadcast if their measured size allows."""
+    return broadcast_below(rows, _bytes(rows, text))
 
 
-def intersect(postings: DataFrame, starts: DataFrame, terms: DataFrame, slop: int = 0) -> DataFrame:
-    """The (doc, w, start) rows at which all of a window's ``terms`` (w, term, off) have a position, within ``slop``."""
-    asked = starts.join(broadcast_below(terms, _bytes(terms, "term")), "w")
-    place = F.col("start") + F.col("off")
+def ordered_windows(postings: DataFrame, numbered: DataFrame, width: int = WIDTH) -> DataFrame:
+    """(i, s, length, terms): every window of every distinct item; ``terms`` are (n, term, at), the rarest in the corpus
+    first, ``at`` the place in the item. Windows with a term that no document has are left out."""
+    distinct = numbered.select("i", "w").dropDuplicates(["i"])
+    each = distinct.select("i", F.posexplode("w").alias("at", "term"))
+    terms = cut(each.select("term").distinct())
+    # Counted before the join: one row a term and task is shuffled, never a posting.
+    counts = postings.groupBy("term").agg(F.count("*").alias("n")).join(_small(terms, "term"), "term")
+    listed = each.join(counts, "term", "left").groupBy("i").agg(F.array_sort(F.collect_list(F.struct("at", F.coalesce("n", F.lit(0)).alias("n"), "term"))).alias("all"))
+    starts = F.sequence(F.lit(0), F.greatest(F.size("all") - width, F.lit(0)))
+    wins = listed.select("i", "all", F.explode(starts).alias("s")).select("i", "s", F.slice("all", F.col("s") + 1, F.lit(width)).alias("part"))
+    order = F.array_sort(F.transform("part", lambda t: F.struct(t["n"].alias("n"), t["term"].alias("term"), t["at"].alias("at"))))
+    return wins.select("i", "s", F.size("part").alias("length"), order.alias("terms")).where(F.col("terms")[0]["n"] > 0)
+
+
+def intersect(postings: DataFrame, asked: DataFrame, slop: int = 0) -> DataFrame:
+    """The (doc, i, align, at, exact) of ``asked`` (doc, i, align, at, term) whose term the document has at align + at,
+    or, with ``slop``, up to that many positions off."""
+    place = F.col("align") + F.col("at")
     near = F.explode(F.sequence(place - slop, place + slop)) if slop else place
-    asked = asked.select("doc", "w", "start", "off", "term", near.alias("pos")).where("pos >= 0")
-    size = _bytes(asked, "term")
-    met = _listed(postings, terms).join(broadcast_below(asked, size), ["doc", "term", "pos"]).select("doc", "w", "start", "off")
-    found = (met.distinct() if slop else met).groupBy("doc", "w", "start").agg(F.count("*").alias("k"))
-    wanted = terms.groupBy("w").agg(F.count("*").alias("of"))
-    return found.join(F.broadcast(wanted), "w").where("k = of").select("doc", "w", "start")  # one short row a window, fewer than ``terms``
-
-
-def search(index: PositionalIndex, wins: DataFrame, slop: int = 0) -> tuple[DataFrame, DataFrame]:
-    """(matches, numbers): (doc, w, start, length, exact) of the windows, inexact only with ``slop``; (w, win) of those searched."""
-    listed = ordered_terms(index.postings, wins)
-    numbers = cut(listed.where("rank = 0").select(F.monotonically_increasing_id().alias("w"), "win", "length", "term", "off"))
-    lengths = numbers.select("w", "length")
-    small = lambda df: broadcast_below(df, _bytes(df))
-    terms = cut(listed.join(broadcast_below(numbers.select("w", "win"), _bytes(numbers, "win")), "win").select("w", "rank", "term", "off"))
-    of = lambda where: terms.where(where).select("w", "term", "off")
-    rarest = of("rank = 0")
-    start = F.col("pos") - F.col("off")
-    first = index.postings.join(broadcast_below(rarest, _bytes(rarest, "term")), "term")
-    starts = first.select("doc", "w", (F.explode(F.sequence(start - slop, start + slop)) if slop else start).alias("start")).where("start >= 0")
-    alone = lengths.where("length = 1").select("w")
-    rest = cut((starts.distinct() if slop else starts).join(small(alone), "w", "left_anti"))
-    pairs = cut(intersect(index.postings, rest, of("rank = 1"), slop))
-    long = lengths.where("length > 2").select("w")
-    whole = intersect(index.postings, pairs.join(small(long), "w", "left_semi"), of("rank > 1"), slop)
-    single = starts.distinct().join(small(alone), "w", "left_semi") if slop else starts.join(small(alone), "w", "left_semi")
-    found = cut(single.unionByName(pairs.join(small(long), "w", "left_anti")).unionByName(whole)).join(small(lengths), "w")
-    if slop:
-        exact = intersect(index.postings, found.select("doc", "w", "start"), of("true")).withColumn("exact", F.lit(True))
-        found = found.join(exact, ["doc", "w", "start"], "left")
-    else:
-        found = found.withColumn("exact", F.lit(True))
-    return found.select("doc", "w", "start", "length", F.coalesce("exact", F.lit(False)).alias("exact")), numbers.select("w", "win")
+    wanted = asked.withColumn("pos", near).where("pos >= 0")
+    lists = postings.join(_small(asked.select("term").distinct(), "term"), "term", "left_semi")
+    met = lists.join(_small(wanted, "term"), ["doc", "term", "pos"])
+    keys = ["doc", "i", "align", "at"]
+    if not slop:
+        return met.select(*keys, F.lit(True).alias("exact"))
+    return met.groupBy(*keys).agg(F.max(F.col("pos") == F.col("align") + F.col("at")).alias("exact"))
+
+
+def search(index: PositionalIndex, numbered: DataFrame, width: int = WIDTH, slop: int = 0) -> DataFrame:
+    """(doc, i, start, length, exact): the windows of the items in the documents; inexact ones only with ``slop``."""
+    wins = cut(ordered_windows(index.postings, numbered, width))
+    first, second = F.col("terms")[0], F.col("terms")[1]
+    rarest = wins.select("i", first["at"].alias("p"), first["term"].alias("term")).distinct()
+    lists = index.postings.join(_small(rarest, "term"), "term")
+    starts = cut(lists.select("doc", "i", (F.col("pos") - F.col("p")).alias("align"), "p"))
+    pairs = wins.where("length > 1").select("i", first["at"].alias("p"), second["at"].alias("at"), second["term"].alias("term")).distinct()
+    asked = cut(starts.join(_small(pairs, "term"), ["i", "p"]).select("doc", "i", "align", "at", "term").distinct())
+    met = cut(intersect(index.postings, asked, slop))
+    both = cut(
+        starts.join(_small(pairs.drop("term")), ["i", "p"]).join(_small(met), ["doc", "i", "align", "at"]).select("doc", "i", "align", "p", "at", "exact")
+    )
+    others = wins.where("length > 2").select("i", first["at"].alias("p"), second["at"].alias("at"), F.explode(F.slice("terms", 3, width)).alias("t"))
+    others = others.select("i", "p", "at", F.col("t.at").alias("r"), F.col("t.term").alias("term")).distinct()
+    rest = cut(both.join(_small(others, "term"), ["i", "p", "at"]).select("doc", "i", "align", F.col("r").alias("at"), "term").distinct())
+    alone = wins.where("length = 1").select("i", first["at"].alias("p"))
+    keys = ["doc", "i", "align"]
+    places = (
+        both.select(*keys, "at", "exact")
+        .unionByName(both.select(*keys, F.col("p").alias("at"), F.lit(True).alias("exact")))
+        .unionByName(intersect(index.postings, rest, slop))
+        .unionByName(starts.join(_small(alone), ["i", "p"]).select(*keys, F.col("p").alias("at"), F.lit(True).alias("exact")))
+    )
+    # Bounded by the item's length.
+    aligned = places.groupBy(*keys).agg(F.collect_set(F.when(F.col("exact"), F.col("at"))).alias("exactly"), F.collect_set("at").alias("nearly"))
+    of_item = wins.select("i", F.struct("s", "length", first["at"].alias("p")).alias("win")).groupBy("i").agg(F.collect_list("win").alias("wins"))
+    placed = aligned.join(_small(of_item), "i")
+    span = lambda x: F.sequence(x["s"], x["s"] + x["length"] - 1)
+    inside = lambda x, found: F.size(F.array_except(span(x), F.col(found))) == 0
+    hits = F.filter("wins", lambda x: F.array_contains("exactly", x["p"]) & inside(x, "nearly"))
+    each = placed.select(*keys, "exactly", F.explode(hits).alias("x")).withColumn("exact", F.size(F.array_except(span(F.col("x")), F.col("exactly"))) == 0)
+    return each.select("doc", "i", (F.col("align") + F.col("x.s")).alias("start"), F.col("x.length").alias("length"), "exact")
 
 
 def covered(spans: Column) -> Column:
@@ -161,18 +178,17 @@ def covered(spans: Column) -> Column:
 
 
 def find(docs: DataFrame, items: DataFrame, width: int = WIDTH, slop: int = 0, index: PositionalIndex | None = None) -> tuple[PositionalIndex, DataFrame, DataFrame]:
-    """(index, matches, windows): where the items' windows are in the documents; ``windows`` is (w, item_id)."""
+    """(index, matches, owners): where the items' windows are in the documents; ``owners`` is (i, item_id)."""
     index = index or build(docs)
-    wins = cut(windows(items, width))
-    matches, numbers = search(index, wins, slop)
-    return index, cut(matches), wins.join(broadcast_below(numbers, _bytes(numbers, "win")), "win").select("w", "item_id").distinct()
+    numbered = numbered_items(items)
+    return index, cut(search(index, numbered, width, slop)), numbered.select("i", "item_id").distinct()
 
 
 def contaminated(matches: DataFrame, owners: DataFrame) -> DataFrame:
     """(doc, n_hit, items, n_near): per document with a match its hit words, the items found, and the number of those found or nearly so."""
     exact = F.col("exact")
     spans = matches.groupBy("doc").agg(F.collect_set(F.when(exact, F.struct("start", "length"))).alias("spans"))
-    ids = matches.groupBy("doc", "w").agg(F.max("exact").alias("exact")).join(owners.where("item_id is not null"), "w")
+    ids = matches.groupBy("doc", "i").agg(F.max("exact").alias("exact")).join(owners.where("item_id is not null"), "i")
     per = ids.groupBy("doc", F.col("item_id").cast("string").alias("item")).agg(F.max("exact").alias("exact"))
     listed = per.groupBy("doc").agg(F.array_sort(F.collect_list(F.when(exact, F.col("item")))).alias("items"), F.count("*").alias("n_near"))
     return spans.select("doc", covered(F.col("spans")).alias("n_hit")).join(listed, "doc", "left")

@@ -117,9 +117,13 @@ WITH d AS (
   SELECT win, n, unnest(range(0, n)) AS i, unnest(string_split(win, ' ')) AS term FROM (SELECT DISTINCT win, n FROM wins)
 ), have AS (
   SELECT doc_id, unnest(range(0, len(w))) AS p, unnest(w) AS term FROM d
+), freq AS (
+  SELECT term, count(*) AS f FROM have GROUP BY term
+), rarest AS (
+  SELECT win, n, arg_min(i, (coalesce(f, 0), term, i)) AS r FROM want LEFT JOIN freq USING (term) GROUP BY win, n
 ), close AS (
-  SELECT doc_id, win FROM (SELECT doc_id, win, n, i, p - i + delta AS s FROM have JOIN want USING (term), (VALUES (-1), (0), (1)) t(delta))
-  WHERE s >= 0 GROUP BY doc_id, win, n, s HAVING count(DISTINCT i) = n
+  SELECT doc_id, win FROM (SELECT doc_id, win, n, i, r, delta, p - i + delta AS s FROM have JOIN want USING (term) JOIN rarest USING (win, n), (VALUES (-1), (0), (1)) t(delta))
+  GROUP BY doc_id, win, n, s HAVING count(DISTINCT i) = n AND count(*) FILTER (i = r AND delta = 0) > 0
 ), near AS (
   SELECT doc_id, count(DISTINCT item_id) AS n_near FROM (SELECT DISTINCT doc_id, win FROM close) JOIN wins USING (win) GROUP BY doc_id
 )
