@@ -16,9 +16,9 @@ other terms. A window whose terms are all in place is an exact phrase match. Wit
 the rarest is in its own; that gives proximity matches. Overlapping windows share
 their alignments and terms, so each is looked up once.
 
-Only tables whose size is measured are broadcast; past the limit Spark shuffles
-both sides instead, by document, term and position, so no term's list meets in
-one task. Matches of a document are merged under its own number, so no list grows
+Only tables of benchmark terms and windows are broadcast, and those after their
+size is measured. What grows with the corpus is shuffled at every size, by
+document, term and position, so no term's list meets in one task. Matches of a document are merged under its own number, so no list grows
 with the corpus.
 
 Results by case: null texts have no words; items without words have no windows,
@@ -70,7 +70,7 @@ def build(docs: DataFrame, path: str | None = None) -> PositionalIndex:
     named = F.col("at") == 0
     rows = each.select(
         "doc", "term", F.when(named, F.col("n_words")).otherwise(F.col("at") - 1).alias("pos"),
-        *[F.when(named, F.col(f"key.{x}")).alias(x) for x in ("id", "h", "n")],
+        F.when(named, F.col("key")).alias("key"),
     )
     rows.sortWithinPartitions("term", "doc", "pos").write.parquet(path)
     return load(spark, path)
@@ -79,7 +79,7 @@ def build(docs: DataFrame, path: str | None = None) -> PositionalIndex:
 def load(spark: SparkSession, path: str) -> PositionalIndex:
     """An index that ``build`` has written."""
     stored = spark.read.parquet(path)
-    documents = stored.where("term = ''").select("doc", "id", "h", "n", F.col("pos").cast("long").alias("n_words"))
+    documents = stored.where("term = ''").select("doc", "key.*", F.col("pos").cast("long").alias("n_words"))
     return PositionalIndex(documents, stored.where("term <> ''").select("doc", "term", "pos"))
 
 
@@ -122,7 +122,7 @@ def intersect(postings: DataFrame, asked: DataFrame, slop: int = 0) -> DataFrame
     near = F.explode(F.sequence(place - slop, place + slop)) if slop else place
     wanted = asked.withColumn("pos", near).where("pos >= 0")
     lists = postings.join(_small(asked.select("term").distinct(), "term"), "term", "left_semi")
-    met = lists.join(_small(wanted, "term"), ["doc", "term", "pos"])
+    met = lists.join(wanted, ["doc", "term", "pos"])
     keys = ["doc", "i", "align", "at"]
     if not slop:
         return met.select(*keys, F.lit(True).alias("exact"))
@@ -140,7 +140,7 @@ def search(index: PositionalIndex, numbered: DataFrame, width: int = WIDTH, slop
     asked = cut(starts.join(_small(pairs, "term"), ["i", "p"]).select("doc", "i", "align", "at", "term").distinct())
     met = cut(intersect(index.postings, asked, slop))
     both = cut(
-        starts.join(_small(pairs.drop("term")), ["i", "p"]).join(_small(met), ["doc", "i", "align", "at"]).select("doc", "i", "align", "p", "at", "exact")
+        starts.join(_small(pairs.drop("term")), ["i", "p"]).join(met, ["doc", "i", "align", "at"]).select("doc", "i", "align", "p", "at", "exact")
     )
     others = wins.where("length > 2").select("i", first["at"].alias("p"), second["at"].alias("at"), F.explode(F.slice("terms", 3, width)).alias("t"))
     others = others.select("i", "p", "at", F.col("t.at").alias("r"), F.col("t.term").alias("term")).distinct()
