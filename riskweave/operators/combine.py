@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.functions.scores import combined, rescale
+from riskweave.session import cut
 
 
 @dataclass(frozen=True)
@@ -50,6 +51,10 @@ class Index:
         """From nested configuration: {name: {weights, method, level, rescale}}."""
         return Index(tuple(Aggregate(n, s["weights"], s.get("method", "mean"), s.get("level", "dimension"), s.get("rescale", True)) for n, s in spec.items()))
 
+    def with_parts(self, renamed: dict[str, str]) -> Index:
+        """The same index, made of other columns."""
+        return Index(tuple(Aggregate(a.name, {renamed.get(p, p): w for p, w in a.parts.items()}, a.method, a.level, a.rescale) for a in self.aggregates))
+
     def needs(self) -> set[str]:
         """The indicators that no aggregate makes."""
         made = {a.name for a in self.aggregates}
@@ -69,9 +74,12 @@ def evaluate(df: DataFrame, index: Index) -> DataFrame:
     """``df`` with all scores of an index.
 
     Aggregates whose parts are all there make one level; the bounds of a level
-    are one pass over the panel, however many aggregates it has.
+    are one pass over the panel, however many aggregates it has. The panel is
+    stored first, so that those passes don't compute it anew.
     """
     pending = list(index.aggregates)
+    if sum(a.rescale for a in pending) > 1 or any(a.rescale and any(p in {b.name for b in pending} for p in a.parts) for a in pending):
+        df = cut(df)
     while pending:
         made = {a.name for a in pending}
         ready = [a for a in pending if all(p in df.columns and (p not in made or p == a.name) for p in a.parts)]

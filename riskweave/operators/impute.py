@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from riskweave.operators.scale import quantile
+from riskweave.operators.scale import quantiles
 
 TAILS = ("none", "fill", "extrapolate")
 
@@ -78,7 +78,7 @@ def extend_by_growth(df: DataFrame, entity: str, order: str, local: str, nationa
     """
     line = Window.partitionBy(entity).orderBy(order)
     rows = df.withColumn("_g", F.try_divide(F.col(national), F.lag(national).over(line)))
-    low, high = (quantile(rows, F.col("_g"), level) for level in (cut_share, 1 - cut_share))
+    low, high = quantiles(rows, [(F.col("_g"), level) for level in (cut_share, 1 - cut_share)])
     rows = rows.withColumn("_g", F.when(F.col("_g").isNotNull(), F.greatest(F.least("_g", F.lit(high)), F.lit(low))))
     before = line.rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("_last", F.last(local, ignorenulls=True).over(before)).withColumn("_seg", F.count(local).over(before))

@@ -49,6 +49,13 @@ def fallback(df: DataFrame, key: str, first: str, second: str, max_missing: int)
     return df.join(gaps, key).withColumn("chosen", F.when(use, F.col(second)).otherwise(F.col(first))).drop("gaps", "others")
 
 
+def fallback_if_few(df: DataFrame, key: str, first: str, second: str, least: int) -> DataFrame:
+    """``chosen``: ``first``, but ``second`` throughout an entity where ``first`` has fewer values than asked for and ``second`` has any."""
+    known = df.groupBy(key).agg(F.count(first).alias("values"), F.count(second).alias("others"))
+    use = (F.col("values") < least) & (F.col("others") > 0)
+    return df.join(known, key).withColumn("chosen", F.when(use, F.col(second)).otherwise(F.col(first))).drop("values", "others")
+
+
 def update(base: DataFrame, new: DataFrame, keys: list[str], column: str, overwrite: bool = True) -> DataFrame:
     """Fill ``column`` of ``base`` from ``new``: new values win, or only fill gaps."""
     joined = base.join(new.select(*keys, F.col(column).alias("new_value")), keys, "left")
@@ -89,17 +96,54 @@ def unpivot_years(wide: DataFrame, keys: list[str], prefix: str, value: str) ->
     return wide.unpivot(keys, years, "name", value).withColumn("year", F.substring("name", -4, 4).cast("int")).drop("name")
 
 
-def availability(panel: DataFrame, times: list[str], columns: list[str], most_missing: float) -> DataFrame:
-    """The time steps in which no column lacks more than the given share of its values."""
+def availability(panel: DataFrame, times: list[str], columns: list[str], most_missing: float = 0.75, require_all: bool = True) -> DataFrame:
+    """The time steps at which the mean share of missing values over the columns is within bounds; with ``require_all``
+    no column may be wholly missing."""
     shares = panel.groupBy(*times).agg(*[F.avg(F.col(c).isNull().cast("double")).alias(f"gap_{c}") for c in columns])
-    ok = F.lit(True)
-    for c in columns:
-        ok = ok & (F.col(f"gap_{c}") <= most_missing)
+    gaps = [F.col(f"gap_{c}") for c in columns]
+    ok = sum(gaps[1:], gaps[0]) / len(gaps) <= most_missing
+    if require_all:
+        ok = ok & (F.greatest(*gaps, F.lit(0.0)) < 1)
     return shares.where(ok).select(*times)
 
 
-def gate(panel: DataFrame, times: list[str], columns: list[str], most_missing: float) -> DataFrame:
+def gate(panel: DataFrame, times: list[str], columns: list[str], most_missing: float = 0.75, require_all: bool = True) -> DataFrame:
     """NULL in every column at time steps that fail ``availability``."""
-    good = availability(panel, times, columns, most_missing).withColumn("passes", F.lit(True))
+    good = availability(panel, times, columns, most_missing, require_all).withColumn("passes", F.lit(True))
     joined = panel.join(good, times, "left")
     return joined.withColumns({c: F.when(F.col("passes"), F.col(c)) for c in columns}).drop("passes")
+
+
+def clip_fill(panel: DataFrame, entity: list[str], times: list[str], columns: list[str], most_missing: float = 0.75, require_all: bool = True) -> DataFrame:
+    """Gaps filled by straight lines, and by the nearest value at both ends, among the time steps that pass
+    ``availability``; NULL at all others."""
+    from riskweave.operators import impute
+
+    good = availability(panel, times, columns, most_missing, require_all)
+    filled = panel.join(good, times, "left_semi")
+    for c in columns:
+        filled = impute.interpolate(filled, entity, times, c, "fill", "fill")
+    return panel.drop(*columns).join(filled.select(*entity, *times, *columns), [*entity, *times], "left")
+
+
+def years_of(intervals: DataFrame, first: str, last: str) -> DataFrame:
+    """A row for each ``year`` of an interval of years; reversed intervals are left out."""
+    return intervals.where(F.col(last) >= F.col(first)).withColumn("year", F.explode(F.sequence(F.col(first), F.col(last)))).drop(first, last)
+
+
+def also_as(df: DataFrame, key: str, source: str, target: str) -> DataFrame:
+    """``df`` with the rows of one key repeated under another, unless that has rows of its own."""
+    own = df.where(F.col(key) == target).select(F.lit(target).alias("own")).limit(1)
+    copies = df.where(F.col(key) == source).withColumn(key, F.lit(target))
+    return df.unionByName(copies.join(own, copies[key] == own["own"], "left_anti"))
+
+
+def one_value(df: DataFrame, keys: list[str], x: str) -> DataFrame:
+    """(keys, x): the mean of values that must not differ within a key; a key with two different ones stops the job."""
+    wrong = F.raise_error(F.lit(f"more than one {x} for a key")).cast("double")
+    return df.groupBy(*keys).agg(F.when(F.count_distinct(x) > 1, wrong).otherwise(F.avg(x)).alias(x))
+
+
+def total_or_null(df: DataFrame, keys: list[str], x: str, out: str) -> DataFrame:
+    """Sums per key; a sum of 0 is missing."""
+    return df.groupBy(*keys).agg(F.nullif(F.sum(F.col(x).cast("double")), F.lit(0.0)).alias(out))

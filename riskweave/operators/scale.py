@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,69 +15,142 @@ from riskweave.functions.scores import rescale, zero_if_negative
 TRANSFORMS = {"log1p": F.log1p, "exp": F.exp, "zero_if_negative": zero_if_negative, "identity": lambda x: x}
 
 
-def quantile(df: DataFrame, x: Column, level: float, most: int = 100_000) -> float | None:
-    """The exact quantile of a whole column, interpolated linearly between ranks.
+def quantiles(df: DataFrame, wanted: list[tuple[Column, float]], most: int = 100_000) -> list[float | None]:
+    """The exact quantiles of (column, level) pairs, interpolated linearly between ranks, in two passes over ``df``.
 
-    ``percentile`` would bring every distinct value into one task. Here an
-    approximate quantile brackets the wanted rank, two counts confirm the
-    bracket, and so on until few rows are left, which are counted by value. Each
-    pass is one scan, and a pass narrows the bracket to about a five-hundredth.
+    ``percentile`` would bring every distinct value into one task. Here the first
+    pass brackets all wanted ranks by approximate quantiles at once; the second
+    counts the values inside the brackets and the rows below them, which confirms
+    each bracket. Only brackets that hold more than ``most`` rows, or miss their
+    rank, take further passes, with a sketch as much finer as the bracket is narrower.
     """
-    values = df.select(x.cast("double").alias("x")).where("x is not null")
-    n, low, high = values.agg(F.count("x"), F.min("x"), F.max("x")).first()
-    if not n:
-        return None
+    values = df.select(*[x.cast("double").alias(f"x{k}") for k, (x, _) in enumerate(wanted)])
+    out: list[float | None] = [None] * len(wanted)
+    open_ = {k: 0.001 for k in range(len(wanted))}
+    inside = {k: (None, None) for k in open_}
+    while open_:
+        if any(span[0] is None for k, span in inside.items() if k in open_):
+            totals = values.agg(*[f(f"x{k}").alias(f"{n}{k}") for k in open_ for n, f in (("n", F.count), ("lo", F.min), ("hi", F.max))],
+                                *[F.percentile_approx(f"x{k}", F.array(*[F.lit(min(max(wanted[k][1] + d * open_[k], 0.0), 1.0)) for d in (-1, 1)]), round(10 / open_[k])).alias(f"q{k}") for k in open_]).first()
+            for k in list(open_):
+                if not totals[f"n{k}"]:
+                    del open_[k]
+                    continue
+                ends = list(totals[f"q{k}"])
+                # At the ends of the column the bracket reaches to the end.
+                at = wanted[k][1]
+                inside[k] = (totals[f"lo{k}"] if at <= open_[k] else ends[0], totals[f"hi{k}"] if at >= 1 - open_[k] else ends[1])
+        if not open_:
+            break
+        # Rows inside a bracket keep their value, rows below it count under NULL.
+        below = lambda k: F.when(F.col(f"x{k}").between(*inside[k]), F.col(f"x{k}"))
+        sizes = values.agg(*[F.count(below(k)).alias(f"c{k}") for k in open_]).first() if totals_large(totals, open_, most) else None
+        easy = [k for k in open_ if sizes is None or sizes[f"c{k}"] <= most]
+        rows = values.select(F.explode(F.array(*[
+            F.when(F.col(f"x{k}") <= inside[k][1], F.struct(F.lit(k).alias("k"), below(k).alias("x"))) for k in easy
+        ])).alias("v")).where("v is not null").groupBy("v.k", "v.x").agg(F.count("*").alias("n")) if easy else None
+        counted: dict[int, list[tuple[float | None, int]]] = {k: [] for k in easy}
+        for row in rows.toLocalIterator() if easy else ():
+            counted[row["k"]].append((row["x"], row["n"]))
+        for k in list(open_):
+            if k in counted and (value := _at_rank(counted[k], wanted[k][1], totals[f"n{k}"])) is not None:
+                out[k] = value
+                del open_[k]
+            elif k in counted:  # the bracket missed
+                open_[k] *= 4
+                inside[k] = (None, None)
+            else:  # too wide: a narrower bracket
+                open_[k] /= 8
+                inside[k] = (None, None)
+    return out
+
+
+def totals_large(totals, open_: dict[int, float], most: int) -> bool:
+    """True if a bracket may hold more rows than may be counted by value."""
+    return any(2 * slack * totals[f"n{k}"] > most for k, slack in open_.items())
+
+
+def _at_rank(counted: list[tuple[float | None, int]], level: float, n: int) -> float | None:
+    """The quantile from (value, times) inside a bracket, the rows below it under None; None if the bracket misses it."""
     place = level * (n - 1)
     first, last = math.floor(place), min(math.floor(place) + 1, n - 1)
-    below, inside, slack = 0, n, 0.001
-    while inside > most and low < high and slack < 0.5:
-        part = values.where(F.col("x").between(low, high))
-        at = (first - below) / inside
-        ends = part.agg(F.percentile_approx("x", F.array(F.lit(max(at - slack, 0.0)), F.lit(min(at + slack, 1.0))), 10_000)).first()[0]
-        less, among = part.agg(F.count(F.when(F.col("x") < ends[0], 1)), F.count(F.when(F.col("x").between(*ends), 1))).first()
-        if below + less <= first and last < below + less + among and among < inside:
-            low, high, below, inside = *ends, below + less, among
-        else:
-            slack *= 4
-    found, before = [None, None], below
-    counted = values.where(F.col("x").between(low, high)).groupBy("x").agg(F.count("*").alias("n")).orderBy("x")
-    for value, times in counted.toLocalIterator():
+    before = sum(times for x, times in counted if x is None)
+    found: list[float | None] = [None, None]
+    if first < before:
+        return None
+    for value, times in sorted(c for c in counted if c[0] is not None):
         for i, rank in enumerate((first, last)):
             if before <= rank < before + times:
                 found[i] = value
         before += times
-        if found[1] is not None:
-            break
-    return found[0] + (found[1] - found[0]) * (place - first)
+    return None if None in found else found[0] + (found[1] - found[0]) * (place - first)
 
 
-def bounds(df: DataFrame, x: Column, limits: tuple[float | None, float | None] = (None, None), where: Column | None = None) -> tuple[float | None, float | None]:
-    """Two numbers: the given quantiles of ``x``, or its minimum and maximum, over the rows that count."""
-    used = F.when(where, x) if where is not None else x
-    ends = df.agg(F.min(used), F.max(used)).first() if None in limits else (None, None)
-    return tuple(end if level is None else quantile(df, used, level) for level, end in zip(limits, ends, strict=True))
+def quantile(df: DataFrame, x: Column, level: float) -> float | None:
+    """The exact quantile of a whole column; see ``quantiles``."""
+    return quantiles(df, [(x, level)])[0]
 
 
-def scaled(df: DataFrame, x: str, out: str, limits=(None, None), fixed=(None, None), nonzero: bool = False, until: int | None = None, transform: str = "identity") -> DataFrame:
+@dataclass(frozen=True)
+class Scaling:
     """``out``: ``x`` transformed and scaled to 0-1.
 
-    ``fixed`` bounds win; else ``limits`` are quantile levels. ``nonzero`` leaves
-    zeros out of the quantiles, ``until`` takes them from the years up to a
-    reference year.
+    ``fixed`` bounds win; else ``limits`` are quantile levels, None the least or
+    greatest value. ``nonzero`` leaves zeros out of the bounds, ``until`` takes
+    them from the years up to a reference year, ``since`` from the years from one on.
     """
-    value = TRANSFORMS[transform](F.col(x).cast("double"))
-    where = F.lit(True)
-    if nonzero:
-        where = where & (value != 0)
-    if until is not None:
-        where = where & (F.col("year") <= until)
-    low, high = fixed
-    if low is None or high is None:
-        found = bounds(df, value, limits, where)
-        low, high = found[0] if low is None else low, found[1] if high is None else high
-    if low is None or high is None:
-        return df.withColumn(out, F.lit(None).cast("double"))
-    return df.withColumn(out, rescale(value, F.lit(float(low)), F.lit(float(high))))
+
+    x: str
+    out: str
+    limits: tuple[float | None, float | None] = (None, None)
+    fixed: tuple[float | None, float | None] = (None, None)
+    nonzero: bool = False
+    until: int | None = None
+    since: int | None = None
+    transform: str = "identity"
+
+    @property
+    def value(self) -> Column:
+        return TRANSFORMS[self.transform](F.col(self.x).cast("double"))
+
+    @property
+    def counting(self) -> Column:
+        where = F.lit(True)
+        if self.nonzero:
+            where = where & (self.value != 0)
+        if self.until is not None:
+            where = where & (F.col("year") <= self.until)
+        if self.since is not None:
+            where = where & (F.col("year") >= self.since)
+        return F.when(where, self.value)
+
+
+def all_bounds(df: DataFrame, scalings: list[Scaling]) -> list[tuple[float | None, float | None]]:
+    """The bounds of many scalings together: one pass for least and greatest values, two for all quantiles."""
+    plain = [(i, end) for i, s in enumerate(scalings) for end in (0, 1) if s.fixed[end] is None and s.limits[end] is None]
+    levels = [(i, end) for i, s in enumerate(scalings) for end in (0, 1) if s.fixed[end] is None and s.limits[end] is not None]
+    found = {(i, end): s.fixed[end] for i, s in enumerate(scalings) for end in (0, 1)}
+    if plain:
+        row = df.agg(*[(F.max if end else F.min)(scalings[i].counting).alias(f"b{n}") for n, (i, end) in enumerate(plain)]).first()
+        found.update({at: row[n] for n, at in enumerate(plain)})
+    if levels:
+        found.update(zip(levels, quantiles(df, [(scalings[i].counting, scalings[i].limits[end]) for i, end in levels]), strict=True))
+    return [(found[i, 0], found[i, 1]) for i in range(len(scalings))]
+
+
+def scaled_all(df: DataFrame, scalings: list[Scaling], bounds_of: DataFrame | None = None) -> DataFrame:
+    """``df`` with all scalings, whose bounds are found together, in ``bounds_of`` if given."""
+    ends = all_bounds(bounds_of if bounds_of is not None else df, scalings)
+    missing = F.lit(None).cast("double")
+    return df.withColumns({
+        s.out: missing if low is None or high is None else rescale(s.value, F.lit(float(low)), F.lit(float(high)))
+        for s, (low, high) in zip(scalings, ends, strict=True)
+    })
+
+
+def scaled(df: DataFrame, x: str, out: str, limits=(None, None), fixed=(None, None), bounds_of: DataFrame | None = None, **settings) -> DataFrame:
+    """One scaling; see ``Scaling`` for the settings."""
+    return scaled_all(df, [Scaling(x, out, limits, fixed, **settings)], bounds_of)
 
 
 def scaled_within(df: DataFrame, x: str, out: str, by: list[str]) -> DataFrame:
@@ -113,5 +187,11 @@ def exposure_layer(df: DataFrame, density: str, out: str, until: int) -> DataFra
 
 def exposed(df: DataFrame, x: str, exposure: str, out: str) -> DataFrame:
     """A score times exposure, logged and scaled to the 99.9th percentile of what isn't zero."""
-    product = df.withColumn("_p", F.col(x) * F.col(exposure))
-    return scaled(product, "_p", out, (0.0, 0.999), nonzero=True, transform="log1p").drop("_p")
+    return exposed_all(df, {x: out}, exposure)
+
+
+def exposed_all(df: DataFrame, scores: dict[str, str], exposure: str) -> DataFrame:
+    """Many scores (name: name of the result) times exposure, as ``exposed``; all bounds are found together."""
+    products = df.withColumns({f"_p_{out}": F.col(x) * F.col(exposure) for x, out in scores.items()})
+    scalings = [Scaling(f"_p_{out}", out, (0.0, 0.999), nonzero=True, transform="log1p") for out in scores.values()]
+    return scaled_all(products, scalings).drop(*[s.x for s in scalings])

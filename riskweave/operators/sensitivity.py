@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.operators.combine import Aggregate, Index, evaluate
-from riskweave.operators.scale import quantile
+from riskweave.operators.scale import quantiles
 
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -27,6 +28,38 @@ def with_t(correlated: DataFrame) -> DataFrame:
     return correlated.withColumn("t", F.col("r") * F.sqrt(F.try_divide(F.col("n") - 2, 1 - F.col("r") * F.col("r"))))
 
 
+def with_p(correlated: DataFrame) -> DataFrame:
+    """Adds ``p``, the chance of a correlation as far from 0 among uncorrelated normal values; NULL below four rows.
+
+    It is the tail of Student's t with n - 2 degrees of freedom, whose distribution for whole degrees is a finite sum of
+    powers of the cosine of atan(t / sqrt(n - 2)), each term the one before times a ratio. At very many degrees later terms
+    vanish; beyond 40 002 rows p is NULL, and t, by then normal, tells as much.
+    """
+    df = F.col("n") - 2
+    r2 = F.least(F.col("r") * F.col("r"), F.lit(1.0))
+    sin, cos2 = F.abs("r"), 1 - r2
+    angle = F.asin(F.least(sin, F.lit(1.0)))
+    steps = lambda start, upto: F.filter(F.sequence(F.lit(start), F.greatest(upto, F.lit(start))), lambda k: k <= upto)
+    start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum"))
+
+    def add(ratio):
+        def step(s, k):
+            term = s["term"] * cos2 * ratio(k)
+            return F.struct(term.alias("term"), (s["sum"] + term).alias("sum"))
+
+        return step
+
+    count = F.least(F.floor(df / 2) - 1, F.lit(20_000)).cast("int")
+    odd = F.aggregate(steps(1, count), start, add(lambda k: (2.0 * k) / (2.0 * k + 1)))["sum"]
+    even = F.aggregate(steps(1, count), start, add(lambda k: (2.0 * k - 1) / (2.0 * k)))["sum"]
+    inside = F.when(df % 2 == 0, sin * even).when(df == 1, 2 / math.pi * angle).otherwise(2 / math.pi * (angle + sin * F.sqrt(cos2) * odd))
+    return correlated.withColumn("p", F.when((df >= 2) & (df <= 40_000), F.greatest(1 - inside, F.lit(0.0))))
+
+
+def by_size(summaries: DataFrame) -> DataFrame:
+    """A summary's rows in falling order of mean absolute change; one row a part."""
+    return summaries.orderBy(F.desc("mean_abs"), "left_out")
+
 def same_group(a: str, b: str, parts: int = 1) -> bool:
     """True for component ids that share their first ``parts`` words."""
     return a.split("_")[:parts] == b.split("_")[:parts]
@@ -35,7 +68,7 @@ def same_group(a: str, b: str, parts: int = 1) -> bool:
 def overlap_classes(df: DataFrame, first: str, second: str, both: str, level: float) -> DataFrame:
     """``overlap``: 5 if all three scores are in their top share, 4 and 3 if the combined and one other are,
     2 if both others are, 1 if any is, else 0."""
-    cuts = [quantile(df, F.col(c), level) for c in (first, second, both)]
+    cuts = quantiles(df, [(F.col(c), level) for c in (first, second, both)])
     a, b, c = (F.coalesce(F.col(x) >= F.lit(v), F.lit(False)) for x, v in zip((first, second, both), cuts, strict=True))
     return df.withColumn("overlap", F.when(a & b & c, 5).when(a & c, 4).when(b & c, 3).when(a & b, 2).when(a | b | c, 1).otherwise(0))
 

@@ -3,7 +3,7 @@
 An indicator is a function from a mapping of input tables to a panel
 (pgid, year, quarter, score, raw). Inputs are tables that a source has landed:
 events, counts per quarter, country-year values, pixels and bridges. All
-functions are lazy; only quantile bounds run a small aggregate while planning.
+scaling finds its bounds while planning, in at most three passes over a stored panel.
 """
 
 from __future__ import annotations
@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from riskweave.functions import calendar, scores
 from riskweave.operators import events, impute, panel, raster, rolling, scale, spatial
-from riskweave.operators.combine import Index
+from riskweave.operators.combine import Index, evaluate
+from riskweave.session import cut
+from riskweave.sources.store import Store
 
 Tables = Mapping[str, DataFrame]
 CELL, TIME = ["pgid"], ["year", "quarter"]
@@ -227,69 +229,139 @@ def _actors(tables):
 # Vulnerability ---------------------------------------------------------------------------------
 
 
-def _placed(tables: Tables, yearly: DataFrame, head: str = "extrapolate", tail: str = "none") -> DataFrame:
+def _quarters(tables: Tables, yearly: DataFrame, columns: list[str], head: str = "extrapolate", tail: str = "none") -> DataFrame:
     """Country-year values in the fourth quarters of the panel, lines between them."""
     line = yearly.groupBy("iso3").agg(F.min("year").alias("_a"), F.max("year").alias("_b"))
-    steps = line.select("iso3", F.explode(F.sequence(F.col("_a") * 4 + 3, F.col("_b") * 4 + 3)).alias("_t"))
-    quarters = steps.join(yearly.withColumn("_t", F.col("year") * 4 + 3).drop("year"), ["iso3", "_t"], "left")
     first = tables["panel"].agg(F.min("year"), F.max("year")).first()
     if first[0] is None:
-        return tables["panel"].withColumn("raw", F.lit(None).cast("double"))
+        return tables["panel"].withColumns({c: F.lit(None).cast("double") for c in columns})
     span = line.select("iso3", F.explode(F.sequence(F.least("_a", F.lit(first[0])) * 4, F.greatest("_b", F.lit(first[1])) * 4 + 3)).alias("_t"))
-    whole = span.join(quarters, ["iso3", "_t"], "left")
-    filled = impute.interpolate(whole, ["iso3"], ["_t"], "raw", head, tail)
+    filled = span.join(yearly.select("iso3", (F.col("year") * 4 + 3).alias("_t"), *columns), ["iso3", "_t"], "left")
+    for c in columns:
+        filled = impute.interpolate(filled, ["iso3"], ["_t"], c, head, tail)
     year, quarter = calendar.from_ordinal(F.col("_t"))
-    dated = filled.select("iso3", year.alias("year"), quarter.alias("quarter"), "raw")
-    return tables["panel"].join(dated, ["iso3", *TIME], "left")
+    return tables["panel"].join(filled.select("iso3", year.alias("year"), quarter.alias("quarter"), *columns), ["iso3", *TIME], "left")
 
 
-def _from_country(table: str, value: Callable[[DataFrame], DataFrame], limits=(None, None), fixed=(None, None), invert: bool = False, head: str = "extrapolate", tail: str = "none"):
-    """A recipe: a country-year value, placed, scaled and perhaps turned round."""
+def _placed(tables: Tables, yearly: DataFrame, head: str = "extrapolate", tail: str = "none") -> DataFrame:
+    return _quarters(tables, yearly.select("iso3", "year", "raw"), ["raw"], head, tail)
 
-    def build(tables: Tables) -> DataFrame:
-        out = scale.scaled(_placed(tables, value(tables[table]).select("iso3", "year", "raw"), head, tail), "raw", "score", limits, fixed)
-        return out.withColumn("score", 1 - F.col("score")) if invert else out
 
-    return build
+def _each_year(yearly: DataFrame, columns: list[str], head: str = "extrapolate", tail: str = "none") -> DataFrame:
+    """Every country in every year of the table, gaps filled by lines."""
+    ends = yearly.agg(F.min("year"), F.max("year")).first()
+    if ends[0] is None:
+        return yearly
+    out = panel.densify(yearly, ["iso3"], *ends)
+    for c in columns:
+        out = impute.interpolate(out, ["iso3"], ["year"], c, head, tail)
+    return out
 
 
-def _mean_of(*columns: str):
-    return lambda df: df.withColumn("raw", scores.row_mean(*[F.col(c) for c in columns]))
-
-
-indicator("VUL_socioeconomic_agriculture", "panel", "labour")(
-    _from_country("labour", lambda d: d.withColumn("raw", scores.row_mean(F.col("participation") * F.col("farm_share"), F.col("value_added"))), (None, 0.99), (0.0, None), head="fill", tail="fill")
-)
-indicator("VUL_socioeconomic_hunger", "panel", "undernourishment")(
-    _from_country("undernourishment", lambda d: d.withColumn("raw", scores.censored_number(F.col("value").cast("string"))), (None, 0.99), (0.0, None))
-)
-indicator("VUL_political_ethnic", "panel", "exclusion")(_from_country("exclusion", _mean_of("excluded_size", "exclusion_index"), fixed=(0.0, 1.0), head="fill", tail="fill"))
-indicator("VUL_political_institutions", "panel", "institutions")(
-    _from_country("institutions", lambda d: d.withColumn("raw", scores.row_mean(F.col("corruption") / 100, (F.col("effectiveness") + 2.5) / 5, F.col("rule_of_law"))), fixed=(0.0, 1.0), invert=True, head="fill", tail="fill")
-)
-indicator("VUL_political_system", "panel", "system")(_from_country("system", _mean_of("freedom", "libdem", "partip", "civlib"), fixed=(0.0, 1.0), invert=True, head="fill", tail="fill"))
-indicator("VUL_political_gender", "panel", "gender")(
-    _from_country("gender", lambda d: d.withColumn("raw", scores.row_mean(F.col("gii"), 1 - scores.rescale(F.col("sgdi"), 0.5, 1.0))), fixed=(0.0, 1.0), head="fill", tail="fill")
-)
-indicator("VUL_demographic_dependent", "panel", "agegroups")(
-    _from_country("agegroups", lambda d: d.withColumn("raw", F.try_divide(F.col("pop_youth") + F.col("pop_old"), F.col("pop_working"))), (0.01, 0.99))
-)
-indicator("VUL_demographic_uprooted", "panel", "displacement")(
-    _from_country(
-        "displacement",
-        lambda d: d.withColumn("raw", F.log1p(100 * F.try_divide(scores.row_sum(*[F.col(c).cast("double") for c in ("refugees", "asylum_seekers", "others_need_of_protection", "idps")]), F.col("pop_total")))),
-        (None, 0.99), (0.0, None),
-    )
-)
+def _mean(*columns: str):
+    return scores.row_mean(*[F.col(c) for c in columns])
+
+
+@indicator("VUL_socioeconomic_agriculture", "panel", "labour")
+def _agriculture(tables):
+    """Farm workers among all people of working age, and the farms' part of the product; modelled series where too little is observed."""
+    d = tables["labour"]
+    for c in ("participation", "farm_share"):
+        filled = panel.fallback_if_few(d, "iso3", c, f"{c}_model", 4)
+        d = filled.withColumn(c, F.col("chosen")).drop("chosen", f"{c}_model")
+    d = panel.clip_fill(d, ["iso3"], ["year"], ["participation", "farm_share", "value_added"])
+    d = cut(d.withColumn("raw", scores.row_mean(F.col("participation") / 100 * F.col("farm_share"), F.col("value_added") / 100)))
+    return scale.scaled(_placed(tables, d), "raw", "score", (None, 0.99), (0.0, None), bounds_of=d, until=REFERENCE)
+
+
+@indicator("VUL_socioeconomic_hunger", "panel", "undernourishment")
+def _hunger(tables):
+    """The share of the undernourished; 2.5 stands for any share below."""
+    d = tables["undernourishment"].withColumn("share", scores.censored_number(F.col("value").cast("string")) / 100)
+    d = cut(_each_year(d.select("iso3", "year", "share"), ["share"]).withColumn("raw", F.col("share")))
+    placed = cut(_placed(tables, d))
+    low = placed.agg(F.min("raw")).first()[0]
+    out = scale.scaled(placed, "raw", "score", (None, 0.99), (low, None), bounds_of=d, until=REFERENCE)
+    return out.withColumn("raw", F.col("raw") * 100)
+
+
+@indicator("VUL_political_ethnic", "panel", "groups", "exclusion")
+def _ethnic(tables):
+    """The size of powerless and discriminated groups, and the index of exclusion by social group."""
+    out = tables["groups"].where(F.col("status").isin("DISCRIMINATED", "POWERLESS")).groupBy("iso3", "year").agg(F.sum("size").alias("excluded"))
+    both = tables["exclusion"].select("iso3", "year", "exclusion_index").join(out, ["iso3", "year"], "full_outer")
+    placed = _quarters(tables, panel.clip_fill(both, ["iso3"], ["year"], ["exclusion_index", "excluded"]), ["exclusion_index", "excluded"])
+    return placed.withColumn("raw", _mean("excluded", "exclusion_index")).withColumn("score", F.col("raw"))
+
+
+@indicator("VUL_political_institutions", "panel", "institutions")
+def _institutions(tables):
+    """Corruption, law and effectiveness between their natural bounds, turned round."""
+    columns = ["corruption", "rule_of_law", "effectiveness"]
+    q = _quarters(tables, tables["institutions"], columns)
+    q = q.withColumns({"corruption": scores.rescale(F.col("corruption"), 0, 100), "effectiveness": scores.rescale(F.col("effectiveness"), -2.5, 2.5)})
+    q = panel.clip_fill(q, CELL, TIME, columns, require_all=False)
+    return q.withColumn("raw", 1 - _mean(*columns)).withColumn("score", F.col("raw"))
+
+
+@indicator("VUL_political_system", "panel", "system")
+def _system(tables):
+    columns = ["freedom", "libdem", "partip", "civlib"]
+    yearly = panel.clip_fill(tables["system"], ["iso3"], ["year"], columns, require_all=False)
+    return _quarters(tables, yearly, columns).withColumn("raw", 1 - _mean(*columns)).withColumn("score", F.col("raw"))
+
+
+@indicator("VUL_political_gender", "panel", "gender", "development_gap")
+def _gender(tables):
+    """Inequality and exclusion by gender of countries, and the regions' development gap, turned round above its lowest values of 2012-2020."""
+    q = _quarters(tables, tables["gender"], ["gii", "exclusion"]).join(tables["development_gap"].select(*KEYS, "sgdi"), KEYS, "left")
+    q = cut(panel.clip_fill(q, CELL, TIME, ["gii", "exclusion", "sgdi"], require_all=False))
+    q = scale.scaled(q, "sgdi", "balance", (0.01, None), (None, 1.0), since=2012, until=REFERENCE)
+    return q.withColumn("raw", scores.row_mean(F.col("gii"), F.col("exclusion"), 1 - F.col("balance"))).withColumn("score", F.col("raw"))
+
+
+@indicator("VUL_demographic_dependent", "panel", "agegroups")
+def _dependent(tables):
+    """The young and old for each person of working age; estimates hold at mid-year."""
+    ratio = tables["agegroups"].select("iso3", "year", F.try_divide(F.col("pop_youth") + F.col("pop_old"), F.col("pop_working")).alias("raw"))
+    # Whole years, so that the second quarter of the last one has its estimate.
+    ends = tables["panel"].agg(F.min("year"), F.max("year")).first()
+    countries = tables["panel"].select("iso3").distinct()
+    whole = panel.entity_quarters(countries, (ends[0] or START, 1), (ends[1] or START, 4)).drop("time")
+    moved = panel.mid_year(panel.yearly_to_quarterly(whole, ratio, ["iso3"]))
+    filled = impute.interpolate(moved, ["iso3"], TIME, "raw", "extrapolate", "none")
+    out = cut(tables["panel"].join(filled, ["iso3", *TIME], "left"))
+    return scale.scaled(out, "raw", "score", (0.01, 0.99), until=REFERENCE)
+
+
+@indicator("VUL_demographic_uprooted", "panel", "displacement")
+def _uprooted(tables):
+    """Displaced people per hundred inhabitants, logged."""
+    displaced = scores.row_sum(*[F.col(c).cast("double") for c in ("refugees", "asylum_seekers", "others_need_of_protection", "idps")])
+    d = tables["displacement"].withColumn("share", F.try_divide(displaced, F.col("pop_total")))
+    d = cut(d.select("iso3", "year", "share", F.log1p(100 * F.col("share")).alias("logged")))
+    out = _quarters(tables, d, ["share", "logged"]).withColumn("raw", F.col("share"))
+    return scale.scaled(out, "logged", "score", (None, 0.99), (0.0, None), bounds_of=d, until=REFERENCE)
 
 
 @indicator("VUL_socioeconomic_deprivation", "panel", "gdp", "lights")
 def _deprivation(tables):
-    """Country product shared out by light, logged and turned round; a second source where the first has gaps."""
-    gdp = panel.fallback(tables["gdp"], "iso3", "gdp_ppp", "gdp_other", 3).select("iso3", "year", F.col("chosen").alias("raw"))
-    joined = _placed(tables, gdp, "extrapolate", "extrapolate").join(tables["lights"], ["pgid", "year"], "left")
-    value = joined.withColumn("raw", F.log1p(F.try_divide(F.col("raw") * (F.log10(1 + F.col("ntl")) + 1), F.col("pop_total"))))
-    return scale.scaled(value, "raw", "score", (0.01, 0.99)).withColumn("score", 1 - F.col("score"))
+    """Country product shared out by light among its people, logged and turned round; a second source where the first has gaps.
+
+    The country's people are the sum over its cells; the raw value is product per head by the yearly estimates.
+    """
+    gdp = panel.fallback(tables["gdp"], "iso3", "gdp_ppp", "gdp_other", 3).withColumn("gdp", F.col("chosen")).withColumn("per_head", F.try_divide("chosen", "pop_total"))
+    gdp = _each_year(gdp.select("iso3", "year", "gdp", "per_head"), ["gdp", "per_head"], "extrapolate", "extrapolate")
+    owners = tables["panel"].select("pgid", "iso3").distinct()
+    lit = tables["lights"].join(owners, "pgid")
+    people = panel.total_or_null(lit, ["iso3", "year"], "pop_count", "people")
+    yearly = lit.join(gdp, ["iso3", "year"], "left").join(people, ["iso3", "year"], "left")
+    yearly = yearly.withColumn("value", F.log1p(F.try_divide(F.col("gdp") * (F.log10(1 + F.col("ntl")) + 1), F.col("people"))))
+    yearly = scale.scaled(cut(yearly.select("pgid", "year", "value", "per_head")), "value", "score", (0.01, 0.99), until=REFERENCE)
+    placed = panel.yearly_to_quarterly(tables["panel"], yearly.select("pgid", "year", (1 - F.col("score")).alias("score"), F.col("per_head").alias("raw")), ["pgid"])
+    for c in ("score", "raw"):
+        placed = impute.interpolate(placed, CELL, TIME, c, "extrapolate", "none")
+    return placed
 
 
 def _regional(table: str):
@@ -323,9 +395,11 @@ def _inequality(tables):
 
 @indicator("VUL_demographic_popgrowth", "panel", "country_pop")
 def _popgrowth(tables):
-    """Yearly change relative to the present population, losses counting as none."""
-    grown = tables["country_pop"].withColumn("raw", rolling.growth_of_current("pop_total", ["iso3"], ["year"]))
-    return scale.scaled(_placed(tables, grown.select("iso3", "year", "raw")), "raw", "score", (None, 0.99), (0.0, None))
+    """Change of the population from the quarter before relative to the present one, losses counting as none."""
+    people = _quarters(tables, tables["country_pop"], ["pop_total"])
+    out = cut(people.withColumn("raw", rolling.growth_of_current("pop_total", CELL, TIME)))
+    bounds = out.where(F.col("year") >= START)
+    return scale.scaled(out, "raw", "score", (None, 0.99), (0.0, None), bounds_of=bounds, until=REFERENCE)
 
 
 def _cell_years(tables: Tables, yearly: DataFrame, head: str, tail: str) -> DataFrame:
@@ -334,14 +408,20 @@ def _cell_years(tables: Tables, yearly: DataFrame, head: str, tail: str) -> Data
 
 @indicator("VUL_environmental_biodiversity", "panel", "intactness")
 def _biodiversity(tables):
-    lost = tables["intactness"].withColumn("raw", 1 - scores.without_sentinels(F.col("bii"), 0.0))
-    return scale.scaled(_cell_years(tables, lost, "none", "none"), "raw", "score", (None, 0.99))
+    """What is lost of the local species; intactness is the raw value."""
+    kept = tables["intactness"].withColumn("raw", scores.without_sentinels(F.col("bii"), 0.0))
+    lost = cut(_cell_years(tables, kept, "none", "none").withColumn("lost", 1 - F.col("raw")))
+    return scale.scaled(lost, "lost", "score", (None, 0.99), bounds_of=lost.where(F.col("year") >= START), until=REFERENCE)
 
 
 @indicator("VUL_environmental_deforestation", "panel", "forest_pixels")
 def _deforestation(tables):
-    lost = raster.loss_share(tables["forest_pixels"], F.col("pgid"), (START - 1, REFERENCE + 4)).select(F.col("zone").alias("pgid"), "year", F.col("loss").alias("raw"))
-    return scale.scaled(_cell_years(tables, lost, "extrapolate", "none"), "raw", "score", (None, 0.99))
+    """Tree cover lost since 2000. Loss years are counted from 2000, as the data set does; years run from before the start to the last one with a loss."""
+    pixels = tables["forest_pixels"].withColumn("lossyear", F.when(F.col("lossyear") > 0, F.col("lossyear") + 2000).otherwise(0))
+    last = pixels.agg(F.max("lossyear")).first()[0] or 0
+    lost = raster.loss_share(pixels, F.col("pgid"), (START - 1, max(last, START)))
+    placed = cut(_cell_years(tables, lost.select(F.col("zone").alias("pgid"), "year", F.col("loss").alias("raw")), "extrapolate", "none"))
+    return scale.scaled(placed, "raw", "score", (None, 0.99), bounds_of=placed.where(F.col("year") >= START), until=REFERENCE)
 
 
 @indicator("VUL_environmental_irrigation", "panel", "cropland_pixels")
@@ -422,11 +502,48 @@ def gather(base: DataFrame, panels: list[DataFrame]) -> DataFrame:
 
 
 def evaluate_index(df: DataFrame, exposure: str | None = None) -> DataFrame:
-    """Dimensions, exposure, pillars and risks from a panel of indicators."""
-    from riskweave.operators.combine import evaluate
-
-    df = evaluate(df, Index.from_dict(DIMENSIONS))
-    if exposure:
-        for name in EXPOSED:
-            df = scale.exposed(df, name, exposure, f"{name}_exposure").withColumn(name, F.col(f"{name}_exposure"))
-    return evaluate(df, Index.from_dict({**PILLARS, **RISKS}))
+    """Dimensions, pillars and risks from a panel of indicators.
+
+    Gaps are filled forward. With ``exposure``, the indicators of the dimensions
+    in ``EXPOSED`` are weighed by it, logged and scaled anew before they are
+    combined; they come back as columns ending in ``_exposure``.
+    """
+    index = Index.from_dict({**DIMENSIONS, **PILLARS, **RISKS})
+    df = impute.forward_fill(df, CELL, TIME, sorted(index.needs()))
+    if not exposure:
+        return evaluate(df, index)
+    weighed = {p: f"{p}_exposure" for d in EXPOSED for p in DIMENSIONS[d]["weights"]}
+    df = scale.exposed_all(cut(df), weighed, exposure)
+    return evaluate(df, index.with_parts(weighed))
+
+
+def validated(df: DataFrame, name: str, raw: bool = True) -> DataFrame:
+    """An indicator's panel, checked while it is read: key columns filled, scores between 0 and 1."""
+    wrong = (F.col(name) < -1e-9) | (F.col(name) > 1 + 1e-9)
+    stop = F.raise_error(F.lit(f"{name} leaves the range from 0 to 1")).cast("double")
+    checked = panel.validate(df, KEYS, START)
+    columns = [*KEYS, name, *([f"{name}_raw"] if raw and f"{name}_raw" in df.columns else [])]
+    return checked.withColumn(name, F.when(wrong, stop).otherwise(F.col(name))).select(*columns)
+
+
+def run_release(store: Store, tables: Tables, at: tuple[int, int], names: list[str] | None = None, exposure: DataFrame | None = None) -> str:
+    """The whole index from tables to a saved release of the quarter ``at``; returns its name.
+
+    Every indicator is computed, checked and saved, unless a saved one already has values up to that quarter. The saved
+    panels are joined to the base panel, filled forward, weighed by ``exposure`` (pgid, year, quarter, exposure) and
+    combined; scores, raw values and how recent each column is become the release.
+    """
+    names = sorted(INDICATORS) if names is None else names
+    for name in names:
+        if not store.current(name, name, *at):
+            store.save(validated(INDICATORS[name].run(tables), name), "output", name)
+    base = tables["panel"].where((F.col("year") >= START) & (calendar.ordinal(F.col("year"), F.col("quarter")) <= at[0] * 4 + at[1] - 1))
+    df = gather(base, [store.load("output", name) for name in names])
+    if exposure is not None:
+        df = df.join(exposure.select(*KEYS, "exposure"), KEYS, "left")
+    for name in set(INDICATORS) - set(names):
+        df = df.withColumn(name, F.lit(None).cast("double"))
+    out = evaluate_index(df, "exposure" if exposure is not None else None)
+    made = [*DIMENSIONS, *PILLARS, *RISKS]
+    weighed = [c for c in out.columns if c.endswith("_exposure")]
+    return store.release(out.select(*KEYS, *names, *[f"{n}_raw" for n in names], *weighed, *made).orderBy(*KEYS), *at)

@@ -8,7 +8,7 @@ from riskweave.functions import scores
 from riskweave.operators import combine, rolling, scale
 from riskweave.plans import fixtures as X
 from riskweave.plans.registry import query
-from riskweave.session import table
+from riskweave.session import cut, table
 
 W = f"WITH {X.SQL}"
 KEYS = ["pgid", "year", "quarter"]
@@ -136,10 +136,10 @@ def _indicators(spark, d):
     zero = {c: F.coalesce(c, F.lit(0.0)) for c in ("n", "value", "urgent", "peak")}
     p = X.panel(spark, d).join(sums, KEYS, "left").withColumns(zero)
     p = p.withColumn("recent", rolling.full_sum("n", ["pgid"], ["year", "quarter"], 4).cast("double"))
-    p = scale.scaled(p, "value", "CLI_now_value", until=1999, transform="log1p")
-    p = scale.scaled(p, "recent", "CLI_now_recent", transform="log1p")
-    p = scale.scaled(p, "urgent", "CON_level_urgent", transform="log1p")
-    return scale.scaled(p, "peak", "CON_level_peak", (None, 0.99))
+    return scale.scaled_all(cut(p), [
+        scale.Scaling("value", "CLI_now_value", until=1999, transform="log1p"), scale.Scaling("recent", "CLI_now_recent", transform="log1p"),
+        scale.Scaling("urgent", "CON_level_urgent", transform="log1p"), scale.Scaling("peak", "CON_level_peak", (None, 0.99)),
+    ])
 
 
 INDEX = combine.Index.from_dict({
@@ -180,6 +180,5 @@ def risk_chain(spark, d):
 )
 def exposure_weighting(spark, d):
     z = X.quarterly(spark, d).withColumns({c: F.coalesce(c, F.lit(0.0)) for c in ("n", "value")})
-    z = scale.exposure_layer(z, "value", "exposure", 1999)
-    z = scale.exposed(scale.scaled(z, "n", "score"), "score", "exposure", "x")
-    return z.select(*KEYS, F.round("x", 8).alias("x"))
+    z = scale.scaled_all(cut(z), [scale.Scaling("value", "exposure", (None, 0.99), until=1999, transform="log1p"), scale.Scaling("n", "score")])
+    return scale.exposed(z, "score", "exposure", "x").select(*KEYS, F.round("x", 8).alias("x"))

@@ -35,12 +35,15 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all machines share: ``spark.checkpoint.dir``.
 
-    Only where that is unset (tests on one machine) a temporary folder stands in.
+    Only on one machine (a local master) a temporary folder stands in where that is unset.
     """
     context = spark.sparkContext
+    given = spark.conf.get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="riskweave-"))
-    return spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+        if given is None and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+        context.setCheckpointDir(given or tempfile.mkdtemp(prefix="riskweave-"))
+    return given or context.getCheckpointDir()
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -36,9 +36,10 @@ def database(spark: SparkSession, url: str, table: str, columns: list[str], **op
 
 
 def latest_version(names: DataFrame, column: str, pattern: str) -> DataFrame:
-    """The greatest version that ``pattern``'s first group finds in file names."""
+    """The greatest version that ``pattern``'s first group finds in file names; its numbers are compared as numbers."""
     found = F.regexp_extract(column, pattern, 1)
-    return names.where(found != "").agg(F.max(found).alias("version"))
+    order = F.transform(F.regexp_extract_all(found, F.lit(r"(\d+)")), lambda n: n.cast("long"))
+    return names.where(found != "").agg(F.max_by(found, F.struct(order.alias("numbers"), found.alias("text"))).alias("version"))
 
 
 def missing(required: DataFrame, present: DataFrame, on: list[str]) -> DataFrame:

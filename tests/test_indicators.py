@@ -37,22 +37,24 @@ def tables(spark):
         "governance": yearly.select("iso3", "year", F.col("w0").alias("libdem")),
         "population": yearly.select("iso3", "year", (F.col("w1") * 1e6 + 1000).alias("pop_total")),
         "interval_events": spark.createDataFrame([("AAA", day(2015, 3, 30), day(2015, 4, 2), "army", "rebels", 8.0), ("BBB", day(2016, 1, 1), day(2016, 1, 1), "army", "Civilians", 2.0)], "iso3 string, date_start date, date_end date, side_a string, side_b string, best double"),
-        "labour": yearly.select("iso3", "year", F.col("w0").alias("participation"), F.col("w1").alias("farm_share"), F.col("w2").alias("value_added")),
+        "labour": yearly.select("iso3", "year", (F.col("w0") * 100).alias("participation"), F.lit(50.0).alias("participation_model"), F.when(F.col("iso3") == "AAA", F.col("w1")).alias("farm_share"), F.col("w4").alias("farm_share_model"), (F.col("w2") * 100).alias("value_added")),
         "undernourishment": yearly.select("iso3", "year", F.when(F.col("w0") < 0.3, "<2.5").otherwise((F.col("w0") * 30).cast("string")).alias("value")),
-        "exclusion": yearly.select("iso3", "year", F.col("w0").alias("excluded_size"), F.col("w1").alias("exclusion_index")),
+        "exclusion": yearly.select("iso3", "year", F.col("w1").alias("exclusion_index")),
+        "groups": yearly.select("iso3", "year", (F.col("w0") / 2).alias("size"), F.lit("POWERLESS").alias("status")),
         "institutions": yearly.select("iso3", "year", (F.col("w0") * 100).alias("corruption"), (F.col("w1") * 5 - 2.5).alias("effectiveness"), F.col("w2").alias("rule_of_law")),
         "system": yearly.select("iso3", "year", *[F.col(f"w{i}").alias(n) for i, n in enumerate(("freedom", "libdem", "partip", "civlib"))]),
-        "gender": yearly.select("iso3", "year", F.col("w0").alias("gii"), F.col("w1").alias("sgdi")),
+        "gender": yearly.select("iso3", "year", F.col("w0").alias("gii"), F.col("w1").alias("exclusion")),
+        "development_gap": panel.select("pgid", "year", "quarter", (noise(50) / 100 + 0.5).alias("sgdi")),
         "agegroups": yearly.select("iso3", "year", *[F.col(f"w{i}").alias(n) for i, n in enumerate(("pop_youth", "pop_working", "pop_old"))]),
         "displacement": yearly.select("iso3", "year", *[F.col(f"w{i}").alias(n) for i, n in enumerate(("refugees", "asylum_seekers", "others_need_of_protection", "idps"))], F.lit(1000.0).alias("pop_total")),
-        "gdp": yearly.select("iso3", "year", F.when(F.col("w0") > 0.4, F.col("w1") * 1e4).alias("gdp_ppp"), (F.col("w2") * 1e4).alias("gdp_other")),
-        "lights": cell_years.select("pgid", "year", (F.col("pgid") % 5).cast("double").alias("ntl"), F.lit(5000.0).alias("pop_total")),
+        "gdp": yearly.select("iso3", "year", F.when(F.col("w0") > 0.4, F.col("w1") * 1e4).alias("gdp_ppp"), (F.col("w2") * 1e4).alias("gdp_other"), F.lit(1e6).alias("pop_total")),
+        "lights": cell_years.select("pgid", "year", (F.col("pgid") % 5).cast("double").alias("ntl"), F.lit(5000.0).alias("pop_count")),
         "country_pop": yearly.select("iso3", "year", (F.col("w1") * 1e6).alias("pop_total")),
         "regions": spark.createDataFrame([(100000 + i, f"r{i % 2}", 0.6) for i in range(6)] + [(100000, "r1", 0.4)], "pgid int, area string, share double"),
         "income_gini": yearly.select("iso3", "year", (F.col("w3") * 60).alias("gini_disp")),
         "light_pixels": spark.range(200).select(F.concat(F.lit("r"), (F.col("id") % 2).cast("string")).alias("area"), (2015 + F.col("id") % 5).cast("int").alias("year"), (F.col("id") % 17).cast("double").alias("ntl"), (F.col("id") % 7).cast("double").alias("pop")),
         "intactness": cell_years.where("year % 5 = 0").select("pgid", "year", ((F.col("pgid") + F.col("year")) % 10 / 10.0).alias("bii")),
-        "forest_pixels": pixels.select("pgid", (F.col("i") * 10.0).alias("cover"), F.when(F.col("i") % 3 == 0, 2010 + F.col("i")).otherwise(0).alias("lossyear"), F.lit(1).alias("datamask")),
+        "forest_pixels": pixels.select("pgid", (F.col("i") * 10.0).alias("cover"), F.when(F.col("i") % 3 == 0, 15 + F.col("i")).otherwise(0).alias("lossyear"), F.lit(1).alias("datamask")),
         "cropland_pixels": pixels.select("pgid", ((F.col("i") + F.col("pgid")) % 4).alias("value")),
         "soil_pixels": pixels.select("pgid", ((F.col("i") * 7 + F.col("pgid")) % 13).cast("double").alias("water"), F.col("i").cast("double").alias("wind")),
         "basin_stress": spark.createDataFrame([(1, 0.2, 0.6), (2, -9999.0, 4.0)], "pfaf_id int, bws_raw_2019 double, bws_raw_2030 double"),
