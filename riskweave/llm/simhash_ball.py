@@ -114,14 +114,14 @@ def deduplicate(docs: DataFrame, radius: int = 2, shingle: int = 3) -> DataFrame
 
 
 def best_rows(docs: DataFrame, marked: DataFrame, roots: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stand for their class: ``marked`` has (doc_id, h, fp), ``roots`` (fp, root)."""
+    """The rows of ``docs``, with all their columns, that stand for their class: ``marked`` has (doc_id, h, fp), ``roots`` (fp, root)."""
     rank = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h")).alias("best")
     least = marked.groupBy("fp").agg(rank).join(roots, "fp")
-    best = cut(least.groupBy("root").agg(F.min("best").alias("best")).select("best.doc_id", "best.h"))
-    rows = docs.withColumn("text_hash_of_row", F.xxhash64("text"))
-    same = rows["doc_id"].eqNullSafe(best["doc_id"]) & (rows["text_hash_of_row"] == best["h"])
+    best = cut(least.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.doc_id").alias("of_id"), F.col("best.h").alias("of_h")))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("h"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    same = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("h") == F.col("of_h"))
     kept = rows.join(best.hint("shuffle_hash"), same, "left_semi")
-    keys = marked.join(best, marked["doc_id"].eqNullSafe(best["doc_id"]) & (marked["h"] == best["h"]), "left_semi")
+    keys = marked.join(best, same, "left_semi")
     if not keys.groupBy("doc_id", "h").count().where("count > 1").isEmpty():  # rows given more than once
-        kept = kept.dropDuplicates(["doc_id", "text_hash_of_row"])
-    return kept.drop("text_hash_of_row")
+        kept = kept.dropDuplicates(["doc_id", "h"])
+    return kept.select("row.*")

@@ -3,9 +3,10 @@ from __future__ import annotations
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
-from riskweave.llm import minhash_jaccard as m
+from riskweave.llm import simhash_blocks as m
 from tests.conftest import DATA
 
 
@@ -44,20 +45,39 @@ def test_stage_finds_edited_copies(spark):
             rows.append((len(rows), " ".join(w)))
     rows += [(len(rows) + i, t) for i, t in enumerate((None, "", " \n", "one two", "One two", "one three"))]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert sorted(r.doc_id for r in cp.one_of_each(spark, df, DATA).collect()) == least_of_classes(rows)
+    got, wanted = {r.doc_id for r in cp.one_of_each(spark, df, DATA).collect()}, set(least_of_classes(rows))
+    # Nothing goes without a similar text that stays; of the rows that should go, the fingerprints find nearly all.
+    assert wanted <= got
+    assert len(got - wanted) <= 0.1 * (len(rows) - len(wanted))
 
 
 def test_stage_on_documents_against_brute_force(spark):
     df = spark.read.parquet(f"{DATA}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in df.collect()]
-    assert sorted(r.doc_id for r in cp.one_of_each(spark, df, DATA).collect()) == least_of_classes(rows)
+    got, wanted = {r.doc_id for r in cp.one_of_each(spark, df, DATA).collect()}, set(least_of_classes(rows))
+    assert wanted <= got
+    assert len(got - wanted) <= 0.1 * (len(rows) - len(wanted))
 
 
-def test_links_past_the_centre_of_a_bucket():
-    sets = [np.arange(k, 100 + k, dtype=np.int64) for k in (0, 8, 16, 24, 500)]
-    fps = np.array([10, 11, 12, 13, 14])
-    got = m.joining_links(fps, fps, sets, 0.8)
-    assert len(got) == 3 and {x for pair in got for x in pair} == {10, 11, 12, 13}
+def test_links_past_the_centre_of_a_bucket(spark, monkeypatch):
+    """A chain whose ends are not similar, all in one bucket: what the least node doesn't link is compared across classes."""
+    text = lambda k: " ".join(f"t{i}" for i in range(k, k + 300))
+    rows = [(i, text(16 * i)) for i in range(12)] + [(50, text(5000))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(m, "balls", lambda nodes: nodes.select(F.lit(1).alias("bucket"), "fp"))
+    assert sorted(r.doc_id for r in m.deduplicate(df).collect()) == least_of_classes(rows) == [0, 50]
+
+
+def test_signature_is_the_majority_of_bits():
+    grams = m.shingles(" ".join(f"w{i}" for i in range(50)).encode())
+    with np.errstate(over="ignore"):
+        for number, times in zip(m.signature(grams), m._MULTIPLIERS, strict=True):
+            mixed = [int(x) * int(times) % 2**64 for x in grams]
+            mixed = [(x ^ (x >> 32)) * int(times) % 2**64 for x in mixed]
+            mixed = [x ^ (x >> 29) for x in mixed]
+            for bit in range(2 * m.BITS):
+                assert (number >> bit & 1) == (2 * sum(x >> bit & 1 for x in mixed) > len(mixed))
+            assert 0 <= number < 1 << 2 * m.BITS
 
 
 def test_rows_of_one_id(spark, docs, crowded):
