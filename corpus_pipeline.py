@@ -11,7 +11,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskweave.llm import decontaminate, minhash_jaccard, mixture, quality_knn, sharding
+from riskweave.llm import decontaminate, mixture, quality_knn, sharding, simhash_blocks
 from riskweave.session import shared_folder, table
 
 
@@ -21,8 +21,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class stays: five-word shingles, Jaccard similarity 0.8."""
-    return minhash_jaccard.deduplicate(docs)
+    """Operator 9: one document of each near-duplicate class stays; five-word shingles, Jaccard similarity 0.8."""
+    return simhash_blocks.deduplicate(docs)
 
 
 def not_in_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +48,7 @@ STAGES = [
     ("sharding", sharded),
 ]
 
-#: Nearest-neighbour votes and near-duplicates are beyond SQL; tests hold run() against a brute-force version.
+#: Nearest-neighbour votes and near-duplicates are beyond SQL; tests hold run() against plain Python.
 ORACLE_SQL = None
 
 
