@@ -9,9 +9,10 @@ fingerprints together, then by the exact similarity of their whole sets. Texts
 with equal sets are one node however many documents carry them.
 
 In a bucket all nodes are compared with the least one. Buckets in which this
-leaves several classes are compared in full, but only pairs across classes, so a
-crowd of copies never turns into all its pairs and no link between classes is
-lost. Every comparison streams through a join; no bucket is collected.
+leaves several classes are compared in full, but only pairs across classes, each
+in one of the buckets that it shares, so a crowd of copies never turns into all
+its pairs and no link between classes is lost. Every comparison streams through a
+join; no bucket is collected.
 
 Recall and random collisions depend on ``BITS`` and ``BLOCKS``; the README has the
 figures. Results by case: null, empty and blank texts are one class; a text of
@@ -37,8 +38,9 @@ from riskweave.session import cut
 
 SHINGLE, SIMILARITY, SEED = 5, 0.8, 42
 BLOCKS, BITS = 8, 28
-#: Texts at the wanted similarity differ in 34 of 224 bits on average, with a deviation of 5.4; unrelated ones in 112.
-FAR = 64
+#: Texts at the wanted similarity differ in 34 of 224 bits on average, with a deviation of 5.4, so one in two thousand
+#: differs in more than this; texts at 0.6 differ in 51, unrelated ones in 112.
+FAR = 52
 _MULTIPLIERS = np.random.default_rng(SEED).integers(0, 1 << 63, BLOCKS // 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -144,19 +146,47 @@ def links(docs: DataFrame, marked: DataFrame, similarity: float = SIMILARITY, sh
     pairs = members.where("fp > centre").select(F.col("centre").alias("a"), F.col("fp").alias("b")).distinct()
     near = cut(pairs.join(signed("a", "x"), "a").join(signed("b", "y"), "b").where(_apart("x", "y") <= FAR).select("a", "b"))
     direct = cut(similar(docs, marked, near, similarity, shingle))
-    roots = connected_components(direct).withColumnRenamed("node", "fp")
-    crowd = members.where("n > 2").join(roots, "fp", "left").select("bucket", "fp", F.coalesce("root", "fp").alias("root"))
-    sizes = crowd.groupBy("bucket", "root").agg(F.count("*").alias("k"))
-    largest = sizes.groupBy("bucket").agg(F.max(F.struct("k", "root")).alias("m"), F.count("*").alias("classes")).where("classes > 1").select("bucket", F.col("m.root").alias("main"))
-    split = cut(crowd.join(largest, "bucket").join(signed("fp", "sig"), "fp"))
+    split = cut(_split(members.where("n > 2").select("bucket", "fp"), direct).join(signed("fp", "sig"), "fp"))
     # A pair across classes has a node outside the largest class of its bucket.
     outside = split.where("root <> main").select("bucket", F.col("fp").alias("p"), F.col("root").alias("rp"), F.col("sig").alias("x"))
-    all_ = split.select("bucket", F.col("fp").alias("q"), F.col("root").alias("rq"), F.col("sig").alias("y"))
-    across = outside.join(all_, "bucket").where((F.col("rp") != F.col("rq")) & (_apart("x", "y") <= FAR))
+    all_ = split.select("bucket", F.col("fp").alias("q"), F.col("root").alias("rq"), F.col("main").alias("m"), F.col("sig").alias("y"))
+    # Pairs with a node of the largest class come once, others once by order.
+    once = (F.col("rq") == F.col("m")) | (F.col("p") < F.col("q"))
+    across = outside.join(all_, "bucket").where((F.col("rp") != F.col("rq")) & once & (_apart("x", "y") <= FAR) & _first_shared("bucket", "x", "y"))
     rest = across.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct().join(near, ["a", "b"], "left_anti")
     return direct.unionByName(similar(docs, marked, cut(rest), similarity, shingle))
 
 
+def _first_shared(bucket: str, a: str, b: str) -> Column:
+    """True in just one of the buckets that two signatures share: that of the first block within two bits, its least common variant.
+
+    Fingerprints x and y up to two bits apart have x with either of those bits turned in common.
+    """
+    low = (1 << BITS) - 1
+
+    def part(sig: str, k: int) -> Column:
+        two = F.col(sig)[k // 2]
+        return two.bitwiseAND(F.lit(low)) if k % 2 == 0 else F.shiftrightunsigned(two, BITS)
+
+    found = F.when(F.lit(False), F.lit(0).cast("long"))
+    for k in range(BLOCKS):
+        x, y = part(a, k), part(b, k)
+        apart = x.bitwiseXOR(y)
+        one = apart.bitwiseAND(-apart)
+        least = F.least(x.bitwiseXOR(one), x.bitwiseXOR(apart.bitwiseXOR(one)))
+        found = found.when(F.bit_count(apart) <= 2, F.lit(k << BITS).cast("long").bitwiseOR(least))
+    return F.col(bucket) == found
+
+
+def _split(crowd: DataFrame, found: DataFrame) -> DataFrame:
+    """(bucket, fp, root, main): the buckets whose nodes are of several classes under the links ``found``, with the largest one."""
+    roots = connected_components(found).withColumnRenamed("node", "fp")
+    placed = crowd.join(roots, "fp", "left").select("bucket", "fp", F.coalesce("root", "fp").alias("root"))
+    sizes = placed.groupBy("bucket", "root").agg(F.count("*").alias("k"))
+    largest = sizes.groupBy("bucket").agg(F.max(F.struct("k", "root")).alias("m"), F.count("*").alias("classes"))
+    return placed.join(largest.where("classes > 1").select("bucket", F.col("m.root").alias("main")), "bucket")
+
+
 def rooted(docs: DataFrame, marked: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE) -> DataFrame:
     """(fp, root): the class of every node."""
     roots = connected_components(links(docs, marked, similarity, shingle)).withColumnRenamed("node", "fp")

@@ -65,9 +65,26 @@ def test_links_past_the_centre_of_a_bucket(spark, monkeypatch):
     rows = [(i, text(16 * i)) for i in range(12)] + [(50, text(5000))]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     monkeypatch.setattr(m, "balls", lambda nodes: nodes.select(F.lit(1).alias("bucket"), "fp"))
+    monkeypatch.setattr(m, "_first_shared", lambda bucket, a, b: F.lit(True))
     assert sorted(r.doc_id for r in m.deduplicate(df).collect()) == least_of_classes(rows) == [0, 50]
 
 
+def test_a_pair_counts_in_one_of_its_buckets(spark):
+    rng = random.Random(2)
+    sigs = []
+    for _ in range(6):
+        base = [rng.getrandbits(2 * m.BITS) for _ in range(m.BLOCKS // 2)]
+        for _ in range(6):
+            sigs.append([x ^ sum(1 << b for b in rng.sample(range(2 * m.BITS), rng.randint(0, 4))) for x in base])
+    nodes = spark.createDataFrame(list(enumerate(sigs)), "fp long, sig array<long>")
+    met = m.balls(nodes).join(nodes, "fp")
+    a, b = met.selectExpr("bucket", "fp as p", "sig as x"), met.selectExpr("bucket", "fp as q", "sig as y")
+    pairs = a.join(b, "bucket").where("p < q")
+    shared = {tuple(r) for r in pairs.select("p", "q").distinct().collect()}
+    counted = pairs.where(m._first_shared("bucket", "x", "y")).select("p", "q").collect()
+    assert len(counted) == len(shared) > 0 and {tuple(r) for r in counted} == shared
+
+
 def test_signature_is_the_majority_of_bits():
     grams = m.shingles(" ".join(f"w{i}" for i in range(50)).encode())
     with np.errstate(over="ignore"):
