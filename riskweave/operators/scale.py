@@ -28,6 +28,7 @@ def quantiles(df: DataFrame, wanted: list[tuple[Column, float]], most: int = 100
     out: list[float | None] = [None] * len(wanted)
     open_ = {k: 0.001 for k in range(len(wanted))}
     inside = {k: (None, None) for k in open_}
+    missed: set[int] = set()  # their next, wider bracket is counted whatever its size, so the passes end
     while open_:
         if any(span[0] is None for k, span in inside.items() if k in open_):
             totals = values.agg(*[f(f"x{k}").alias(f"{n}{k}") for k in open_ for n, f in (("n", F.count), ("lo", F.min), ("hi", F.max))],
@@ -45,7 +46,7 @@ def quantiles(df: DataFrame, wanted: list[tuple[Column, float]], most: int = 100
         # Rows inside a bracket keep their value, rows below it count under NULL.
         below = lambda k: F.when(F.col(f"x{k}").between(*inside[k]), F.col(f"x{k}"))
         sizes = values.agg(*[F.count(below(k)).alias(f"c{k}") for k in open_]).first() if totals_large(totals, open_, most) else None
-        easy = [k for k in open_ if sizes is None or sizes[f"c{k}"] <= most]
+        easy = [k for k in open_ if sizes is None or k in missed or sizes[f"c{k}"] <= most]
         rows = values.select(F.explode(F.array(*[
             F.when(F.col(f"x{k}") <= inside[k][1], F.struct(F.lit(k).alias("k"), below(k).alias("x"))) for k in easy
         ])).alias("v")).where("v is not null").groupBy("v.k", "v.x").agg(F.count("*").alias("n")) if easy else None
@@ -57,6 +58,7 @@ def quantiles(df: DataFrame, wanted: list[tuple[Column, float]], most: int = 100
                 out[k] = value
                 del open_[k]
             elif k in counted:  # the bracket missed
+                missed.add(k)
                 open_[k] *= 4
                 inside[k] = (None, None)
             else:  # too wide: a narrower bracket
@@ -86,9 +88,9 @@ def _at_rank(counted: list[tuple[float | None, int]], level: float, n: int) -> f
     return None if None in found else found[0] + (found[1] - found[0]) * (place - first)
 
 
-def quantile(df: DataFrame, x: Column, level: float) -> float | None:
+def quantile(df: DataFrame, x: Column, level: float, most: int = 100_000) -> float | None:
     """The exact quantile of a whole column; see ``quantiles``."""
-    return quantiles(df, [(x, level)])[0]
+    return quantiles(df, [(x, level)], most)[0]
 
 
 @dataclass(frozen=True)

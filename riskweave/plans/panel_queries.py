@@ -183,3 +183,48 @@ def outer_concat(spark, d):
     a = table(spark, d, "customer").where("c_custkey % 4 = 0").groupBy(F.col("c_nationkey").alias("k"), F.col("c_mktsegment").alias("s")).agg(F.avg("c_acctbal").alias("x"))
     b = table(spark, d, "supplier").groupBy(F.col("s_nationkey").alias("k")).agg(F.avg("s_acctbal").alias("y"))
     return a.join(b, "k", "full_outer").select("k", "s", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))
+
+
+_YEARLY_GAPS = """g AS (SELECT pgid, year, quarter, CASE WHEN year > 1998 THEN NULL ELSE value END AS a, CASE WHEN quarter <> 4 THEN n END AS b, CASE WHEN (pgid + year) % 3 = 0 THEN value END AS c FROM quarterly)"""
+
+
+def _three_gaps(spark, d):
+    late, last, third = F.col("year") > 1998, F.col("quarter") == 4, (F.col("pgid") + F.col("year")) % 3 == 0
+    return X.quarterly(spark, d).select("pgid", "year", "quarter", F.when(~late, F.col("value")).alias("a"), F.when(~last, F.col("n")).alias("b"), F.when(third, F.col("value")).alias("c"))
+
+
+@query(
+    f"""WITH {X.SQL}, {_YEARLY_GAPS}, m AS (SELECT year, quarter, avg((a IS NULL)::INTEGER) AS ga, avg((b IS NULL)::INTEGER) AS gb, avg((c IS NULL)::INTEGER) AS gc FROM g GROUP BY ALL)
+    SELECT year, quarter, (ga + gb + gc) / 3 <= 0.9 AS loose, (ga + gb + gc) / 3 <= 0.9 AND ga < 1 AND gb < 1 AND gc < 1 AS strict FROM m"""
+)
+def availability_three_columns(spark, d):
+    g, at = _three_gaps(spark, d), ["year", "quarter"]
+    steps = g.select(*at).distinct()
+    for name, all_ in (("loose", False), ("strict", True)):
+        good = P.availability(g, at, ["a", "b", "c"], 0.9, all_).withColumn(name, F.lit(True))
+        steps = steps.join(good, at, "left").withColumn(name, F.coalesce(name, F.lit(False)))
+    return steps
+
+
+@query("SELECT o_orderkey, y::INTEGER AS year FROM (SELECT o_orderkey, unnest(range(year(o_orderdate), year(o_orderdate) + o_custkey % 4)) AS y FROM orders WHERE o_custkey % 4 > 0)")
+def interval_years(spark, d):
+    o = table(spark, d, "orders")
+    first = F.year("o_orderdate")
+    return P.years_of(o.select("o_orderkey", first.alias("a"), (first + F.col("o_custkey") % 4 - 1).cast("int").alias("b")), "a", "b")
+
+
+@query("SELECT n_name, n_regionkey FROM nation UNION ALL SELECT 'EGYPT AND SUDAN', n_regionkey FROM nation WHERE n_name = 'EGYPT'")
+def repeated_key(spark, d):
+    return P.also_as(table(spark, d, "nation").select("n_name", "n_regionkey"), "n_name", "EGYPT", "EGYPT AND SUDAN")
+
+
+@query("SELECT o_custkey, round(nullif(sum(CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice ELSE 0 END), 0)::DOUBLE, 4) AS urgent FROM orders GROUP BY o_custkey")
+def total_or_null(spark, d):
+    o = table(spark, d, "orders").select("o_custkey", F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice")).otherwise(0.0).alias("x"))
+    return P.total_or_null(o, ["o_custkey"], "x", "urgent").withColumn("urgent", F.round("urgent", 4))
+
+
+@query(f"WITH {X.SQL}, k AS (SELECT iso3, count(x) AS n FROM nation_years GROUP BY iso3) SELECT iso3, year, round(CASE WHEN n < 6 THEN year * 1.0 ELSE x END, 6) AS chosen FROM nation_years JOIN k USING (iso3)")
+def model_fallback(spark, d):
+    y = X.nation_years(spark, d).withColumn("model", F.col("year").cast("double"))
+    return P.fallback_if_few(y, "iso3", "x", "model", 6).select("iso3", "year", F.round("chosen", 6).alias("chosen"))

@@ -190,3 +190,34 @@ def test_quantile_is_exact(spark, most):
             wanted = ranked[low] + (ranked[min(low + 1, len(values) - 1)] - ranked[low]) * (place - low)
             assert scale.quantile(df, F.col("x"), level, most) == pytest.approx(wanted)
     assert scale.quantile(df.where("false"), F.col("x"), 0.5) is None
+
+
+def test_p_values_are_the_tail_of_t(spark):
+    """Against numeric integration of the density."""
+    import math
+
+    from riskweave.operators import sensitivity
+
+    def tail(r, n, steps=4000):
+        df = n - 2
+        t = abs(r) * math.sqrt(df / (1 - r * r))
+        scale_ = math.exp(math.lgamma((df + 1) / 2) - math.lgamma(df / 2)) / math.sqrt(df * math.pi)
+        f = lambda x: scale_ * (1 + x * x / df) ** (-(df + 1) / 2)
+        h = t / steps
+        return 1 - 2 * h / 3 * (f(0) + f(t) + 4 * sum(f((2 * i - 1) * h) for i in range(1, steps // 2 + 1)) + 2 * sum(f(2 * i * h) for i in range(1, steps // 2)))
+
+    rows = [(r, n) for r in (0.0, 0.1, -0.3, 0.9) for n in (4, 5, 6, 7, 10, 31, 400)]
+    got = [x.p for x in sensitivity.with_p(spark.createDataFrame(rows, "r double, n long")).collect()]
+    assert got == pytest.approx([tail(r, n) for r, n in rows], abs=1e-9)
+
+
+def test_clip_fill_leaves_poor_steps_missing(spark):
+    from riskweave.operators import panel
+
+    rows = [("A", 1, 1.0, 1.0), ("A", 2, None, None), ("A", 3, 3.0, None), ("A", 4, None, None), ("B", 1, None, 2.0), ("B", 2, 5.0, 4.0), ("B", 3, None, 6.0), ("B", 4, None, None)]
+    df = spark.createDataFrame(rows, "k string, t int, x double, y double")
+    out = {(r.k, r.t): (r.x, r.y) for r in panel.clip_fill(df, ["k"], ["t"], ["x", "y"]).collect()}
+    # Step 4 has no value at all; the others have a quarter of theirs at least, and both columns some.
+    assert out[("A", 4)] == out[("B", 4)] == (None, None)
+    assert out[("A", 2)] == (2.0, 1.0) and out[("A", 3)] == (3.0, 1.0)
+    assert out[("B", 1)] == (5.0, 2.0) and out[("B", 3)] == (5.0, 6.0)

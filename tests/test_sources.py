@@ -40,7 +40,7 @@ def test_csv_and_json(spark, tmp_path):
 
 def test_lookups(spark):
     names = spark.createDataFrame([("f_v1.2.csv",), ("f_v1.10.csv",), ("other",)], "n string")
-    assert files.latest_version(names, "n", r"f_(v[\d.]+)\.csv").first()[0] == "v1.2"
+    assert files.latest_version(names, "n", r"f_(v[\d.]+)\.csv").first()[0] == "v1.10"
     alias = spark.createDataFrame([("Ivory  Coast", "CIV")], "alias string, iso3 string")
     got = files.country_codes(spark.createDataFrame([("ivory coast ",), ("Nowhere",)], "c string"), "c", alias).collect()
     assert {r.c: r.iso3 for r in got} == {"ivory coast ": "CIV", "Nowhere": None}
