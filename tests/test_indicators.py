@@ -92,3 +92,46 @@ def test_index_from_indicators(spark):
     df = I.scale.exposure_layer(df, "density", "exposure", 2020)
     out = I.evaluate_index(df, "exposure").select("index", "CLI_risk", "CON_risk").toPandas()
     assert out["index"].between(0, 1).all() and out["index"].max() == 1.0
+
+
+def test_exposure_comes_before_aggregation(spark):
+    """Indicators of an exposed dimension are weighed, logged and scaled, then combined; against plain numpy."""
+    import numpy as np
+
+    names = sorted(I.INDICATORS)
+    rng = np.random.default_rng(2)
+    values = rng.random((40, len(names)))
+    density = rng.random(40)
+    columns = ", ".join(f"`{n}` double" for n in names)
+    rows = [(i, 2020, 1, float(density[i]), *map(float, values[i])) for i in range(40)]
+    df = spark.createDataFrame(rows, f"pgid int, year int, quarter int, exposure double, {columns}")
+    got = {r.pgid: r for r in I.evaluate_index(df, "exposure").collect()}
+
+    def exposed(x):
+        p = np.log1p(x * density)
+        low, high = np.quantile(p[p != 0], [0.0, 0.999])
+        return (np.clip(p, low, high) - low) / (high - low)
+
+    parts = {n: exposed(values[:, names.index(n)]) for n in I.DIMENSIONS["CLI_longterm"]["weights"]}
+    mean = np.sqrt(sum(v * v for v in parts.values()) / len(parts))
+    wanted = (mean - mean.min()) / (mean.max() - mean.min())
+    assert np.allclose([got[i].CLI_longterm for i in range(40)], wanted)
+    assert np.allclose([got[i]["CLI_longterm_temperature-anomaly_exposure"] for i in range(40)], parts["CLI_longterm_temperature-anomaly"])
+    plain = I.evaluate_index(df.drop("exposure")).collect()
+    assert {r.pgid: r.VUL for r in plain} == pytest.approx({i: r.VUL for i, r in got.items()})
+
+
+def test_release_from_tables(spark, tables, tmp_path):
+    from riskweave.sources.store import Store
+
+    store = Store(spark, str(tmp_path))
+    names = ["VUL_environmental_irrigation", "VUL_environmental_soil"]
+    assert I.run_release(store, tables, (2020, 4), names) == "2020_Q4"
+    out = store.load("output", "scores_2020_Q4", "2020_Q4")
+    assert out.count() == 6 * 4 * 6 and set(names) <= set(out.columns)
+    assert out.where("VUL_environmental is not null").count() > 0
+    saved = {n: store.load("output", n).count() for n in names}
+    # What is current is not computed again: an unusable table is never read.
+    assert I.run_release(store, {**tables, "soil_pixels": tables["panel"]}, (2020, 4), names) == "2020_Q4"
+    assert {n: store.load("output", n).count() for n in names} == saved
+    assert set(store.restore("2020_Q4")) >= {*names, "VUL_environmental"}
