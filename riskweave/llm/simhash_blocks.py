@@ -10,7 +10,7 @@ with equal sets are one node however many documents carry them.
 
 A node is first compared with the least node that it meets in each block. Where
 this leaves a bucket with several classes, each node outside its largest class is
-compared with some members of the largest classes around it, which joins most of
+compared with a member of it, in some of the node's buckets, which joins most of
 what belongs together. Buckets that still hold several classes are compared in
 full, but only pairs across classes, each in one of the buckets that it shares.
 So a crowd of copies never turns into all its pairs, and no link between classes
@@ -139,20 +139,17 @@ def links(docs: DataFrame, marked: DataFrame, similarity: float = SIMILARITY, sh
     nodes = cut(marked.where("sig is not null").groupBy("fp").agg(F.first("sig").alias("sig")))
     bucket = Window.partitionBy("bucket")
     met = balls(nodes).select("bucket", "fp", F.min("fp").over(bucket).alias("centre"), F.count(F.lit(1)).over(bucket).alias("n"))
-    members = cut(met.where("n > 1"))
-    signed = lambda name, sig: nodes.select(F.col("fp").alias(name), F.col("sig").alias(sig))
-    closest = members.where("fp > centre").groupBy("fp", F.shiftright("bucket", BITS).alias("k")).agg(F.min("centre").alias("a"))
-    near = _near(closest.select("a", F.col("fp").alias("b")).distinct(), signed)
+    # A node has at most BLOCKS * (BITS + 1) buckets, so they are one row of it.
+    shared = met.where("n > 1").groupBy("fp").agg(F.collect_list(F.struct("bucket", "centre")).alias("at"))
+    crowd = cut(shared.join(nodes, "fp"))
+    signed = lambda name, sig: crowd.select(F.col("fp").alias(name), F.col("sig").alias(sig))
+    least = F.array(*[F.array_min(F.expr(f"transform(filter(at, x -> shiftright(x.bucket, {BITS}) = {k}), x -> x.centre)")) for k in range(BLOCKS)])
+    closest = crowd.select(F.explode(F.array_distinct(least)).alias("a"), F.col("fp").alias("b")).where("a < b")
+    near = _near(closest, signed)
     direct = cut(similar(docs, marked, near, similarity, shingle))
-    crowd = members.select("bucket", "fp")
-    split = cut(_split(crowd, direct))
-    others = split.where("root = main").groupBy("bucket").agg(F.min(F.struct(F.xxhash64("fp", "bucket").alias("o"), "fp")).alias("m")).select("bucket", F.col("m.fp").alias("other"))
-    # A node has at most BLOCKS * (BITS + 1) buckets.
-    asked = split.where("root <> main").join(others, "bucket").groupBy("fp").agg(F.array_sort(F.collect_set(F.struct(F.xxhash64("fp", "other").alias("o"), "other"))).alias("tries"))
-    tried = asked.select("fp", F.explode(F.slice("tries", 1, TRIES)).alias("t")).select(F.least("fp", "t.other").alias("a"), F.greatest("fp", "t.other").alias("b"))
-    tried = _near(tried.distinct().join(near, ["a", "b"], "left_anti"), signed)
+    tried = _near(_tries(_rooted_crowd(crowd, direct)).join(near, ["a", "b"], "left_anti"), signed)
     direct = cut(direct.unionByName(similar(docs, marked, tried, similarity, shingle)))
-    split = cut(_split(split.select("bucket", "fp"), direct).join(signed("fp", "sig"), "fp"))
+    split = cut(_split(_rooted_crowd(crowd, direct)))
     # A pair across classes has a node outside the largest class of its bucket.
     outside = split.where("root <> main").select("bucket", F.col("fp").alias("p"), F.col("root").alias("rp"), F.col("sig").alias("x"))
     all_ = split.select("bucket", F.col("fp").alias("q"), F.col("root").alias("rq"), F.col("main").alias("m"), F.col("sig").alias("y"))
@@ -188,13 +185,30 @@ def _first_shared(bucket: str, a: str, b: str) -> Column:
     return F.col(bucket) == found
 
 
-def _split(crowd: DataFrame, found: DataFrame) -> DataFrame:
-    """(bucket, fp, root, main): the buckets whose nodes are of several classes under the links ``found``, with the largest one."""
+def _rooted_crowd(crowd: DataFrame, found: DataFrame) -> DataFrame:
+    """(fp, sig, root, buckets), one row a node: its class under the links ``found`` and the buckets that it shares."""
     roots = connected_components(found).withColumnRenamed("node", "fp")
-    placed = crowd.join(roots, "fp", "left").select("bucket", "fp", F.coalesce("root", "fp").alias("root"))
-    sizes = placed.groupBy("bucket", "root").agg(F.count("*").alias("k"))
-    largest = sizes.groupBy("bucket").agg(F.max(F.struct("k", "root")).alias("m"), F.count("*").alias("classes"))
-    return placed.join(largest.where("classes > 1").select("bucket", F.col("m.root").alias("main")), "bucket")
+    return cut(crowd.join(roots, "fp", "left").select("fp", "sig", F.coalesce("root", "fp").alias("root"), F.col("at.bucket").alias("buckets")))
+
+
+def _tries(crowd: DataFrame) -> DataFrame:
+    """The distinct (a, b) of each node and a member of the largest class around it, in ``TRIES`` of its buckets at most."""
+    sizes = crowd.select("fp", "root", F.explode("buckets").alias("bucket")).groupBy("bucket", "root")
+    sizes = sizes.agg(F.count("*").alias("k"), F.min(F.struct(F.xxhash64("fp", "bucket").alias("o"), "fp")).alias("one"))
+    largest = sizes.groupBy("bucket").agg(F.max(F.struct("k", "root", F.col("one.fp").alias("other"))).alias("m"), F.count("*").alias("classes"))
+    mixed = F.array_sort(F.transform("buckets", lambda b: F.struct(F.xxhash64("fp", b).alias("o"), b.alias("bucket"))))
+    asked = crowd.select("fp", "root", F.explode(F.slice(mixed, 1, TRIES)["bucket"]).alias("bucket"))
+    met = asked.join(largest.where("classes > 1"), "bucket").where("root <> m.root")
+    return met.select(F.least("fp", "m.other").alias("a"), F.greatest("fp", "m.other").alias("b")).distinct()
+
+
+def _split(crowd: DataFrame) -> DataFrame:
+    """(bucket, fp, sig, root, main): the buckets whose nodes are of several classes, with the largest one; sorted on disk where memory ends."""
+    bucket = Window.partitionBy("bucket")
+    placed = crowd.select("fp", "sig", "root", F.explode("buckets").alias("bucket")).repartition("bucket")
+    sized = placed.withColumn("k", F.count("*").over(Window.partitionBy("bucket", "root")))
+    told = sized.select("*", F.max(F.struct("k", "root")).over(bucket).alias("m"), F.min("root").over(bucket).alias("least"), F.max("root").over(bucket).alias("most"))
+    return told.where("least <> most").select("bucket", "fp", "sig", "root", F.col("m.root").alias("main"))
 
 
 def rooted(docs: DataFrame, marked: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE) -> DataFrame:
