@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from riskweave.functions import cells
 from riskweave.operators import events as E
 from riskweave.plans import fixtures as X
+from riskweave.plans import hazards
 from riskweave.plans.registry import query
 from riskweave.session import table
 
@@ -113,3 +115,41 @@ def json_daily_counts(spark, d):
 def actor_counts(spark, d):
     a = X.events(spark, d).join(X.entities(spark, d), "pgid").groupBy("iso3", "year", "quarter", "pgid").agg(F.count("*").alias("c"))
     return a.groupBy("iso3", "year", "quarter").agg(F.count("*").alias("actors"), F.sum("c").alias("events"))
+
+
+# Hazard counts: orders stand for the raw records, the cell of each gives its place.
+
+
+def _placed(df):
+    return df.withColumns({"lat": cells.cell_lat(F.col("pgid")), "lon": cells.cell_lon(F.col("pgid"))})
+
+
+@query(f"{W} SELECT pgid, year, quarter, count(DISTINCT day) AS count FROM ev WHERE value > 100000 GROUP BY ALL")
+def flood_day_counts(spark, d):
+    discharge = _placed(X.events(spark, d)).select("lat", "lon", "day", F.col("value").alias("discharge"))
+    limits = _placed(X.entities(spark, d)).select("lat", "lon", F.lit(100000.0).alias("limit"))
+    return hazards.flood_days(discharge, limits)
+
+
+@query(f"{W} SELECT pgid, year, quarter, count(DISTINCT kind) AS count FROM ev GROUP BY ALL")
+def storm_visit_counts(spark, d):
+    return hazards.storm_visits(X.events(spark, d).select(F.col("kind").alias("storm"), "day", "pgid"))
+
+
+@query(
+    f"""{W}, n AS (SELECT pgid, year, quarter, count(*) AS n FROM ev WHERE 90 + id % 10 > 95 AND id % 2 = 0 GROUP BY ALL),
+    l AS (SELECT pgid, quantile_cont(n, 0.95) AS usual FROM n WHERE year BETWEEN 2000 AND 2010 GROUP BY pgid)
+    SELECT pgid, year, quarter, CASE WHEN n > coalesce(usual, 0) THEN n ELSE 0 END AS count FROM n LEFT JOIN l USING (pgid)"""
+)
+def fire_counts(spark, d):
+    fires = _placed(X.events(spark, d)).select("lat", "lon", "day", (90 + F.col("id") % 10).alias("confidence"), (F.col("id") % 2).alias("type"))
+    return hazards.fires_above_usual(fires)
+
+
+@query(
+    f"""{W}, l AS (SELECT pgid, quantile_cont(value / 1e7, 0.99) AS usual FROM ev WHERE year BETWEEN 1992 AND 1996 AND value / 1e7 > 0.001 GROUP BY pgid)
+    SELECT pgid, year, quarter, count(*) AS count FROM ev JOIN l USING (pgid) WHERE value / 1e7 > usual AND value / 1e7 >= 0.01 GROUP BY ALL"""
+)
+def heavy_rain_counts(spark, d):
+    daily = X.events(spark, d).select("pgid", "day", (F.col("value") / 1e7).alias("rain"))
+    return hazards.heavy_rain_days(daily, (1992, 1996))
