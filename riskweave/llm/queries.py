@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.llm import (
+    conversation_repair,
     decontaminate,
+    hmm_scoring,
     html_extract,
     line_dedup,
     line_rules,
@@ -16,6 +18,7 @@ from riskweave.llm import (
     secret_scan,
     sharding,
     simhash_ball,
+    source_audit,
 )
 from riskweave.session import table
 
@@ -72,6 +75,21 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.protect(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired digest of every damaged conversation."""
+    return conversation_repair.report(conversation_repair.damage(table(spark, sf_dir, "conversations")))
+
+
+def op12_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log-probability of every document by the base model and by the hidden Markov model."""
+    return hmm_scoring.score(table(spark, sf_dir, "documents"))
+
+
+def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far every source of a language is from its others, and its most unusual terms."""
+    return source_audit.audit(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five stages of the corpus pipeline, one after another."""
     from corpus_pipeline import run
@@ -92,6 +110,9 @@ QUERIES = {
         op8_line_dedup,
         op9_simhash,
         op10_pseudonyms,
+        op11_conversation_repair,
+        op12_hmm_scoring,
+        op13_source_audit,
         pipeline,
     )
 }
@@ -194,4 +215,6 @@ ORACLES = {
     "op6_sharding": sharding.ORACLE,
     "op7_line_rules": _OP7,
     "op8_line_dedup": _OP8,
+    "op11_conversation_repair": conversation_repair.ORACLE,
+    "op13_source_audit": source_audit.ORACLE,
 }
