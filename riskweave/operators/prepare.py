@@ -6,18 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def each_year(periods: DataFrame, first: str, last: str) -> DataFrame:
-    """One row a year from ``first`` to ``last``, both included; reversed and open periods have none."""
-    valid = periods.where(F.col(first) <= F.col(last))
-    return valid.withColumn("year", F.explode(F.sequence(F.col(first), F.col(last)))).drop(first, last)
-
-
-def also_as(df: DataFrame, key: str, copies: dict[str, str]) -> DataFrame:
-    """``df`` with the rows of some keys given once more under another key, as {from: to}."""
-    again = df.where(F.col(key).isin(*copies))
-    return df.unionByName(again.replace(copies, subset=[key]))
-
-
 def share_of_most(df: DataFrame, most: dict[str, float]) -> DataFrame:
     """Points as ``<column>_percent``, shares of the most points there are."""
     return df.withColumns({f"{c}_percent": F.col(c) / m for c, m in most.items()})
@@ -28,18 +16,6 @@ def sum_where(df: DataFrame, keys: list[str], x: str, chosen: Column, name: str)
     return df.where(chosen).groupBy(*keys).agg(F.sum(x).alias(name))
 
 
-def sum_or_null(df: DataFrame, keys: list[str], x: str, name: str) -> DataFrame:
-    """The sum per key, NULL where nothing adds up to it."""
-    return df.groupBy(*keys).agg(F.nullif(F.sum(x), F.lit(0)).alias(name))
-
-
-def one_value(df: DataFrame, keys: list[str], x: str) -> DataFrame:
-    """The value that all rows of a key share, NULL if all are; several values are an error when the rows are read."""
-    same = F.min(x).eqNullSafe(F.max(x))
-    several = F.raise_error(F.concat_ws(" ", F.lit(f"{x} has several values at"), *[F.col(k).cast("string") for k in keys]))
-    return df.groupBy(*keys).agg(F.when(same, F.avg(x)).otherwise(several.cast("double")).alias(x))
-
-
 def next_year(df: DataFrame, entity: str, x: str) -> DataFrame:
     """Values moved to the row before, as those of a year's first day stand for the year that ended; the last row has none."""
     return df.withColumn(x, F.lead(x).over(Window.partitionBy(entity).orderBy("year")))

@@ -28,6 +28,7 @@ from riskweave.plans import (  # noqa: E402,F401  these register themselves
     panel_queries,
     recipe_queries,
     score_queries,
+    source_queries,
     spatial_queries,
     window_queries,
 )

@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from riskweave.operators import prepare
+from riskweave.operators import panel, prepare
 
 
 def rows(df, *order):
@@ -14,26 +14,26 @@ def rows(df, *order):
 
 def test_each_year(spark):
     df = spark.createDataFrame([("a", 2000, 2002), ("b", 2001, 2001), ("c", 2002, 2001), ("d", 2000, None)], "iso3 string, start int, stop int")
-    assert rows(prepare.each_year(df, "start", "stop"), "iso3", "year") == [("a", 2000), ("a", 2001), ("a", 2002), ("b", 2001)]
+    assert rows(panel.years_of(df, "start", "stop"), "iso3", "year") == [("a", 2000), ("a", 2001), ("a", 2002), ("b", 2001)]
 
 
 def test_also_as(spark):
     df = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "iso3 string, x int")
-    assert rows(prepare.also_as(df, "iso3", {"a": "z"}), "x", "iso3") == [("a", 1), ("z", 1), ("b", 2), (None, 3)]
+    assert rows(panel.also_as(df, "iso3", {"a": "z"}), "x", "iso3") == [("a", 1), ("z", 1), ("b", 2), (None, 3)]
 
 
 def test_shares_and_sums(spark):
     df = spark.createDataFrame([("a", "x", 20.0), ("a", "y", 10.0), ("b", "y", 0.0), ("c", "x", None)], "iso3 string, status string, size double")
     assert rows(prepare.share_of_most(df, {"size": 40}).where("size = 10").select("size_percent"), "size_percent") == [(0.25,)]
     assert rows(prepare.sum_where(df, ["iso3"], "size", F.col("status") == "x", "s"), "iso3") == [("a", 20.0), ("c", None)]
-    assert rows(prepare.sum_or_null(df, ["iso3"], "size", "s"), "iso3") == [("a", 30.0), ("b", None), ("c", None)]
+    assert rows(panel.total_or_null(df, ["iso3"], "size", "s"), "iso3") == [("a", 30.0), ("b", None), ("c", None)]
 
 
 def test_one_value(spark):
     df = spark.createDataFrame([(1, 2.0), (1, None), (1, 2.0), (2, None)], "k int, x double")
-    assert rows(prepare.one_value(df, ["k"], "x"), "k") == [(1, 2.0), (2, None)]
+    assert rows(panel.one_value(df, ["k"], "x"), "k") == [(1, 2.0), (2, None)]
     with pytest.raises(Exception, match="x has several values at 1"):
-        prepare.one_value(df.union(spark.createDataFrame([(1, 3.0)], "k int, x double")), ["k"], "x").collect()
+        panel.one_value(df.union(spark.createDataFrame([(1, 3.0)], "k int, x double")), ["k"], "x").collect()
 
 
 def test_next_year(spark):
