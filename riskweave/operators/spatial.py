@@ -1,9 +1,7 @@
-"""Neighbourhoods, area bridges and polygons."""
+"""Neighbourhoods, area bridges and lines."""
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,104 +53,6 @@ def gini(df: DataFrame, keys: list[str], x: str, cells_of: int = 64) -> DataFram
     return sums.select(*keys, (F.try_divide(2 * F.col("_ix"), F.col("_n") * F.col("_sx")) - (F.col("_n") + 1) / F.col("_n")).alias("gini"))
 
 
-def polygon_parts(wkt: Column) -> Column:
-    """The parts of a WKT POLYGON or MULTIPOLYGON: each an array of rings, the outer one first, of (x, y)."""
-    body = F.regexp_replace(wkt, r"^[^(]*", "")
-    point = lambda p: F.struct(F.split(p, r"\s+")[0].cast("double").alias("x"), F.split(p, r"\s+")[1].cast("double").alias("y"))
-    ring = lambda r: F.transform(F.split(F.regexp_replace(r, r"[()]", ""), ","), lambda p: point(F.trim(p)))
-    rings = lambda part: F.transform(F.split(part, r"\)\s*,\s*\("), ring)
-    parts = F.transform(F.split(body, r"\)\s*\)\s*,\s*\(\s*\("), rings)
-    return F.when(body.contains("("), parts).otherwise(F.array().cast("array<array<array<struct<x:double,y:double>>>>"))
-
-
-def inside(rings: Column, x: Column, y: Column) -> Column:
-    """True for a point inside a part, by counting crossings of all its rings, so holes are out; edges belong to the lower-left side."""
-
-    def crossings(k: Column, ring: Column) -> Column:
-        n = F.size(ring)
-        return k + F.aggregate(
-            F.sequence(F.lit(0), n - 1),
-            F.lit(0),
-            lambda k, i: k + F.when(
-                ((F.get(ring, i)["y"] > y) != (F.get(ring, (i + 1) % n)["y"] > y))
-                & (x < (F.get(ring, (i + 1) % n)["x"] - F.get(ring, i)["x"]) * F.try_divide(y - F.get(ring, i)["y"], F.get(ring, (i + 1) % n)["y"] - F.get(ring, i)["y"]) + F.get(ring, i)["x"]),
-                1,
-            ).otherwise(0),
-        )
-
-    return F.aggregate(rings, F.lit(0), crossings) % 2 == 1
-
-
-def boxed(polygons: DataFrame) -> DataFrame:
-    """A row for each part of the polygons (area, parts): its ``rings`` and the box around the outer one."""
-    outer = F.col("rings")[0]
-    return polygons.withColumn("rings", F.explode("parts")).drop("parts").withColumns({
-        "_x0": F.array_min(F.transform(outer, lambda p: p["x"])), "_x1": F.array_max(F.transform(outer, lambda p: p["x"])),
-        "_y0": F.array_min(F.transform(outer, lambda p: p["y"])), "_y1": F.array_max(F.transform(outer, lambda p: p["y"])),
-    })
-
-
-def points_in_polygons(points: DataFrame, polygons: DataFrame, step: float = 0.5) -> DataFrame:
-    """Join points (x, y) with polygons (area, parts) that hold them.
-
-    Parts are sent to the grid bins of their bounding box and meet only the
-    points there, an equality join that AQE can split, before the exact test.
-    """
-    box = boxed(polygons)
-    bins = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / step), F.floor(F.col(b) / step)))
-    spread = box.withColumn("_bx", bins("_x0", "_x1")).withColumn("_by", bins("_y0", "_y1"))
-    placed = points.withColumn("_bx", F.floor(F.col("x") / step)).withColumn("_by", F.floor(F.col("y") / step))
-    hit = placed.join(spread, ["_bx", "_by"]).where(F.col("x").between(F.col("_x0"), F.col("_x1")) & F.col("y").between(F.col("_y0"), F.col("_y1")))
-    return hit.where(inside(F.col("rings"), F.col("x"), F.col("y"))).drop("_bx", "_by", "_x0", "_x1", "_y0", "_y1", "rings")
-
-
-def clipped_area(ring: list, x0: float, y0: float, x1: float, y1: float) -> float:
-    """The area of a ring inside a rectangle, cut edge by edge; equal-area scaling by the middle latitude."""
-    points = [(p["x"], p["y"]) for p in ring]
-    for axis, bound, sign in ((0, x0, 1), (0, x1, -1), (1, y0, 1), (1, y1, -1)):
-        kept = []
-        for a, b in zip(points, points[1:] + points[:1], strict=True):
-            in_a, in_b = sign * (a[axis] - bound) >= 0, sign * (b[axis] - bound) >= 0
-            if in_a:
-                kept.append(a)
-            if in_a != in_b:
-                t = (bound - a[axis]) / (b[axis] - a[axis])
-                kept.append((a[0] + t * (b[0] - a[0]), a[1] + t * (b[1] - a[1])))
-        points = kept
-        if not points:
-            return 0.0
-    xy = np.array(points)
-    return float(abs(np.dot(xy[:, 0], np.roll(xy[:, 1], -1)) - np.dot(xy[:, 1], np.roll(xy[:, 0], -1))) / 2)
-
-
-def part_area(rings: list, x0: float, y0: float, x1: float, y1: float) -> float:
-    """The area of a part inside a rectangle: its outer ring's less its holes'."""
-    outer, *holes = (clipped_area(ring, x0, y0, x1, y1) for ring in rings)
-    return outer - sum(holes)
-
-
-def area_bridge(grid: DataFrame, polygons: DataFrame, step: float = 0.5) -> DataFrame:
-    """(cell, area, share): how much of each cell every polygon covers.
-
-    Cells inside a cell-sized strip share one latitude scale, so plain areas give
-    the right shares, which add up over the parts of an area. Only cells in a part's
-    bounding box are tried.
-    """
-    half = step / 2
-    box = boxed(polygons)
-    bins = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / step), F.floor(F.col(b) / step)))
-    tried = box.withColumn("_bx", bins("_x0", "_x1")).withColumn("_by", bins("_y0", "_y1"))
-    placed = grid.withColumn("_bx", F.floor(F.col("lon") / step)).withColumn("_by", F.floor(F.col("lat") / step))
-    pairs = placed.join(tried, ["_bx", "_by"]).select("pgid", "lon", "lat", "area", "rings")
-
-    @F.pandas_udf("double")
-    def share(lon: pd.Series, lat: pd.Series, rings: pd.Series) -> pd.Series:
-        return pd.Series([part_area(r, x - half, y - half, x + half, y + half) / (step * step) for x, y, r in zip(lon, lat, rings, strict=True)])
-
-    shares = pairs.withColumn("share", share("lon", "lat", "rings"))
-    return shares.groupBy("pgid", "area").agg(F.sum("share").alias("share")).where("share > 0").select("pgid", "area", "share")
-
-
 def touched_cells(lines: DataFrame, step: float = 0.5) -> DataFrame:
     """(lon, lat) centres of the cells a segment (x0, y0, x1, y1) passes through, with its columns.
 

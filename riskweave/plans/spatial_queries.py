@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskweave.functions import cells
-from riskweave.operators import grid, raster, spatial
+from riskweave.operators import grid, polygons, raster, spatial
 from riskweave.plans import fixtures as X
 from riskweave.plans.registry import query
 from riskweave.session import table
@@ -137,31 +137,56 @@ def loss_share(spark, d):
     return raster.loss_share(p, F.col("z"), (1, 6)).select("zone", "year", F.round("loss", 8).alias("loss"))
 
 
-@query(
-    """WITH p AS (SELECT c_custkey AS id, (c_custkey % 100) / 10.0 + 0.03 AS x, (c_custkey % 70) / 10.0 + 0.07 AS y FROM customer)
-    SELECT id, 'box' AS area FROM p WHERE x BETWEEN 1 AND 4 AND y BETWEEN 1 AND 5
-    UNION ALL SELECT id, 'triangle' FROM p WHERE y > 2 AND y < 2 + (x - 3) AND x < 9 AND x > 3"""
-)
-def points_in_polygons(spark, d):
+def _arrows(spark, d):
+    """A shape for each nation: a square with a notch cut from above and a square hole; shapes of neighbours overlap."""
+    k = F.col("n_nationkey")
+    x, y = k % 5 * 3 + 0.37, F.floor(k / 5) * 2.75 + 0.21
+    corner = lambda dx, dy: F.format_string("%s %s", (x + dx).cast("string"), (y + dy).cast("string"))
+    ring = lambda *at: F.concat(F.lit("("), F.concat_ws(", ", *[corner(*p) for p in (*at, at[0])]), F.lit(")"))
+    outer, hole = ring((0, 0), (4, 0), (4, 4), (2, 2), (0, 4)), ring((1, 0.5), (1.5, 0.5), (1.5, 1), (1, 1))
+    wkt = F.concat(F.lit("POLYGON ("), outer, F.lit(", "), hole, F.lit(")"))
+    return table(spark, d, "nation").select(F.col("n_name").alias("area"), F.col("n_nationkey").alias("no"), polygons.polygon_parts(wkt).alias("parts"))
+
+
+def _dots(spark, d):
     k = F.col("c_custkey")
-    p = table(spark, d, "customer").select(k.alias("id"), ((k % 100) / 10.0 + 0.03).alias("x"), ((k % 70) / 10.0 + 0.07).alias("y"))
-    shapes = spark.range(1).select(F.explode(F.array(
-        F.struct(F.lit("box").alias("area"), F.lit("POLYGON ((1 1, 4 1, 4 5, 1 5, 1 1))").alias("wkt")),
-        F.struct(F.lit("triangle").alias("area"), F.lit("POLYGON ((3 2, 9 2, 9 8, 3 2))").alias("wkt")),
-    )).alias("s")).select("s.area", spatial.polygon_parts(F.col("s.wkt")).alias("parts"))
-    return spatial.points_in_polygons(p, shapes).select("id", "area")
+    return table(spark, d, "customer").select(k.alias("id"), (k % 187 / 10 + 0.031).alias("x"), (k % 149 / 10 + 0.073).alias("y"))
+
+
+_ARROWS = """WITH p AS (SELECT c_custkey AS id, c_custkey % 187 / 10.0 + 0.031 AS x, c_custkey % 149 / 10.0 + 0.073 AS y FROM customer),
+hit AS (SELECT id, n_name AS area, n_nationkey AS no FROM (SELECT id, n_name, n_nationkey, x - (n_nationkey % 5 * 3 + 0.37) AS u, y - (n_nationkey // 5 * 2.75 + 0.21) AS v FROM p, nation)
+WHERE u > 0 AND u < 4 AND v > 0 AND v < abs(u - 2) + 2 AND NOT (u BETWEEN 1 AND 1.5 AND v BETWEEN 0.5 AND 1))"""
+
+
+@query(f"{_ARROWS} SELECT id, area FROM hit")
+def points_in_polygons(spark, d):
+    return polygons.points_in_polygons(_dots(spark, d), _arrows(spark, d)).select("id", "area")
+
+
+@query(f"{_ARROWS} SELECT id, arg_max(area, no) AS area FROM p LEFT JOIN hit USING (id) GROUP BY id")
+def last_polygon_of_points(spark, d):
+    """Where areas overlap, the later one counts."""
+    return polygons.area_of_points(_dots(spark, d), _arrows(spark, d), ["id"], "no")
+
+
+def _overlap(a: str, b: str, c: str, e: str) -> str:
+    return f"greatest(least(lon + 0.25 - x, {c}) - greatest(lon - 0.25 - x, {a}), 0) * greatest(least(lat + 0.25 - y, {e}) - greatest(lat - 0.25 - y, {b}), 0)"
 
 
 @query(
-    """WITH g AS (SELECT a.i / 2.0 + 0.25 AS lon, b.j / 2.0 + 0.25 AS lat, a.i * 100 + b.j AS pgid FROM range(12) a(i), range(12) b(j))
-    SELECT pgid, 'box' AS area, round(greatest(least(lon + 0.25, 4.1) - greatest(lon - 0.25, 1.2), 0) * greatest(least(lat + 0.25, 5.3) - greatest(lat - 0.25, 0.9), 0) * 4, 8) AS share FROM g
-    WHERE least(lon + 0.25, 4.1) > greatest(lon - 0.25, 1.2) AND least(lat + 0.25, 5.3) > greatest(lat - 0.25, 0.9)"""
+    f"""WITH g AS (SELECT c_custkey AS pgid, c_custkey % 40 / 2.0 + 0.25 AS lon, c_custkey // 40 % 40 / 2.0 + 0.25 AS lat FROM customer),
+    a AS (SELECT pgid, n_name AS area, lon, lat, n_nationkey % 5 * 3 + 0.37 AS x, n_nationkey // 5 * 2.75 + 0.21 AS y FROM g, nation)
+    SELECT pgid, area, round(share, 8) AS share FROM (SELECT pgid, area, 4 * ({_overlap("0", "0", "4", "4")} - {_overlap("2", "2", "4", "4")} - {_overlap("1", "0.5", "1.5", "1")}) AS share FROM a) WHERE share > 1e-9"""
 )
 def polygon_shares(spark, d):
-    i = F.col("id")
-    g = spark.range(144).select((F.floor(i / 12) / 2 + 0.25).alias("lon"), (i % 12 / 2 + 0.25).alias("lat"), (F.floor(i / 12) * 100 + i % 12).alias("pgid"))
-    box = spark.range(1).select(F.lit("box").alias("area"), spatial.polygon_parts(F.lit("POLYGON ((1.2 0.9, 4.1 0.9, 4.1 5.3, 1.2 5.3, 1.2 0.9))")).alias("parts"))
-    return spatial.area_bridge(g, box).select("pgid", "area", F.round("share", 8).alias("share"))
+    """Shares of cells that customers stand for, in shapes like an L with a hole, one for each nation."""
+    k, n = F.col("c_custkey"), F.col("n_nationkey")
+    g = table(spark, d, "customer").select(k.alias("pgid"), (k % 40 / 2 + 0.25).alias("lon"), (F.floor(k / 40) % 40 / 2 + 0.25).alias("lat"))
+    x, y = n % 5 * 3 + 0.37, F.floor(n / 5) * 2.75 + 0.21
+    at = lambda *c: F.concat_ws(", ", *[F.concat((x + a).cast("string"), F.lit(" "), (y + b).cast("string")) for a, b in (*c, c[0])])
+    wkt = F.concat(F.lit("POLYGON (("), at((0, 0), (4, 0), (4, 2), (2, 2), (2, 4), (0, 4)), F.lit("), ("), at((1, 0.5), (1, 1), (1.5, 1), (1.5, 0.5)), F.lit("))"))
+    shapes = table(spark, d, "nation").select(F.col("n_name").alias("area"), polygons.polygon_parts(wkt).alias("parts"))
+    return polygons.area_bridge(g, shapes).where("share > 1e-9").select("pgid", "area", F.round("share", 8).alias("share"))
 
 
 @query("SELECT s_suppkey, b / 2.0 + 0.25 AS lon, (s_suppkey % 7)::DOUBLE + 0.25 AS lat FROM supplier, range(0, 6) t(b) WHERE b <= floor((s_suppkey % 5) / 2.0 / 0.5 + 0.5)")
