@@ -30,5 +30,6 @@ from riskweave.plans import (  # noqa: E402,F401  these register themselves
     score_queries,
     source_queries,
     spatial_queries,
+    tile_queries,
     window_queries,
 )
