@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+
+from riskweave.functions import calendar
 from pyspark.sql import Window
 
 
@@ -65,8 +67,11 @@ def hourly_track(fixes: DataFrame, track: str, at: str, columns: list[str]) -> D
     return each.select(track, "hour", *[(F.col(c) + (F.col(f"_{c}") - F.col(c)) * share).alias(c) for c in columns])
 
 
-def storms(fixes: DataFrame, least: dict[str, float] | None = None, most: dict[str, float] | None = None, kinds: list[str] | None = None, years: tuple[int, int] | None = None, box: tuple[float, float, float, float] | None = None) -> DataFrame:
-    """Track points within thresholds, kinds, years (of ``season``) and a (west, south, east, north) box."""
+def storms(fixes: DataFrame, least: dict[str, float] | None = None, most: dict[str, float] | None = None, kinds: list[str] | None = None, years: tuple[int, int] | None = None, box: tuple[float, float, float, float] | None = None, days: tuple[tuple[int, int], tuple[int, int]] | None = None) -> DataFrame:
+    """Track points within thresholds, kinds, years (of ``season``), a (west, south, east, north) box, and days from one (month, day) to another.
+
+    A box whose west is greater than its east runs over the date line, days whose first is later than the last over the new year.
+    """
     keep = F.lit(True)
     for c, v in (least or {}).items():
         keep = keep & (F.col(c) >= v)
@@ -77,7 +82,10 @@ def storms(fixes: DataFrame, least: dict[str, float] | None = None, most: dict[s
     if years:
         keep = keep & F.col("season").between(*years)
     if box:
-        keep = keep & F.col("lon").between(box[0], box[2]) & F.col("lat").between(box[1], box[3])
+        lon = F.col("lon")
+        keep = keep & (lon.between(box[0], box[2]) if box[0] <= box[2] else (lon >= box[0]) | (lon <= box[2])) & F.col("lat").between(box[1], box[3])
+    if days:
+        keep = keep & calendar.in_season(F.col("time"), *days)
     return fixes.where(keep)
 
 

@@ -62,17 +62,22 @@ def runs(df: DataFrame, entity: list[str], order: str, flag: Column, least: int,
     return (kept.where(F.col("end") < F.col("_end")) if closed_only else kept).drop("_run", "_end")
 
 
+#: Steps of a series that are folded together.
+STRETCH = 64
+
+
 def decay(df: DataFrame, entity: list[str], order: str, x: str, target: float, years: float, weight: float, out: str = "decayed") -> DataFrame:
     """Exponential memory: v = w*x + (1 - w*x) * e^k * v_before, from the first value on.
 
     Without new input a value falls to ``target`` of itself in ``years`` of
-    quarters. A series is one entity's, so the fold's array stays small; the
-    fold itself is a SQL aggregate. A missing value after the start makes all
-    later ones missing.
+    quarters. A missing value after the start makes all later ones missing. A
+    series is one entity's. It is folded in stretches, each of which hands its
+    last value on, so no step copies more than one stretch and the list of
+    stretches grows by one for each.
     """
     factor = math.exp(math.log(target) / (4 * years))
     series = F.array_sort(F.collect_list(F.struct(F.col(order).alias("t"), F.col(x).cast("double").alias("x"))))
-    item = "struct<t:" + dict(df.dtypes)[order] + ",v:double>"
+    item = f"array<struct<t:{dict(df.dtypes)[order]},v:double>>"
 
     def step(state: Column, now: Column) -> Column:
         value = F.when(~state["begun"], now["x"]).otherwise(
@@ -84,9 +89,17 @@ def decay(df: DataFrame, entity: list[str], order: str, x: str, target: float, y
             F.array_append(state["all"], F.struct(now["t"].alias("t"), value.cast("double").alias("v"))).alias("all"),
         )
 
+    def stretch(state: Column, part: Column) -> Column:
+        begin = F.struct(state["begun"].alias("begun"), state["v"].alias("v"), F.array().cast(item).alias("all"))
+        return F.transform(F.array(F.aggregate(part, begin, step)), lambda done: F.struct(
+            done["begun"].alias("begun"), done["v"].alias("v"), F.array_append(state["all"], done["all"]).alias("all")
+        ))[0]
+
     start = F.struct(F.lit(False).alias("begun"), F.lit(None).cast("double").alias("v"), F.array().cast(f"array<{item}>").alias("all"))
-    folded = df.groupBy(*entity).agg(series.alias("_s")).select(*entity, F.aggregate("_s", start, step)["all"].alias("_v"))
-    return folded.select(*entity, F.explode("_v").alias("_r")).select(*entity, F.col("_r.t").alias(order), F.col("_r.v").alias(out))
+    # Bound by a lambda, so that the sorted list is made once and not for each stretch.
+    whole = lambda s: F.flatten(F.aggregate(F.transform(F.sequence(F.lit(0), F.floor((F.size(s) - 1) / STRETCH).cast("int")), lambda k: F.slice(s, k * STRETCH + 1, F.lit(STRETCH))), start, stretch)["all"])
+    folded = df.groupBy(*entity).agg(series.alias("_s")).select(*entity, F.explode(F.transform(F.array("_s"), whole)[0]).alias("_r"))
+    return folded.select(*entity, F.col("_r.t").alias(order), F.col("_r.v").alias(out))
 
 
 def segments(df: DataFrame, x: str, entity: list[str], order: str, out: str = "segment") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from itertools import combinations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.operators.combine import Aggregate, Index, evaluate
@@ -28,12 +28,16 @@ def with_t(correlated: DataFrame) -> DataFrame:
     return correlated.withColumn("t", F.col("r") * F.sqrt(F.try_divide(F.col("n") - 2, 1 - F.col("r") * F.col("r"))))
 
 
+#: Degrees of freedom up to which the tail of t is summed term by term.
+MANY = 2_000
+
+
 def with_p(correlated: DataFrame) -> DataFrame:
     """Adds ``p``, the chance of a correlation as far from 0 among uncorrelated normal values; NULL below four rows.
 
     It is the tail of Student's t with n - 2 degrees of freedom, whose distribution for whole degrees is a finite sum of
-    powers of the cosine of atan(t / sqrt(n - 2)), each term the one before times a ratio. At very many degrees later terms
-    vanish; beyond 40 002 rows p is NULL, and t, by then normal, tells as much.
+    powers of the cosine of atan(t / sqrt(n - 2)), each term the one before times a ratio. Beyond MANY rows it is the
+    tail of the normal value that Wallace's transformation makes of t, whose error there is far below the sum's rounding.
     """
     df = F.col("n") - 2
     r2 = F.least(F.col("r") * F.col("r"), F.lit(1.0))
@@ -49,11 +53,28 @@ def with_p(correlated: DataFrame) -> DataFrame:
 
         return step
 
-    count = F.least(F.floor(df / 2) - 1, F.lit(20_000)).cast("int")
+    count = F.least(F.floor(df / 2) - 1, F.lit(MANY // 2)).cast("int")
     odd = F.aggregate(steps(1, count), start, add(lambda k: (2.0 * k) / (2.0 * k + 1)))["sum"]
     even = F.aggregate(steps(1, count), start, add(lambda k: (2.0 * k - 1) / (2.0 * k)))["sum"]
     inside = F.when(df % 2 == 0, sin * even).when(df == 1, 2 / math.pi * angle).otherwise(2 / math.pi * (angle + sin * F.sqrt(cos2) * odd))
-    return correlated.withColumn("p", F.when((df >= 2) & (df <= 40_000), F.greatest(1 - inside, F.lit(0.0))))
+    normal = F.sqrt(-df * F.log1p(-F.least(r2, F.lit(1 - 1e-16)))) * (8 * df + 1) / (8 * df + 3)  # df * ln(1 + t^2 / df) of the t of r
+    tail = F.when(df <= MANY, F.greatest(1 - inside, F.lit(0.0))).otherwise(normal_tail(normal))
+    return correlated.withColumn("p", F.when(df >= 2, tail))
+
+
+def normal_tail(z: Column) -> Column:
+    """The chance that a standard normal value lies further than z >= 0 from 0: a series below 2.8, a continued fraction from there on."""
+    u = z / math.sqrt(2)
+    steps = F.sequence(F.lit(1), F.lit(80))
+    first = F.struct(u.alias("term"), u.alias("sum"))
+
+    def add(s: Column, k: Column) -> Column:
+        term = -s["term"] * u * u / k
+        return F.struct(term.alias("term"), (s["sum"] + term / (2 * k + 1)).alias("sum"))
+
+    series = 1 - 2 / math.sqrt(math.pi) * F.aggregate(steps, first, add)["sum"]
+    fraction = F.exp(-u * u) / math.sqrt(math.pi) / (u + F.aggregate(F.reverse(steps), F.lit(0.0), lambda f, k: k / 2.0 / (u + f)))
+    return F.when(u < 2, series).otherwise(fraction)
 
 
 def by_size(summaries: DataFrame) -> DataFrame:

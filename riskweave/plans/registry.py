@@ -31,5 +31,6 @@ from riskweave.plans import (  # noqa: E402,F401  these register themselves
     source_queries,
     spatial_queries,
     tile_queries,
+    track_queries,
     window_queries,
 )
