@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.functions import calendar
-from pyspark.sql import Window
 
 
 def counts_by_class(events: DataFrame, keys: list[str], classes: dict[str, Column], magnitude: str) -> DataFrame:
@@ -26,16 +25,49 @@ def spread(intervals: DataFrame, start: str, end: str, amounts: list[str]) -> Da
 
 
 def by_day_of_year(daily: DataFrame, keys: list[str], day: str, x: str, levels: list[float], reach: int = 15) -> DataFrame:
-    """Quantiles of ``x`` per key and calendar day over the days around it in all years.
+    """Quantiles of ``x`` per key and calendar day (``doy``, MM_DD) over the days around it in all years.
 
-    Each observation goes to the days it is near to; missing values are dropped.
+    An observation counts for the calendar days that are within ``reach`` (below 180) of it in its own year, so in a year
+    without 29 February none counts for that day. Missing values are dropped; days without any are left out.
+
+    Observations are shuffled once. A key's values stand in two circles of days, those of leap years and of the others,
+    and each day's window is an arc of either, sorted inside the row; a key holds its years, some 370 values each.
     """
-    near = daily.where(F.col(x).isNotNull()).withColumn(
-        "_for", F.explode(F.sequence(F.date_sub(F.col(day), reach), F.date_add(F.col(day), reach)))
-    )
-    return near.groupBy(*keys, F.date_format("_for", "MM_dd").alias("doy")).agg(F.percentile(x, F.array(*[F.lit(q) for q in levels])).alias("q")).select(
-        *keys, "doy", *[F.col("q")[i].alias(f"p{round(q * 100)}") for i, q in enumerate(levels)]
-    )
+    if not 0 <= reach < 180:
+        raise ValueError("reach is from 0 to 179 days")
+    known = daily.where(F.col(x).isNotNull() & F.col(day).isNotNull())
+    leap = F.day(F.last_day(F.make_date(F.year(day), F.lit(2), F.lit(1)))) == 29
+    found = known.select(*keys, leap.alias("_leap"), F.dayofyear(day).alias("_day"), F.array(F.col(x).cast("double")).alias("_v"))
+    # One empty list for each day of both circles, so that a place in the circle is a day.
+    each = F.explode(F.sequence(F.lit(1), F.lit(366)))
+    empty = known.select(*keys).distinct().withColumn("_leap", F.explode(F.array(F.lit(True), F.lit(False)))).withColumn("_day", each).withColumn("_v", F.array().cast("array<double>"))
+    lists = found.unionByName(empty.where("_leap or _day <= 365")).groupBy(*keys, "_leap", "_day").agg(F.flatten(F.collect_list("_v")).alias("_v"))
+    circle = lambda of_leap: F.transform(F.array_sort(F.collect_list(F.when(F.col("_leap") == of_leap, F.struct("_day", "_v")))), lambda d: d["_v"])
+    circles = lists.groupBy(*keys).agg(F.struct(circle(True).alias("leap"), circle(False).alias("other")).alias("_c"))
+    offsets = F.sequence(F.lit(-reach), F.lit(reach))
+    arc = lambda values, at, size: F.flatten(F.transform(offsets, lambda o: F.get(values, F.pmod(at + o, F.lit(size)))))
+
+    def of_day(c: Column, d: Column) -> Column:
+        in_other = F.when(d < 60, d - 1).when(d > 60, d - 2)  # the 60th day of a leap year is none of another
+        values = F.array_sort(F.concat(arc(c["leap"], d - 1, 366), F.coalesce(arc(c["other"], in_other, 365), F.array().cast("array<double>"))))
+
+        def pick(v: Column) -> Column:
+            place = lambda q: (F.size(v) - 1) * F.lit(float(q))
+            at = lambda i: F.get(v, i.cast("int"))
+            low, high = lambda q: at(F.floor(place(q))), lambda q: at(F.ceil(place(q)))
+            return F.when(F.size(v) > 0, F.struct(d.alias("d"), *[(low(q) + (high(q) - low(q)) * (place(q) - F.floor(place(q)))).alias(f"p{round(q * 100)}") for q in levels]))
+
+        return F.get(F.transform(F.array(values), pick), F.lit(0))
+
+    days = F.get(F.transform(F.array("_c"), lambda c: F.transform(F.sequence(F.lit(1), F.lit(366)), lambda d: of_day(c, d))), F.lit(0))
+    rows = circles.select(*keys, F.explode(days).alias("_r")).where("_r is not null")
+    doy = F.date_format(F.date_add(F.to_date(F.lit("2000-01-01")), F.col("_r.d") - 1), "MM_dd")
+    return rows.select(*keys, doy.alias("doy"), *[f"_r.p{round(q * 100)}" for q in levels])
+
+
+def with_day_thresholds(daily: DataFrame, limits: DataFrame, keys: list[str], day: str) -> DataFrame:
+    """``daily`` with its key's thresholds of the calendar day, as ``by_day_of_year`` gives them; NULL where there are none."""
+    return daily.withColumn("doy", calendar.day_key(F.col(day))).join(limits, [*keys, "doy"], "left")
 
 
 def over_threshold(events: DataFrame, thresholds: DataFrame, keys: list[str], x: str, least: float) -> DataFrame:

@@ -5,11 +5,11 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from riskweave.functions.scores import rescale, zero_if_negative
+from riskweave.session import cut
 
 #: Transformations applied before scaling.
 TRANSFORMS = {"log1p": F.log1p, "exp": F.exp, "zero_if_negative": zero_if_negative, "identity": lambda x: x}
@@ -161,15 +161,59 @@ def scaled_within(df: DataFrame, x: str, out: str, by: list[str]) -> DataFrame:
     return df.join(ends, by).withColumn(out, rescale(F.col(x), F.col("_lo"), F.col("_hi"))).drop("_lo", "_hi")
 
 
+#: Slices that a group's range of values is cut into, and how often.
+SLICES, ROUNDS = 1024, 2
+
+
+def grouped_quantile(df: DataFrame, by: list[str], x: str, level: float, out: str) -> DataFrame:
+    """(by, out): the exact quantile of ``x`` in each group, between its two neighbours in order as ``percentile`` has it.
+
+    A group's range is cut into slices whose counts, least and greatest values combine before the shuffle; the slice that
+    holds the wanted places is cut again. When both places are in different slices the answer is there; otherwise the
+    distinct values of what is left are counted. So no task sees a group's values, however many rows it has. ``df`` is
+    read once for each round and once more: store it before.
+    """
+    rows = df.where(F.col(x).isNotNull()).select(*by, F.col(x).cast("double").alias("_x"))
+    place = (F.col("_n") - 1) * F.lit(float(level))
+    state = rows.groupBy(*by).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"), F.count("*").alias("_n"))
+    state = state.select(
+        *by, F.floor(place).alias("_k"), F.ceil(place).alias("_l"), (place - F.floor(place)).alias("_part"), "_lo", "_hi", F.lit(0).cast("long").alias("_before"), F.lit(False).alias("_done")
+    )
+    carried = ["_k", "_l", "_part", "_lo", "_hi", "_before", "_done"]
+    # A group that is done keeps the rows of one value only, so that it stays in the table.
+    inside = lambda state: rows.join(state, by).where("_x between _lo and _hi and (not _done or _x = _lo)")
+    line = Window.partitionBy(*by)
+    for _ in range(ROUNDS):
+        at = F.coalesce(F.least(F.floor(F.try_divide(F.col("_x") - F.col("_lo"), F.col("_hi") - F.col("_lo")) * SLICES), F.lit(SLICES - 1)), F.lit(0))
+        sliced = inside(state).groupBy(*by, *carried, at.alias("_s")).agg(F.count("*").alias("_c"), F.min("_x").alias("_a"), F.max("_x").alias("_b"))
+        end = F.col("_before") + F.sum("_c").over(line.orderBy("_s").rowsBetween(Window.unboundedPreceding, 0))
+        placed = sliced.withColumn("_end", end).withColumn("_start", F.col("_end") - F.col("_c"))
+        holds = lambda k: F.col(k).between(F.col("_start"), F.col("_end") - 1)
+        first, last = (F.max(F.when(holds(k), F.struct("_start", "_a", "_b"))).alias(name) for k, name in (("_k", "_f"), ("_l", "_g")))
+        found = placed.groupBy(*by, *carried).agg(first, last)
+        # Places in two slices: the last value of one and the first of the other are the answer.
+        apart = F.col("_done") | (F.col("_f._start") != F.col("_g._start"))
+        low = F.when(F.col("_done"), F.col("_lo")).when(apart, F.col("_f._b")).otherwise(F.col("_f._a"))
+        high = F.when(F.col("_done"), F.col("_hi")).when(apart, F.col("_g._a")).otherwise(F.col("_g._b"))
+        state = found.select(*by, "_k", "_l", "_part", low.alias("_lo"), high.alias("_hi"), F.coalesce("_f._start", F.col("_before")).alias("_before"), apart.alias("_done"))
+    left = inside(state).groupBy(*by, *carried, "_x").agg(F.count("*").alias("_c"))
+    end = F.col("_before") + F.sum("_c").over(line.orderBy("_x").rowsBetween(Window.unboundedPreceding, 0))
+    at = lambda k: F.min(F.when(F.col("_end") > F.col(k), F.col("_x")))
+    placed = left.withColumn("_end", end).groupBy(*by, "_part", "_done", "_lo", "_hi").agg(at("_k").alias("_from"), at("_l").alias("_to"))
+    low, high = (F.when(F.col("_done"), F.col(a)).otherwise(F.col(b)) for a, b in (("_lo", "_from"), ("_hi", "_to")))
+    return placed.select(*by, (low + (high - low) * F.col("_part")).alias(out))
+
+
 def thresholds_by_time(df: DataFrame, x: str, quantile: float, steps: int) -> DataFrame:
     """Per quarter the rolling mean, over ``steps`` quarters, of an upper quantile of ``x``.
 
     The level is 1 - (share of values that aren't zero) * (1 - quantile), so
     that many zeros don't hide the top. NULL in the first steps.
     """
-    share = df.agg(F.avg(F.when(F.col(x).isNotNull(), (F.col(x) != 0).cast("double")))).first()[0] or 0.0
-    level = 1 - share * (1 - quantile)
-    per = df.groupBy("year", "quarter").agg(F.percentile(x, level).alias("_q"))
+    rows = cut(df.select("year", "quarter", F.col(x).cast("double").alias("_x")))
+    share = rows.agg(F.avg((F.col("_x") != 0).cast("double"))).first()[0] or 0.0
+    quarters = rows.select("year", "quarter").distinct()
+    per = quarters.join(grouped_quantile(rows, ["year", "quarter"], "_x", 1 - share * (1 - quantile), "_q"), ["year", "quarter"], "left")
     # One row a quarter: the window's single partition is as long as the calendar.
     line = Window.orderBy("year", "quarter").rowsBetween(1 - steps, 0)
     return per.withColumn("threshold", F.when(F.count("_q").over(line) >= steps, F.avg("_q").over(line))).drop("_q")

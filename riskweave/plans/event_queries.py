@@ -153,3 +153,14 @@ def fire_counts(spark, d):
 def heavy_rain_counts(spark, d):
     daily = X.events(spark, d).select("pgid", "day", (F.col("value") / 1e7).alias("rain"))
     return hazards.heavy_rain_days(daily, (1992, 1996))
+
+
+@query(
+    f"""{W}, n AS (SELECT user_id % 20 AS k, x, strftime(day + o::INTEGER, '%m_%d') AS doy FROM daily, range(-3, 4) t(o)), q AS (SELECT k, doy, quantile_cont(x, 0.9) AS p90 FROM n GROUP BY ALL)
+    SELECT user_id, day, round(x, 6) AS x FROM (SELECT user_id, day, x, user_id % 20 AS k, strftime(day, '%m_%d') AS doy FROM daily) JOIN q USING (k, doy) WHERE round(x, 6) > round(p90, 6)"""
+)
+def day_threshold_join(spark, d):
+    """Days above what is usual at their time of the year."""
+    days = X.daily(spark, d).withColumn("k", F.col("user_id") % 20)
+    limits = E.by_day_of_year(days, ["k"], "day", "x", [0.9], reach=3)
+    return E.with_day_thresholds(days, limits, ["k"], "day").where(F.round("x", 6) > F.round("p90", 6)).select("user_id", "day", F.round("x", 6).alias("x"))
