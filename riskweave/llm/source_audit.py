@@ -172,7 +172,12 @@ def survivors(lang: str, found: list[bytes], bits: np.ndarray, width: int) -> np
 
 
 def counted(docs: DataFrame, width: int | None = None) -> DataFrame:
-    """(lang, source, term, c, d): exact counts and document frequencies of the sketch's survivors; each group has a row without a term besides."""
+    """(lang, source, term, c, lang_c, leads): exact counts of the kept terms in each group and in its language, ``leads`` in one of a
+    term's rows; each group has a row without a term besides.
+
+    The tasks' counts are shuffled once, by language and term, with a row for each group at most; sums by group and the
+    document frequencies of whole languages both come from there.
+    """
     width = width or width_for(docs)
     shared = docs.sparkSession.sparkContext.broadcast(possible(docs, width))
 
@@ -208,7 +213,10 @@ def counted(docs: DataFrame, width: int | None = None) -> DataFrame:
         yield from rows()
 
     found = _inputs(docs).mapInArrow(run, "lang string, source string, term string, c long, d long")
-    return found.groupBy("lang", "source", "term").agg(F.sum("c").alias("c"), F.sum("d").alias("d"))
+    sums = found.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("c").alias("c"), F.sum("d").alias("d"))
+    term = Window.partitionBy("lang", "term")
+    whole = sums.withColumns({"docs": F.sum("d").over(term), "lang_c": F.sum("c").over(term), "leads": F.col("source") == F.min("source").over(term)})
+    return whole.where((F.col("docs") >= LEAST_DOCS) | F.col("term").isNull()).select("lang", "source", "term", "c", "lang_c", "leads")
 
 
 def share(count: str, total: str, kept: str = "v") -> Column:
@@ -224,9 +232,8 @@ def distance(p: str, q: str) -> Column:
 def audit(docs: DataFrame, width: int | None = None) -> DataFrame:
     """(lang, source, part, item, value, rank): the divergence of each source from the others of its language (`pair`) and its most unusual terms (`term`)."""
     found = cut(counted(docs, width))
-    kept = found.where("term is not null").groupBy("lang", "term").agg(F.sum("d").alias("docs"), F.sum("c").alias("lang_c")).where(F.col("docs") >= LEAST_DOCS)
-    counts = cut(found.join(kept, ["lang", "term"]).select("lang", "source", "term", "c", "lang_c"))
-    of_lang = counts.groupBy("lang", "term").agg(F.first("lang_c").alias("c")).groupBy("lang").agg(F.count("*").alias("v"), F.sum("c").alias("lang_total"))
+    counts = found.where("term is not null")
+    of_lang = counts.groupBy("lang").agg(F.count_if("leads").alias("v"), F.sum("c").alias("lang_total"))
     of_group = counts.groupBy("lang", "source").agg(F.sum("c").alias("total"), F.count("*").alias("own"))
     groups = found.select("lang", "source").distinct().join(of_group, ["lang", "source"], "left").join(of_lang, "lang", "left")
     groups = cut(groups.na.fill(0, ["total", "own", "v", "lang_total"]).withColumn("absent", share("0L", "total")))
