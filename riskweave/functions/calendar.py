@@ -41,3 +41,25 @@ def in_season(day: Column, first: tuple[int, int], last: tuple[int, int]) -> Col
 def day_key(day: Column) -> Column:
     """Month and day as MM_DD."""
     return F.date_format(day, "MM_dd")
+
+
+def nearest_minutes(time: Column, minutes: int = 10) -> Column:
+    """A time rounded to whole steps of minutes; half a step goes up."""
+    step = minutes * 60_000_000
+    return F.timestamp_micros(F.floor((F.unix_micros(time) + step // 2) / step) * step)
+
+
+def quarter_name(day: Column) -> Column:
+    """The quarter of a day, such as 2021Q3."""
+    return F.concat(F.year(day).cast("string"), F.lit("Q"), F.quarter(day).cast("string"))
+
+
+def quarter_days(name: Column) -> Column:
+    """All days of a quarter that is named as by ``quarter_name``."""
+    first = F.make_date(F.substring(name, 1, 4).cast("int"), F.substring(name, 6, 1).cast("int") * 3 - 2, F.lit(1))
+    return F.sequence(first, F.date_sub(F.add_months(first, 3), 1))
+
+
+def in_quarters(day: Column, first: Column, last: Column) -> Column:
+    """True for a day from the first to the last of two named quarters; names sort as their times do."""
+    return quarter_name(day).between(first, last)

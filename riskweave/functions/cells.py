@@ -54,6 +54,21 @@ def tile_name(lat: Column, lon: Column) -> Column:
     )
 
 
+def tile_corner(name: Column) -> tuple[Column, Column]:
+    """The south-west corner (lat, lon) of the 10-degree tile of that name; the inverse of ``tile_name``."""
+    lat, lon = F.substring(name, 1, 2).cast("int"), F.substring(name, 5, 3).cast("int")
+    top = F.when(F.substring(name, 3, 1) == "N", lat).otherwise(-lat)
+    return top - 10, F.when(F.substring(name, 8, 1) == "E", lon).otherwise(-lon)
+
+
+def tile_cells(name: Column) -> Column:
+    """The ids of the 400 cells of a 10-degree tile."""
+    south, west = tile_corner(name)
+    steps = F.sequence(F.lit(0), F.lit(19))
+    row = F.transform(steps, lambda i: F.transform(steps, lambda j: cell_id(south + 0.25 + i / 2, west + 0.25 + j / 2)))
+    return F.flatten(row)
+
+
 def neighbours(cell: Column, keep_centre: bool = True) -> Column:
     """The ids of the 3 x 3 block around a cell, wrapped at the date line and cut at the poles."""
     shifts = [(row, col) for row in (-1, 0, 1) for col in (-1, 0, 1) if keep_centre or (row, col) != (0, 0)]

@@ -70,6 +70,16 @@ def with_day_thresholds(daily: DataFrame, limits: DataFrame, keys: list[str], da
     return daily.withColumn("doy", calendar.day_key(F.col(day))).join(limits, [*keys, "doy"], "left")
 
 
+def actors(events: DataFrame, keys: list[str], sides: list[str], drop: list[str] = (), drop_like: str | None = None) -> DataFrame:
+    """(keys, actors): how many different actors the events' sides name, those left out whose name contains one of ``drop`` in any case, or matches."""
+    named = events.select(*keys, F.explode(F.array(*sides)).alias("_actor")).where("_actor is not null")
+    for part in drop:
+        named = named.where(~F.lower("_actor").contains(part.lower()))
+    if drop_like:
+        named = named.where(~F.col("_actor").rlike(drop_like))
+    return named.groupBy(*keys, "_actor").agg(F.lit(1).alias("_n")).groupBy(*keys).agg(F.count("*").alias("actors"))
+
+
 def over_threshold(events: DataFrame, thresholds: DataFrame, keys: list[str], x: str, least: float) -> DataFrame:
     """Events above their key's threshold and at least ``least``."""
     return events.join(thresholds, keys).where((F.col(x) > F.col("threshold")) & (F.col(x) >= least))

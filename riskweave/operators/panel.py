@@ -147,3 +147,28 @@ def one_value(df: DataFrame, keys: list[str], x: str) -> DataFrame:
 def total_or_null(df: DataFrame, keys: list[str], x: str, out: str) -> DataFrame:
     """Sums per key; a sum of 0 is missing."""
     return df.groupBy(*keys).agg(F.nullif(F.sum(F.col(x).cast("double")), F.lit(0.0)).alias(out))
+
+
+def one_of_each(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """One row for each key: the least by ``order``, then by all its columns, so that reruns agree."""
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    best = F.min_by(F.struct(*df.columns), F.struct(*order, *rest)).alias("_row")
+    return df.groupBy(*keys).agg(best).select("_row.*")
+
+
+def joined_alike(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """The inner join of two tables that must have the same keys, once each; a key of one of them only, or a repeated one, stops the job."""
+    count = lambda df, n: df.groupBy(*keys).agg(F.count("*").alias(n))
+    sizes = count(a, "_a").join(count(b, "_b"), keys, "full_outer")
+    wrong = F.raise_error(F.concat_ws(" ", F.lit("not once in both tables:"), *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])).cast("long")
+    same = F.coalesce((F.col("_a") == 1) & (F.col("_b") == 1), F.lit(False))
+    return a.join(b, keys).join(sizes.select(*keys, F.when(same, F.lit(1).cast("long")).otherwise(wrong).alias("_ok")), keys, "right").where("_ok = 1").drop("_ok")
+
+
+def last_complete_panel(entities: DataFrame, first: tuple[int, int], today: Column) -> DataFrame:
+    """Every entity in every quarter from ``first`` to the last one that ended before ``today``."""
+    from_, until = first[0] * 4 + first[1] - 1, calendar.last_complete_quarter(today)
+    rows = entities.withColumn("_until", until).where(F.col("_until") >= from_).withColumn("_step", F.explode(F.sequence(F.lit(from_), F.col("_until"))))
+    year, quarter = calendar.from_ordinal(F.col("_step"))
+    dated = rows.withColumns({"year": year, "quarter": quarter}).drop("_step", "_until")
+    return dated.withColumn("time", calendar.quarter_start(F.col("year"), F.col("quarter")))

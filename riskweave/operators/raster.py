@@ -68,3 +68,18 @@ def loss_share(pixels: DataFrame, zone: Column, years: tuple[int, int]) -> DataF
     joined = grid.join(lost, (F.col("zone") == F.col("_z")) & (F.col("_y") <= F.col("year")), "left")
     total = joined.groupBy("zone", "year").agg(F.sum("_lost").alias("_l"), F.first("_all").alias("_all"), F.first("_density").alias("_density"))
     return total.select("zone", "year", (F.coalesce(F.try_divide(F.coalesce("_l", F.lit(0.0)), F.col("_all")), F.lit(0.0)) * F.col("_density") / 100).alias("loss"))
+
+
+def on_grid(pixels: DataFrame, grid: DataFrame, value: str, step: float = 0.5) -> DataFrame:
+    """The mean of pixels (x, y, value) in each cell of a grid (pgid, lon, lat), NULL in cells without pixels; pixels off the grid are left out."""
+    at = lambda c: F.floor(F.col(c) / step)
+    means = pixels.groupBy(at("x").alias("_i"), at("y").alias("_j")).agg(F.avg(value).alias(value))
+    placed = grid.withColumns({"_i": at("lon"), "_j": at("lat")})
+    return means.join(placed, ["_i", "_j"], "right").select("pgid", value)
+
+
+def masked_by_share(values: DataFrame, shares: DataFrame, key: str, columns: list[str], value: str, most: float = 0.75) -> DataFrame:
+    """NULL where the shares of a key (of barren and icy land, say) add up to more than ``most``; a key without shares keeps its values."""
+    total = sum((F.coalesce(c, F.lit(0.0)) for c in columns), F.lit(0.0))
+    joined = values.join(shares.select(key, total.alias("_share")), key, "left")
+    return joined.withColumn(value, F.when(F.coalesce(F.col("_share") <= most, F.lit(True)), F.col(value))).drop("_share")
