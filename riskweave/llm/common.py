@@ -12,6 +12,11 @@ from riskweave.session import cut
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def quoted(name: str) -> str:
+    """A column's name as a reference to it, whatever signs it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def text_of(name: str = "text") -> Column:
     """The text column with null read as the empty text."""
     return F.coalesce(F.col(name), F.lit(""))

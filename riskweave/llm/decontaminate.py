@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from riskweave.llm.common import lower_ascii, row_key, split_words, text_of
+from riskweave.llm.common import lower_ascii, quoted, row_key, split_words, text_of
 from riskweave.session import broadcast_below, cut, shared_folder
 
 GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -211,7 +211,7 @@ def remove(docs: DataFrame, items: DataFrame, width: int = WIDTH, slop: int = 0)
     """The rows of ``docs`` without any match, with all their columns; proximity matches count with ``slop``."""
     index, matches, _ = find(docs, items, width, slop)
     found = index.documents.join(matches.select("doc").distinct(), "doc", "left_semi").select(*[F.col(x).alias(f"of_{x}") for x in ("id", "h", "n")]).distinct()
-    keyed = docs.select(row_key().alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    keyed = docs.select(row_key().alias("key"), F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("row"))
     same = keyed["key.id"].eqNullSafe(found["of_id"]) & (keyed["key.h"] == found["of_h"]) & (keyed["key.n"] == found["of_n"])
     return keyed.join(found.hint("shuffle_hash"), same, "left_anti").select("row.*")
 

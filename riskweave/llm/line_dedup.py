@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import bind, row_key, text_of
+from riskweave.llm.common import bind, quoted, row_key, text_of
 from riskweave.session import cut
 
 WIDTH = 3
@@ -57,12 +57,12 @@ def later(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 def marked(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """All rows and columns of ``docs``, but its own of these names, with line_text, the text without repeats, n_lines and n_removed."""
     names = [c for c in docs.columns if c not in MADE]
-    return _stripped(docs, width).select(*[F.col("old") if c == "text" else F.col(f"row.`{c}`") for c in names], *MADE).toDF(*names, *MADE)
+    return _stripped(docs, width).select(*[F.col("old") if c == "text" else F.col(f"row.{quoted(c)}") for c in names], *MADE).toDF(*names, *MADE)
 
 
 def _stripped(docs: DataFrame, width: int) -> DataFrame:
     """(row, old, line_text, n_lines, n_removed): ``row`` has all columns but the text, ``old``, so no names clash."""
-    docs = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"))
+    docs = docs.select("doc_id", "text", F.struct(*[F.col(quoted(c)) for c in docs.columns if c != "text"]).alias("row"))
     gone = cut(later(docs, width)).select(*[F.col(c).alias(f"gone_{c}") for c in ("id", "h", "n", "starts")])
     keyed = docs.withColumn("key", row_key())
     same = [keyed[f"key.{c}"].eqNullSafe(gone[f"gone_{c}"]) for c in ("id", "h", "n")]
@@ -98,4 +98,4 @@ def _stripped(docs: DataFrame, width: int) -> DataFrame:
 def clean(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """The rows of ``docs`` with all their columns, their text without repeated lines; a text left blank stays as ''."""
     names = docs.columns
-    return _stripped(docs, width).select(*[F.col("line_text") if c == "text" else F.col(f"row.`{c}`") for c in names]).toDF(*names)
+    return _stripped(docs, width).select(*[F.col("line_text") if c == "text" else F.col(f"row.{quoted(c)}") for c in names]).toDF(*names)

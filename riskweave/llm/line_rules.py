@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import bind, split_words, text_of
+from riskweave.llm.common import bind, quoted, split_words, text_of
 
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -131,6 +131,6 @@ def measure(docs: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame) -> DataFrame:
     """The kept rows, their text without the failing lines."""
-    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), "text")
+    rows = docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("_row"), "text")
     good = F.transform(F.filter(judged_lines(text_of()), lambda x: x["rule"].isNull()), lambda x: x["line"])
     return _verdict(rows).where("kept").select(F.col("_row").withField("text", F.array_join(good, "\n")).alias("_row")).select("_row.*")

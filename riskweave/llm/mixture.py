@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from riskweave.llm.common import split_words, text_of
+from riskweave.llm.common import quoted, split_words, text_of
 from riskweave.session import cut
 
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -169,7 +169,7 @@ def apply_mix(docs: DataFrame, **settings) -> DataFrame:
         F.sum("n").alias("n"), F.min("whole").alias("whole"), F.sum("more").alias("more")
     )
     takes = cut(takes.where("whole > 0 or more > 0").select(*[F.col(c).alias(f"of_{c}") for c in key], "n", "whole", "more"))
-    keyed = docs.select("doc_id", "source", F.xxhash64(text_of()).alias("h"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    keyed = docs.select("doc_id", "source", F.xxhash64(text_of()).alias("h"), F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("row"))
     same = lambda a: F.col("doc_id").eqNullSafe(a["of_doc_id"]) & F.col("source").eqNullSafe(a["of_source"]) & (F.col("h") == a["of_h"])
     # All rows of a key alike: the texts stream past the takes.
     even = takes.where("more = 0 or more = n")

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import bind
+from riskweave.llm.common import bind, quoted
 
 ROUNDS = 8
 #: For tests and examples only; real runs pass a secret key.
@@ -353,7 +353,7 @@ def pseudonym(value: Column, kind: Column, key: str = KEY) -> Column:
 def protect(docs: DataFrame, key: str = KEY) -> DataFrame:
     """The rows of ``docs``, personal data in ``text`` replaced, with n_pii and pii_kinds, the kinds in text order."""
     names = [c for c in docs.columns if c not in ("n_pii", "pii_kinds")]
-    rest = F.struct(*[F.col(f"`{c}`") for c in names if c != "text"]) if len(names) > 1 else F.lit(None)
+    rest = F.struct(*[F.col(quoted(c)) for c in names if c != "text"]) if len(names) > 1 else F.lit(None)
     # Only texts with a candidate pay for more than one pass.
     some = F.col("text").rlike(ANY)
     found = F.when(some, F.regexp_extract_all("text", F.lit(f"({ANY})"), F.lit(0)))
@@ -364,5 +364,5 @@ def protect(docs: DataFrame, key: str = KEY) -> DataFrame:
     kinds = F.filter(F.transform("made", lambda x: x["kind"]), lambda k: k.isNotNull())
     text = F.when(F.col("made").isNull(), F.col("text")).otherwise(joined)
     listed = F.coalesce(kinds, F.array().cast("array<string>"))
-    columns = [text if c == "text" else F.col(f"rest.`{c}`") for c in names]
+    columns = [text if c == "text" else F.col(f"rest.{quoted(c)}") for c in names]
     return marked.select(*columns, F.size(listed).cast("long"), F.array_join(listed, ",")).toDF(*names, "n_pii", "pii_kinds")

@@ -200,8 +200,13 @@ def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, out: str =
                 continue
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, out])
 
-    schema = ", ".join(f"`{c}` {kind}" for c, kind in plain.dtypes)
-    return plain.mapInArrow(run, schema if least is not None else f"{schema}, `{out}` double")
+    # Columns go through the tasks by place, since their names may have any sign.
+    names = plain.columns
+    placed = plain.toDF(*[f"c{i}" for i in range(len(names))])
+    schema = ", ".join(f"{c} {kind}" for c, kind in placed.dtypes)
+    if least is not None:
+        return placed.mapInArrow(run, schema).toDF(*names)
+    return placed.mapInArrow(run, f"{schema}, `{out}` double").toDF(*names, out)
 
 
 def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:

@@ -19,7 +19,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import text_of
+from riskweave.llm.common import quoted, text_of
 
 #: Production parameters: a prime over a hundred times the shards keeps shares within one percent.
 SHARDS, SLOTS = 32, 4093
@@ -62,7 +62,7 @@ def shard(docs: DataFrame, shards: list[str] | None = None, slots: int = SLOTS)
     text = text_of() if "text" in docs.columns else F.lit("")
     key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), text))
     placed = docs.drop("slot", "shard").withColumn("slot", slot_of(key, slots))
-    return placed.join(F.broadcast(table), "slot").select(*[c for c in placed.columns if c != "slot"], "slot", "shard")
+    return placed.join(F.broadcast(table), "slot").select(*[quoted(c) for c in placed.columns if c != "slot"], "slot", "shard")
 
 
 def write_shards(placed: DataFrame, path: str, pieces: int = 8) -> None:
@@ -71,7 +71,7 @@ def write_shards(placed: DataFrame, path: str, pieces: int = 8) -> None:
     Each shard is dealt to ``pieces`` tasks by a salt, so that none has to hold
     a whole shard.
     """
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in placed.columns]), F.lit(pieces))
+    salt = F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in placed.columns]), F.lit(pieces))
     placed.repartition(F.col("shard"), salt).write.partitionBy("shard").parquet(path)
 
 

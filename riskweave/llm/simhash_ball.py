@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import connected_components
+from riskweave.llm.common import connected_components, quoted
 from riskweave.session import cut
 
 SEED = 42
@@ -118,7 +118,7 @@ def best_rows(docs: DataFrame, marked: DataFrame, roots: DataFrame) -> DataFrame
     rank = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h")).alias("best")
     least = marked.groupBy("fp").agg(rank).join(roots, "fp")
     best = cut(least.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.doc_id").alias("of_id"), F.col("best.h").alias("of_h")))
-    rows = docs.select("doc_id", F.xxhash64("text").alias("h"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("h"), F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("row"))
     same = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("h") == F.col("of_h"))
     kept = rows.join(best.hint("shuffle_hash"), same, "left_semi")
     keys = marked.join(best, same, "left_semi")

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 
 #: Names that operators use inside or return; they must not clash with columns of the input.
-CLASHING = "score shard slot fp h key term pos win size target taken source_size slice rank of len cell whole extra spans line_text n_lines n_removed n_pii component_id fingerprint variant root a b u v good held_out row key_of_row text_hash_of_row quality _quality pii_made pii_kinds made rest old state gone_id gone_starts _old _line_state _gone_id _key_of_row copies _copies _rows times n whole more part ahead i order of_id of_h of_n doc align at start bucket centre sig grams".split()
+CLASHING = "score shard slot fp h key term pos win size target taken source_size slice rank of len cell whole extra spans line_text n_lines n_removed n_pii component_id fingerprint variant root a b u v good held_out row key_of_row text_hash_of_row quality _quality pii_made pii_kinds made rest old state gone_id gone_starts _old _line_state _gone_id _key_of_row copies _copies _rows times n whole more part ahead i order of_id of_h of_n doc align at start bucket centre sig grams a.b c`d".split()
 
 
 def words(n: int, start: int = 0) -> str:
