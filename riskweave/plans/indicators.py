@@ -437,9 +437,9 @@ def _irrigation(tables):
 
 @indicator("VUL_environmental_soil", "panel", "soil_pixels")
 def _soil(tables):
-    """Mean of water and wind erosion per cell, each capped at its 99th percentile; constant over time."""
+    """Mean of water and wind erosion per cell, each capped at its exact 99th percentile over all pixels; constant over time."""
     p = tables["soil_pixels"].withColumns({c: scores.without_sentinels(F.col(c), -9999.0) for c in ("water", "wind")})
-    tops = p.agg(F.percentile_approx("water", 0.99, 100_000), F.percentile_approx("wind", 0.99, 100_000)).first()
+    tops = scale.quantiles(p, [(F.col("water"), 0.99), (F.col("wind"), 0.99)])
     means = p.groupBy("pgid").agg(*[F.avg(scores.clip(F.col(c), high=F.lit(top))).alias(c) for c, top in zip(("water", "wind"), tops, strict=True)])
     out = means
     for c in ("water", "wind"):

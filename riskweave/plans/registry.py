@@ -24,6 +24,7 @@ def query(sql: str | None = None):
 
 from riskweave.plans import (  # noqa: E402,F401  these register themselves
     analysis_queries,
+    country_queries,
     detail_queries,
     event_queries,
     panel_queries,
