@@ -260,15 +260,14 @@ def recipe_deforestation(spark, d):
 
 
 @query(
-    f"""{BASE}, x AS (SELECT l_suppkey + 1 AS pgid, CASE WHEN l_partkey % 11 <> 0 THEN l_quantity::DOUBLE END AS water, CASE WHEN l_partkey % 7 <> 0 THEN l_extendedprice::DOUBLE END AS wind FROM lineitem),
-    tops AS (SELECT quantile_cont(water, 0.99) AS a, quantile_cont(wind, 0.99) AS b FROM x), m AS (SELECT pgid, avg(CASE WHEN water IS NOT NULL THEN least(water, a) END) AS water, avg(CASE WHEN wind IS NOT NULL THEN least(wind, b) END) AS wind FROM x, tops GROUP BY pgid),
-    e AS (SELECT min(water) AS l1, quantile_cont(water, 0.99) AS h1, min(wind) AS l2, quantile_cont(wind, 0.99) AS h2 FROM m), s AS (SELECT pgid, {between("water", "l1", "h1")} AS water, {between("wind", "l2", "h2")} AS wind FROM m, e),
-    p AS (SELECT pq.*, {mean("water", "wind")} AS raw FROM pq LEFT JOIN s USING (pgid)) {rows("p", "raw")}"""
+    f"""{BASE}, x AS (SELECT l_suppkey + 1 AS pgid, CASE WHEN l_partkey % 11 <> 0 THEN l_quantity * 1.3 END AS erosion, CASE WHEN l_partkey % 7 <> 0 THEN l_extendedprice::DOUBLE END AS carbon FROM lineitem),
+    top AS (SELECT quantile_cont(carbon, 0.99) AS top FROM x), m AS (SELECT pgid, avg(CASE WHEN erosion > 50 THEN 50 ELSE erosion END) / 50 AS erosion, avg(CASE WHEN carbon > top THEN top ELSE carbon END) / max(top) AS carbon FROM x, top GROUP BY pgid),
+    p AS (SELECT pq.*, {mean("erosion", "carbon")} AS raw FROM pq LEFT JOIN m USING (pgid)) {rows("p", between("raw"), "raw", "SELECT min(raw) AS lo, quantile_cont(raw, 0.99) AS hi FROM p")}"""
 )
 def recipe_soil(spark, d):
     x = table(spark, d, "lineitem")
-    told = lambda c, k: F.when(F.col("l_partkey") % k != 0, F.col(c).cast("double")).otherwise(-9999.0)
-    pixels = x.select((F.col("l_suppkey") + 1).cast("int").alias("pgid"), told("l_quantity", 11).alias("water"), told("l_extendedprice", 7).alias("wind"))
+    told = lambda c, k: F.when(F.col("l_partkey") % k != 0, c.cast("double")).otherwise(-9999.0)
+    pixels = x.select((F.col("l_suppkey") + 1).cast("int").alias("pgid"), told(F.col("l_quantity").cast("double") * 1.3, 11).alias("erosion"), told(F.col("l_extendedprice"), 7).alias("carbon"))
     return run("VUL_environmental_soil", {"panel": cells(spark, d), "soil_pixels": pixels})
 
 

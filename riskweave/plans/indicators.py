@@ -435,16 +435,22 @@ def _irrigation(tables):
     return tables["panel"].join(first, KEYS, "left").withColumn("score", F.col("raw"))
 
 
+#: Fixed value: the cap of soil erosion, its 99th percentile over the world.
+EROSION_CAP = 50.0
+
+
 @indicator("VUL_environmental_soil", "panel", "soil_pixels")
 def _soil(tables):
-    """Mean of water and wind erosion per cell, each capped at its exact 99th percentile over all pixels; constant over time."""
-    p = tables["soil_pixels"].withColumns({c: scores.without_sentinels(F.col(c), -9999.0) for c in ("water", "wind")})
-    tops = scale.quantiles(p, [(F.col("water"), 0.99), (F.col("wind"), 0.99)])
-    means = p.groupBy("pgid").agg(*[F.avg(scores.clip(F.col(c), high=F.lit(top))).alias(c) for c, top in zip(("water", "wind"), tops, strict=True)])
-    out = means
-    for c in ("water", "wind"):
-        out = scale.scaled(out, c, c, (None, 0.99))
-    return tables["panel"].join(out.select("pgid", scores.row_mean(F.col("water"), F.col("wind")).alias("raw")), "pgid", "left").withColumn("score", F.col("raw"))
+    """Mean of soil erosion and carbon debt per cell, each as a share of its cap; constant over time.
+
+    Erosion is capped at a fixed value, carbon debt at its exact 99th percentile over all pixels. The two layers may have
+    different pixels: a row then holds one of them.
+    """
+    p = tables["soil_pixels"].withColumns({c: scores.without_sentinels(F.col(c), -9999.0) for c in ("erosion", "carbon")})
+    caps = {"erosion": F.lit(EROSION_CAP), "carbon": F.lit(scale.quantile(p, F.col("carbon"), 0.99)).cast("double")}
+    shares = [F.try_divide(F.avg(scores.clip(F.col(c), high=cap)), cap).alias(c) for c, cap in caps.items()]
+    means = p.groupBy("pgid").agg(*shares).select("pgid", _mean("erosion", "carbon").alias("raw"))
+    return scale.scaled(cut(tables["panel"].join(means, "pgid", "left")), "raw", "score", (None, 0.99))
 
 
 @indicator("VUL_environmental_water", "panel", "basin_stress", "basins")

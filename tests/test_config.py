@@ -28,7 +28,7 @@ def tables(spark):
     pixels = cells.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(9))))
     return {
         "panel": panel,
-        "soil_pixels": pixels.select("pgid", ((F.col("i") * 7 + F.col("pgid")) % 13).cast("double").alias("water"), F.col("i").cast("double").alias("wind")),
+        "soil_pixels": pixels.select("pgid", ((F.col("i") * 7 + F.col("pgid")) % 13).cast("double").alias("erosion"), F.col("i").cast("double").alias("carbon")),
         "cropland_pixels": pixels.select("pgid", ((F.col("i") * 3 + F.col("pgid")) % 4).alias("value")),
         "intactness": panel.where("quarter = 4").select("pgid", "year", ((F.col("pgid") + F.col("year")) % 10 / 10.0).alias("bii")),
     }

@@ -56,7 +56,7 @@ def tables(spark):
         "intactness": cell_years.where("year % 5 = 0").select("pgid", "year", ((F.col("pgid") + F.col("year")) % 10 / 10.0).alias("bii")),
         "forest_pixels": pixels.select("pgid", (F.col("i") * 10.0).alias("cover"), F.when(F.col("i") % 3 == 0, 15 + F.col("i")).otherwise(0).alias("lossyear"), F.lit(1).alias("datamask")),
         "cropland_pixels": pixels.select("pgid", ((F.col("i") + F.col("pgid")) % 4).alias("value")),
-        "soil_pixels": pixels.select("pgid", ((F.col("i") * 7 + F.col("pgid")) % 13).cast("double").alias("water"), F.col("i").cast("double").alias("wind")),
+        "soil_pixels": pixels.select("pgid", ((F.col("i") * 7 + F.col("pgid")) % 13).cast("double").alias("erosion"), F.col("i").cast("double").alias("carbon")),
         "basin_stress": spark.createDataFrame([(1, 0.2, 0.6), (2, -9999.0, 4.0)], "pfaf_id int, bws_raw_2019 double, bws_raw_2030 double"),
         "basins": cells.select("pgid", (F.col("pgid") % 2 + 1).cast("int").alias("area"), F.lit(1.0).alias("share")),
     }
