@@ -1,8 +1,8 @@
 """The recipes of countries' and cells' vulnerability on the test tables, with SQL.
 
 Order counts and sums of nations stand for yearly national figures, twenty-one
-years later, so that the panel of 2015-2021 reaches past the reference year and
-past the last figures; figures have gaps by year and length of name.
+years later, so that the panel of 2015-2021 begins before the first figures and reaches
+past the reference year; figures have gaps by year and length of name.
 """
 
 from __future__ import annotations

@@ -143,7 +143,7 @@ def _from_2015(spark, d):
 
 @query(
     f"""WITH {_2015}, n AS (SELECT l_suppkey + 1 AS pgid, count(*) FILTER (l_linenumber % 4 > 0) AS land, count(*) FILTER (l_linenumber % 4 IN (2, 3)) AS fields, count(*) FILTER (l_linenumber % 4 = 3) AS rainfed FROM lineitem GROUP BY ALL)
-    SELECT pgid, year::INTEGER AS year, quarter::INTEGER AS quarter, round(CASE WHEN year = 2015 AND quarter = 1 AND fields::DOUBLE / land > 0.01 THEN rainfed::DOUBLE / land END, 8) AS score, round(CASE WHEN year = 2015 AND quarter = 1 AND fields::DOUBLE / land > 0.01 THEN rainfed::DOUBLE / land END, 6) AS raw FROM panel LEFT JOIN n USING (pgid)"""
+    SELECT pgid, year::INTEGER AS year, quarter::INTEGER AS quarter, round(CASE WHEN year = 2015 AND fields::DOUBLE / land > 0.01 THEN rainfed::DOUBLE / land END, 8) AS score, round(CASE WHEN year = 2015 AND fields::DOUBLE / land > 0.01 THEN rainfed::DOUBLE / land END, 6) AS raw FROM panel LEFT JOIN n USING (pgid)"""
 )
 def recipe_irrigation(spark, d):
     pixels = table(spark, d, "lineitem").select((F.col("l_suppkey") + 1).cast("int").alias("pgid"), (F.col("l_linenumber") % 4).alias("value"))

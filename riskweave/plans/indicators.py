@@ -426,13 +426,12 @@ def _deforestation(tables):
 
 @indicator("VUL_environmental_irrigation", "panel", "cropland_pixels")
 def _irrigation(tables):
-    """Rain-fed fields as a share of land, missing where hardly any land is cropped; known for 2015."""
+    """Rain-fed fields as a share of land, missing where hardly any land is cropped; known for the quarters of 2015."""
     n = raster.categories(tables["cropland_pixels"], F.col("pgid"), "value", {"water": 0, "other": 1, "irrigated": 2, "rainfed": 3})
     land = F.col("other") + F.col("irrigated") + F.col("rainfed")
     share = F.try_divide(F.col("irrigated") + F.col("rainfed"), land)
     known = n.select(F.col("zone").alias("pgid"), F.when(share > 0.01, F.try_divide("rainfed", land)).alias("raw"))
-    first = known.withColumn("year", F.lit(START)).withColumn("quarter", F.lit(1))
-    return tables["panel"].join(first, KEYS, "left").withColumn("score", F.col("raw"))
+    return tables["panel"].join(known.withColumn("year", F.lit(2015)), ["pgid", "year"], "left").withColumn("score", F.col("raw"))
 
 
 #: Fixed value: the cap of soil erosion, its 99th percentile over the world.

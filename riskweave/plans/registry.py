@@ -24,6 +24,8 @@ def query(sql: str | None = None):
 
 from riskweave.plans import (  # noqa: E402,F401  these register themselves
     analysis_queries,
+    climate_queries,
+    conflict_queries,
     country_queries,
     detail_queries,
     event_queries,
