@@ -77,15 +77,15 @@ def recipe_drought_long(spark, d):
 
 
 @query(
-    f"""{_LONG}, x AS (SELECT pgid, year + {SHIFT} AS year, quarter, id % 97 AS rain FROM ev UNION ALL SELECT pgid, 1951 + id % 40, quarter, id % 89 FROM ev), base AS (SELECT pgid, avg(rain) AS base FROM x WHERE year BETWEEN 1951 AND 1980 GROUP BY pgid),
+    f"""{_LONG}, x AS (SELECT pgid, year + {SHIFT} AS year, quarter, sqrt(id % 97) AS rain FROM ev UNION ALL SELECT pgid, 1951 + id % 40, quarter, sqrt(id % 89) FROM ev), base AS (SELECT pgid, avg(rain) AS base FROM x WHERE year BETWEEN 1951 AND 1980 GROUP BY pgid),
     q AS (SELECT pgid, year, quarter, avg(rain) AS rain FROM x GROUP BY ALL), r AS (SELECT pgid, year, quarter, avg(rain) OVER (PARTITION BY pgid ORDER BY year, quarter ROWS 3 PRECEDING) AS rain FROM q),
     o AS (SELECT pgid, year, quarter, avg(abs(rain / nullif(base, 0) - 1)) OVER (PARTITION BY pgid ORDER BY year, quarter ROWS 9 PRECEDING) AS raw FROM r LEFT JOIN base USING (pgid)),
     p AS (SELECT pl.*, raw FROM pl LEFT JOIN o USING (pgid, year, quarter)) {rows("p", "CASE WHEN raw IS NOT NULL THEN (least(greatest(ln(1 + raw), lo), hi) - lo) / nullif(hi - lo, 0) END", "raw", "SELECT min(ln(1 + raw)) AS lo, max(ln(1 + raw)) AS hi FROM p WHERE year <= 2020")}{_SINCE}"""
 )
 def recipe_rain_anomaly(spark, d):
     e, k = X.events(spark, d), F.col("id")
-    now = e.select("pgid", (F.col("year") + SHIFT).cast("int").alias("year"), "quarter", (k % 97).cast("double").alias("rain"))
-    then = e.select("pgid", (1951 + k % 40).cast("int").alias("year"), "quarter", (k % 89).cast("double").alias("rain"))
+    now = e.select("pgid", (F.col("year") + SHIFT).cast("int").alias("year"), "quarter", F.sqrt(k % 97).alias("rain"))
+    then = e.select("pgid", (1951 + k % 40).cast("int").alias("year"), "quarter", F.sqrt(k % 89).alias("rain"))
     return run("CLI_longterm_precipitation-anomaly", {"panel": _panel(spark, d), "precipitation": now.unionByName(then)})
 
 

@@ -301,17 +301,28 @@ v AS (SELECT area, year, round_even(coalesce(local, CASE WHEN count(*) OVER w =
 v1 AS (SELECT area, year, least(greatest(v, 0), 1) AS v FROM v WHERE v IS NOT NULL)"""
 
 
-@query(
-    f"""{BASE}, {_BRIDGE}, {_GROWN}, c AS (SELECT pgid, year, sum(v * share) / nullif(sum(share), 0) AS raw FROM br JOIN v1 USING (area) GROUP BY ALL), p0 AS (SELECT pq.*, raw FROM pq LEFT JOIN (SELECT pgid, year, 4 AS quarter, raw FROM c) USING (pgid, year, quarter)),
+def _regional(grown: str) -> str:
+    return f"""{BASE}, {_BRIDGE}, {grown}, c AS (SELECT pgid, year, sum(v * share) / nullif(sum(share), 0) AS raw FROM br JOIN v1 USING (area) GROUP BY ALL), p0 AS (SELECT pq.*, raw FROM pq LEFT JOIN (SELECT pgid, year, 4 AS quarter, raw FROM c) USING (pgid, year, quarter)),
     {line("p", "p0", "pgid", "t", "raw", "extrapolate", "none")} {rows("p", "1 - raw")}"""
-)
-def recipe_education(spark, d):
+
+
+def _regions(spark, d, least: int):
     k, size = F.col("k"), F.col("p_size")
     part = table(spark, d, "part").withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(7))))
-    local = F.when((k >= F.col("p_partkey") % 2) & (k <= 4), (size + 20 + k) / 100)
+    local = F.when((k >= F.col("p_partkey") % 2) & (k <= 4), (size + least + k) / 100)
     nation = F.when((F.col("p_partkey") % 9 != 8) | (k != 6), (size + 30 + 2 * k + F.col("p_partkey") % 3) / 100)
-    years = part.select(F.col("p_partkey").alias("gdlcode"), (2014 + k).alias("year"), local.alias("subnational"), nation.alias("national"))
-    return run("VUL_socioeconomic_education", {"panel": cells(spark, d), "education": years, "regions": _bridge(spark, d)})
+    return part.select(F.col("p_partkey").alias("gdlcode"), (2014 + k).alias("year"), local.alias("subnational"), nation.alias("national"))
+
+
+@query(_regional(_GROWN))
+def recipe_education(spark, d):
+    return run("VUL_socioeconomic_education", {"panel": cells(spark, d), "education": _regions(spark, d, 20), "regions": _bridge(spark, d)})
+
+
+@query(_regional(_GROWN.replace("p_size + 20", "p_size + 45")))
+def recipe_health(spark, d):
+    """As education, with figures near the upper bound."""
+    return run("VUL_socioeconomic_health", {"panel": cells(spark, d), "health": _regions(spark, d, 45), "regions": _bridge(spark, d)})
 
 
 @query(
