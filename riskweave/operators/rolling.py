@@ -31,6 +31,24 @@ def mean_of_at_least(x: str, entity: list[str], order: list[str], rows: int, val
     return F.when(F.count(x).over(w) >= values, F.avg(x).over(w))
 
 
+def long_mean(df: DataFrame, x: str, entity: list[str], order: list[str], rows: int, values: int, out: str) -> DataFrame:
+    """``out``: as ``mean_of_at_least``, for windows of many rows, whose sums are differences of running sums.
+
+    A sliding frame adds up all its rows again at each row; here a row costs the same however long the window. Values
+    that aren't finite are counted apart, since they would stay in all later sums.
+    """
+    line = Window.partitionBy(*entity).orderBy(*order)
+    v, inf = F.col(x).cast("double"), float("inf")
+    parts = {
+        "_s": F.sum(F.when(F.abs(v) < inf, v).otherwise(0.0)), "_n": F.count(v), "_nan": F.count(F.when(F.isnan(v), 1)),
+        "_up": F.count(F.when(v == inf, 1)), "_down": F.count(F.when(v == -inf, 1)),
+    }
+    running = df.withColumns({c: f.over(line.rowsBetween(Window.unboundedPreceding, 0)) for c, f in parts.items()})
+    here = running.withColumns({c: F.col(c) - F.lag(c, rows, 0).over(line) for c in parts})
+    total = F.when((F.col("_nan") > 0) | ((F.col("_up") > 0) & (F.col("_down") > 0)), float("nan")).when(F.col("_up") > 0, inf).when(F.col("_down") > 0, -inf).otherwise(F.col("_s"))
+    return here.withColumn(out, F.when(F.col("_n") >= values, F.try_divide(total, F.col("_n")))).drop(*parts)
+
+
 def growth(x: str, entity: list[str], order: list[str]) -> Column:
     """Change from the step before, relative to that."""
     return F.try_divide(F.col(x), F.lag(x).over(Window.partitionBy(*entity).orderBy(*order))) - 1

@@ -98,10 +98,12 @@ def recipe_rain_anomaly(spark, d):
 )
 def recipe_temperature_anomaly(spark, d):
     """Cells' monthly temperatures with gaps, too many in a third of the cells."""
-    c, k = X.entities(spark, d).select("pgid"), F.col("k")
-    old = c.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(50)))).select("pgid", (1850 + k).alias("year"), F.lit(1).alias("month"))
-    new = c.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(443)))).select("pgid", (1985 + F.floor(k / 12)).cast("int").alias("year"), (k % 12 + 1).alias("month"))
+    c, k = X.entities(spark, d).select("pgid"), F.col("k") - 51
+    # Cells are dealt out before their months are made, so that months needn't be shuffled; some two million months a task.
+    dealt = c.repartition(-(-c.count() // 4096) or 1, "pgid").withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(494))))
+    year, month = F.when(k < 0, 1901 + k).otherwise(1985 + F.floor(k / 12)), F.when(k < 0, 1).otherwise(k % 12 + 1)
+    months = dealt.select("pgid", year.cast("int").alias("year"), month.alias("month"))
     p, y, m = F.col("pgid"), F.col("year"), F.col("month")
     there = (p + y * 12 + m) % F.when(p % 3 == 0, 8).otherwise(13) != 0
-    months = old.unionByName(new).withColumn("temperature", F.when(there, (p * 31 + y * 7 + m * 13) % 97 / 24 + (y - 1850) * (p % 7 - 2) / 100))
+    months = months.withColumn("temperature", F.when(there, (p * 31 + y * 7 + m * 13) % 97 / 24 + (y - 1850) * (p % 7 - 2) / 100))
     return run("CLI_longterm_temperature-anomaly", {"panel": _panel(spark, d), "temperature": months})

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.functions import calendar, scores
@@ -46,6 +46,11 @@ class Indicator:
 INDICATORS: dict[str, Indicator] = {}
 
 
+def _scaled(df: DataFrame, *limits, **settings) -> DataFrame:
+    """``raw`` scaled to ``score``. Bounds read the panel in up to three passes, so it is stored before, with what is needed of it."""
+    return scale.scaled(cut(df.select(*KEYS, "raw")), "raw", "score", *limits, **settings)
+
+
 def indicator(name: str, *inputs: str):
     """Register a recipe under its composite id, pillar_dimension_id."""
     if name.count("_") != 2:
@@ -78,7 +83,7 @@ def _count_recipe(hazard: str, years: int) -> Callable[[Tables], DataFrame]:
         out = counted.withColumn("raw", F.coalesce("count", F.lit(0)).cast("double")).withColumn("raw", rolling.full_sum("raw", CELL, TIME, 4).cast("double"))
         if years > 1:
             out = out.withColumn("raw", rolling.full_mean("raw", CELL, TIME, 4 * years))
-        return scale.scaled(out, "raw", "score", now if years == 1 else long, until=REFERENCE, transform=transform)
+        return _scaled(out, now if years == 1 else long, until=REFERENCE, transform=transform)
 
     return build
 
@@ -97,22 +102,26 @@ def _dry(tables: Tables) -> DataFrame:
 
 @indicator("CLI_current_drought", "panel", "spei")
 def _drought_now(tables):
-    return scale.scaled(_dry(tables), "raw", "score", (0.0, 0.9995), until=REFERENCE)
+    return _scaled(_dry(tables), (0.0, 0.9995), until=REFERENCE)
 
 
 @indicator("CLI_accumulated_drought", "panel", "spei")
 def _drought_long(tables):
     seasons = _dry(tables).withColumn("raw", rolling.mean_of_at_least("raw", ["pgid", "quarter"], ["year"], 7, 7))
-    return scale.scaled(seasons, "raw", "score", (0.0, 0.9995), until=REFERENCE)
+    return _scaled(seasons, (0.0, 0.9995), until=REFERENCE)
 
 
 @indicator("CLI_longterm_temperature-anomaly", "panel", "temperature")
 def _temperature(tables):
-    """Thirty-year mean of monthly departures from 1850-1900, at the end of each quarter."""
-    t = raster.anomaly(tables["temperature"], ["pgid"], "temperature", F.col("year").between(1850, 1900))
-    t = t.withColumn("raw", rolling.mean_of_at_least("anomaly", ["pgid"], ["year", "month"], 360, 324))
-    ends = t.where(F.col("month") % 3 == 0).withColumn("quarter", F.floor(F.col("month") / 3).cast("int"))
-    return scale.scaled(tables["panel"].join(ends.select(*KEYS, "raw"), KEYS, "left"), "raw", "score", until=REFERENCE, transform="zero_if_negative")
+    """Thirty-year mean of monthly departures from 1850-1900, at the end of each quarter.
+
+    The baseline and the means are windows of the cell, over one shuffle of the months.
+    """
+    base = F.avg(F.when(F.col("year").between(1850, 1900), F.col("temperature"))).over(Window.partitionBy("pgid"))
+    t = tables["temperature"].select("pgid", "year", "month", (F.col("temperature") - base).alias("anomaly"))
+    t = rolling.long_mean(t, "anomaly", CELL, ["year", "month"], 360, 324, "raw")
+    ends = t.where((F.col("month") % 3 == 0) & F.col("raw").isNotNull()).withColumn("quarter", F.floor(F.col("month") / 3).cast("int"))
+    return _scaled(tables["panel"].select(*KEYS).join(ends.select(*KEYS, "raw"), KEYS, "left"), until=REFERENCE, transform="zero_if_negative")
 
 
 @indicator("CLI_longterm_precipitation-anomaly", "panel", "precipitation")
@@ -122,7 +131,7 @@ def _precipitation(tables):
     base = tables["precipitation"].where(F.col("year").between(1951, 1980)).groupBy("pgid").agg(F.avg("rain").alias("base"))
     q = q.withColumn("rain", rolling.mean_of_at_least("rain", CELL, TIME, 4, 1)).join(base, "pgid", "left")
     q = q.withColumn("off", F.abs(F.try_divide("rain", "base") - 1)).withColumn("raw", rolling.mean_of_at_least("off", CELL, TIME, 10, 1))
-    return scale.scaled(tables["panel"].join(q.select(*KEYS, "raw"), KEYS, "left"), "raw", "score", until=REFERENCE, transform="log1p")
+    return _scaled(tables["panel"].join(q.select(*KEYS, "raw"), KEYS, "left"), until=REFERENCE, transform="log1p")
 
 
 @indicator("CLI_longterm_relative-sea-level", "panel", "sea_level")
@@ -131,7 +140,7 @@ def _sea_level(tables):
     rise = tables["sea_level"].groupBy("pgid").agg(F.greatest(F.max("rise"), F.lit(0.0)).alias("raw"))
     first = rise.withColumn("year", F.lit(START)).withColumn("quarter", F.lit(1))
     joined = tables["panel"].join(first, KEYS, "left")
-    return scale.scaled(impute.forward_fill(joined, CELL, TIME, ["raw"]), "raw", "score", transform="log1p")
+    return _scaled(impute.forward_fill(joined, CELL, TIME, ["raw"]), transform="log1p")
 
 
 # Conflict --------------------------------------------------------------------------------------
