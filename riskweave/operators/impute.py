@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from riskweave.operators.scale import quantiles
+from riskweave.session import cut
 
 TAILS = ("none", "fill", "extrapolate")
 
@@ -77,7 +78,7 @@ def extend_by_growth(df: DataFrame, entity: str, order: str, local: str, nationa
     product of growth since the last observation scales it.
     """
     line = Window.partitionBy(entity).orderBy(order)
-    rows = df.withColumn("_g", F.try_divide(F.col(national), F.lag(national).over(line)))
+    rows = cut(df.withColumn("_g", F.try_divide(F.col(national), F.lag(national).over(line))))
     low, high = quantiles(rows, [(F.col("_g"), level) for level in (cut_share, 1 - cut_share)])
     rows = rows.withColumn("_g", F.when(F.col("_g").isNotNull(), F.greatest(F.least("_g", F.lit(high)), F.lit(low))))
     before = line.rowsBetween(Window.unboundedPreceding, 0)

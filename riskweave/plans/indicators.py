@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from riskweave.functions import calendar, scores
 from riskweave.operators import events, impute, panel, raster, rolling, scale, spatial
 from riskweave.operators.combine import Index, evaluate
-from riskweave.session import cut
+from riskweave.session import cut, few
 from riskweave.sources.store import Store
 
 Tables = Mapping[str, DataFrame]
@@ -380,7 +380,7 @@ def _regional(table: str):
         long = impute.extend_by_growth(tables[table], "gdlcode", "year", "subnational", "national")
         bounded = long.withColumn("raw", scores.clip(F.bround("extended", 3), 0.0, 1.0)).withColumn("area", F.col("gdlcode"))
         cells = spatial.bridged_mean(tables["regions"], bounded.select("area", "year", "raw"), "area", ["pgid", "year"], "raw")
-        out = impute.interpolate(panel.yearly_to_quarterly(tables["panel"], cells, ["pgid"]), CELL, TIME, "raw", "extrapolate", "none")
+        out = impute.interpolate(panel.yearly_to_quarterly(tables["panel"].select(*KEYS), cells, ["pgid"]), CELL, TIME, "raw", "extrapolate", "none")
         return out.withColumn("score", 1 - F.col("raw"))
 
     return build

@@ -52,6 +52,23 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: The most rows that ``few`` broadcasts.
+FEW = 100_000
+
+
+def are_few(stored: DataFrame) -> bool:
+    return stored.limit(FEW + 1).count() <= FEW
+
+
+def few(df: DataFrame) -> DataFrame:
+    """``df`` stored, for the right side of a join: broadcast if its rows are counted and few, else never.
+
+    Spark's own estimate of a table's size leaves out what ``explode`` adds, so it may broadcast millions of rows.
+    """
+    stored = cut(df)
+    return F.broadcast(stored) if are_few(stored) else stored.hint("merge")
+
+
 #: The most bytes that are broadcast.
 BROADCAST_LIMIT = 64 << 20
 

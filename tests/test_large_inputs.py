@@ -45,7 +45,7 @@ def tables(spark):
 
 
 @pytest.mark.parametrize(("name", "of"), [
-    ("CLI_longterm_temperature-anomaly", "temperature"),
+    ("CLI_longterm_temperature-anomaly", "temperature"), ("VUL_socioeconomic_education", "education"),
 ])
 def test_a_recipe_reads_its_largest_input_once(spark, tables, name, of):
     tables[of], read = once(spark, tables[of])
@@ -62,3 +62,12 @@ def test_long_mean_is_the_sliding_mean(spark):
     for r in both.collect():
         assert (r.a is None) == (r.b is None) and (r.a is None or math.isnan(r.a) == math.isnan(r.b)), r
         assert r.a is None or math.isnan(r.a) or r.a == pytest.approx(r.b), r
+
+
+def test_only_few_counted_rows_are_broadcast(spark, monkeypatch):
+    """Estimates leave out what ``explode`` adds."""
+    monkeypatch.setattr(session, "FEW", 10, raising=False)
+    bridge = spark.range(50).select("id", F.col("id").alias("area"), F.lit(0.5).alias("share"))
+    values = spark.range(50).select(F.col("id").alias("area"), F.explode(F.sequence(F.lit(1), F.lit(8))).alias("year"), F.lit(2.0).alias("x"))
+    out = spatial.bridged_mean(bridge, values, "area", ["id", "year"], "x")
+    assert out.count() == 400 and "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
