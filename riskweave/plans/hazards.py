@@ -28,7 +28,8 @@ def _by_quarter(rows: DataFrame, day: str, count: Column) -> DataFrame:
 
 
 def _cell(lat: str = "lat", lon: str = "lon") -> Column:
-    return cells.cell_id(cells.bin_centre(F.col(lat)), cells.bin_centre(F.col(lon)))
+    # Only longitudes wrap: a grid may have rows beyond 180.
+    return cells.cell_id(cells.snap_down(F.col(lat), 0.5) + 0.25, cells.bin_centre(F.col(lon)))
 
 
 def flood_days(discharge: DataFrame, limits: DataFrame) -> DataFrame:

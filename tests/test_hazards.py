@@ -98,3 +98,13 @@ def test_recipes_read_the_counts(spark):
     assert set(tables) == {"panel", "storm_hits", "cyclones_counts"}
     raw = {(r.pgid, r.year, r.quarter): r.raw for r in indicators._count_recipe("cyclones", 1)(tables).select("pgid", "year", "quarter", "raw").collect()}
     assert (raw[7, 2020, 4], raw[8, 2020, 1], raw[9, 2020, 4]) == (2.0, 1.0, 0.0)
+
+
+def test_rows_beyond_180_degrees_keep_their_cells(spark):
+    """Only longitudes wrap."""
+    here, day = 400_000, date(2020, 3, 31)
+    placed = spark.range(here, here + 1).select(cells.cell_lat(F.col("id")).alias("lat"), cells.cell_lon(F.col("id")).alias("lon"))
+    flood = placed.select("*", F.lit(day).alias("day"), F.lit(9.0).alias("discharge"))
+    assert counted(hazards.flood_days(flood, placed.withColumn("limit", F.lit(5.0)))) == {(here, 2020, 1): 1}
+    fires = placed.select("*", F.lit(day).alias("day"), F.lit(99).alias("confidence"), F.lit(0).alias("type"))
+    assert counted(hazards.fires_above_usual(fires)) == {(here, 2020, 1): 1}
