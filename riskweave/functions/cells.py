@@ -69,8 +69,8 @@ def tile_cells(name: Column) -> Column:
     return F.flatten(row)
 
 
-def neighbours(cell: Column, keep_centre: bool = True) -> Column:
-    """The ids of the 3 x 3 block around a cell, wrapped at the date line and cut at the poles."""
+def neighbours(cell: Column, keep_centre: bool = True, last: int | None = CELLS) -> Column:
+    """The ids of the 3 x 3 block around a cell, wrapped at the date line and cut at the poles; a grid without a ``last`` cell has no northern end."""
     shifts = [(row, col) for row in (-1, 0, 1) for col in (-1, 0, 1) if keep_centre or (row, col) != (0, 0)]
     place = F.pmod(cell - 1, F.lit(ROW))
     around = []
@@ -81,7 +81,7 @@ def neighbours(cell: Column, keep_centre: bool = True) -> Column:
         elif col > 0:
             turn = F.when(place == ROW - 1, -ROW).otherwise(0)
         around.append((cell + row * ROW + col + turn).cast("int"))
-    return F.filter(F.array(*around), lambda x: x.between(1, CELLS))
+    return F.filter(F.array(*around), lambda x: x >= 1 if last is None else x.between(1, last))
 
 
 def polar(cell: Column) -> Column:

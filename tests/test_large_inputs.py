@@ -25,6 +25,11 @@ def once(spark, df):
     return spark.createDataFrame(df.rdd.map(count), df.schema), read
 
 
+def test_neighbourhood_has_no_northern_end(spark):
+    df = spark.createDataFrame([(300_000, 1, 2.0), (300_001, 1, 3.0)], "pgid int, t int, x double")
+    assert {r.pgid: r.near_sum for r in spatial.neighbourhood(df, "pgid", ["t"], "x").collect()} == {300_000: 5.0, 300_001: 5.0}
+
+
 @pytest.fixture
 def tables(spark):
     cells = spark.createDataFrame([(300_000 + i, "AAA") for i in range(3)], "pgid int, iso3 string")
@@ -44,6 +49,11 @@ def tables(spark):
     }
 
 
+@pytest.mark.parametrize("name", ["CON_level_surrounding", "CON_soctens_surrounding"])
+def test_conflict_around_beyond_the_globes_last_cell(tables, name):
+    assert I.INDICATORS[name].run(tables).where("pgid = 300001 and year >= 2018").where(F.col(f"{name}_raw") > 0).count() > 0
+
+
 @pytest.mark.parametrize(("name", "of"), [
     ("CLI_longterm_temperature-anomaly", "temperature"), ("VUL_socioeconomic_education", "education"),
 ])
