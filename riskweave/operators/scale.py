@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.functions.scores import rescale, zero_if_negative
-from riskweave.session import cut
+from riskweave.session import cut, few
 
 #: Transformations applied before scaling.
 TRANSFORMS = {"log1p": F.log1p, "exp": F.exp, "zero_if_negative": zero_if_negative, "identity": lambda x: x}
@@ -157,7 +157,7 @@ def scaled(df: DataFrame, x: str, out: str, limits=(None, None), fixed=(None, No
 
 def scaled_within(df: DataFrame, x: str, out: str, by: list[str]) -> DataFrame:
     """Min-max scaling within groups; the bounds are a small grouped aggregate joined back."""
-    ends = df.groupBy(*by).agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))
+    ends = few(df.groupBy(*by).agg(F.min(x).alias("_lo"), F.max(x).alias("_hi")))
     return df.join(ends, by).withColumn(out, rescale(F.col(x), F.col("_lo"), F.col("_hi"))).drop("_lo", "_hi")
 
 
@@ -208,9 +208,10 @@ def thresholds_by_time(df: DataFrame, x: str, quantile: float, steps: int) -> Da
     """Per quarter the rolling mean, over ``steps`` quarters, of an upper quantile of ``x``.
 
     The level is 1 - (share of values that aren't zero) * (1 - quantile), so
-    that many zeros don't hide the top. NULL in the first steps.
+    that many zeros don't hide the top. NULL in the first steps. ``df`` is read
+    several times: store it before.
     """
-    rows = cut(df.select("year", "quarter", F.col(x).cast("double").alias("_x")))
+    rows = df.select("year", "quarter", F.col(x).cast("double").alias("_x"))
     share = rows.agg(F.avg((F.col("_x") != 0).cast("double"))).first()[0] or 0.0
     quarters = rows.select("year", "quarter").distinct()
     per = quarters.join(grouped_quantile(rows, ["year", "quarter"], "_x", 1 - share * (1 - quantile), "_q"), ["year", "quarter"], "left")
@@ -220,8 +221,12 @@ def thresholds_by_time(df: DataFrame, x: str, quantile: float, steps: int) -> Da
 
 
 def capped_by_time(df: DataFrame, x: str, out: str, quantile: float, steps: int = 8) -> DataFrame:
-    """Cap ``x`` at its quarter's threshold, then scale within each year; NULL without a threshold."""
-    limits = thresholds_by_time(df, x, quantile, steps)
+    """Cap ``x`` at its quarter's threshold, then scale within each year; NULL without a threshold.
+
+    ``df`` is computed once and stored with all its columns: leave out before what isn't needed.
+    """
+    df = cut(df)
+    limits = few(thresholds_by_time(df, x, quantile, steps))
     capped = df.join(limits, ["year", "quarter"]).withColumn("_c", F.when(F.col("threshold").isNotNull() & F.col(x).isNotNull(), F.least(x, "threshold")))
     return scaled_within(capped, "_c", out, ["year"]).drop("_c", "threshold")
 

@@ -151,7 +151,7 @@ CAP = 0.99
 def _fought(tables: Tables) -> DataFrame:
     """Fatalities of armed events, 0 where events are covered."""
     counts = events.counts_by_class(tables["conflict_events"], KEYS, {"armed": F.col("armed"), "unrest": F.col("unrest")}, "fatalities")
-    joined = tables["panel"].join(counts, KEYS, "left").join(tables["coverage"], "iso3", "left")
+    joined = tables["panel"].join(counts, KEYS, "left").join(few(tables["coverage"]), "iso3", "left")
     return panel.covered_zero(joined, ["sum_armed", "n_unrest"], "coverage_start")
 
 
@@ -161,12 +161,18 @@ def _capped(df: DataFrame, value: str) -> DataFrame:
 
 @indicator("CON_level_intensity", "panel", "conflict_events", "coverage")
 def _intensity(tables):
-    return _capped(_fought(tables).withColumn("raw", F.col("sum_armed")), "raw")
+    return _capped(_fought(tables).select(*KEYS, F.col("sum_armed").alias("raw")), "raw")
 
 
 @indicator("CON_level_surrounding", "panel", "conflict_events", "coverage")
 def _surrounding(tables):
-    return _capped(spatial.neighbourhood(_fought(tables), "pgid", TIME, "sum_armed").withColumn("raw", F.col("near_sum")), "near_mean")
+    return _around(_fought(tables), "sum_armed")
+
+
+def _around(df: DataFrame, value: str) -> DataFrame:
+    """What happens in the cells around; the panel is read twice, so it is stored before."""
+    near = spatial.neighbourhood(cut(df.select(*KEYS, value)), "pgid", TIME, value)
+    return _capped(near.select(*KEYS, "near_mean", F.col("near_sum").alias("raw")), "near_mean")
 
 
 def _persisting(base: DataFrame, years: float, weight: float) -> DataFrame:
@@ -184,9 +190,9 @@ def _persistence(tables):
 
 def _unrest(tables: Tables) -> DataFrame:
     """Logged unrest events, weighing less the more liberal the country is."""
-    free = panel.yearly_to_quarterly(tables["panel"].select(*KEYS, "iso3"), tables["governance"].select("iso3", "year", "libdem"), ["iso3"])
-    free = impute.forward_fill(free, CELL, TIME, ["libdem"]).select(*KEYS, "libdem")
-    return _fought(tables).join(free, KEYS, "left").withColumn("tension", F.log1p("n_unrest") * (1 - F.col("libdem"))).withColumn("raw", F.col("n_unrest"))
+    free = panel.yearly_to_quarterly(_fought(tables).select(*KEYS, "iso3", "n_unrest"), few(tables["governance"].select("iso3", "year", "libdem")), ["iso3"])
+    free = impute.forward_fill(free, CELL, TIME, ["libdem"])
+    return free.select(*KEYS, (F.log1p("n_unrest") * (1 - F.col("libdem"))).alias("tension"), F.col("n_unrest").alias("raw"))
 
 
 @indicator("CON_soctens_intensity", "panel", "conflict_events", "coverage", "governance")
@@ -196,7 +202,7 @@ def _tension(tables):
 
 @indicator("CON_soctens_surrounding", "panel", "conflict_events", "coverage", "governance")
 def _tension_around(tables):
-    return _capped(spatial.neighbourhood(_unrest(tables), "pgid", TIME, "tension").withColumn("raw", F.col("near_sum")), "near_mean")
+    return _around(_unrest(tables), "tension")
 
 
 @indicator("CON_soctens_persistence", "panel", "conflict_events", "coverage", "governance")
@@ -213,8 +219,8 @@ def _country(tables):
     )
     per = per.join(tables["population"].groupBy("iso3", "year").agg(F.sum("pop_total").alias("people")), ["iso3", "year"], "left")
     per = scale.capped_by_time(per.withColumn("rate", F.log1p(F.try_divide("dead", "people"))), "rate", "burden", CAP)
-    per = per.withColumn("raw", scores.row_mean(F.col("burden"), F.col("extent")))
-    return tables["panel"].join(scale.scaled(per, "raw", "score", (None, 0.99)).select(*nation, "score", "raw"), nation, "left")
+    per = cut(per.withColumn("raw", scores.row_mean(F.col("burden"), F.col("extent"))))
+    return tables["panel"].join(few(scale.scaled(per, "raw", "score", (None, 0.99)).select(*nation, "score", "raw")), nation, "left")
 
 
 @indicator("CON_context_actors", "panel", "interval_events", "population")
@@ -232,7 +238,7 @@ def _actors(tables):
     zero = {c: F.coalesce(c, F.lit(0)) for c in ("best", "actors")}
     per = per.withColumns(zero).withColumn("raw", F.col("actors").cast("double"))
     per = per.withColumn("value", F.try_divide(F.log1p("actors") * F.log1p("best"), F.log1p("pop_total")))
-    return tables["panel"].join(scale.capped_by_time(per, "value", "score", CAP).select(*nation, "score", "raw"), nation, "left")
+    return tables["panel"].join(few(scale.capped_by_time(per, "value", "score", CAP).select(*nation, "score", "raw")), nation, "left")
 
 
 # Vulnerability ---------------------------------------------------------------------------------

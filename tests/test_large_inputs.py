@@ -55,7 +55,7 @@ def test_conflict_around_beyond_the_globes_last_cell(tables, name):
 
 
 @pytest.mark.parametrize(("name", "of"), [
-    ("CLI_longterm_temperature-anomaly", "temperature"), ("VUL_socioeconomic_education", "education"),
+    ("CLI_longterm_temperature-anomaly", "temperature"), ("VUL_socioeconomic_education", "education"), ("CON_context_country", "conflict_events"), ("CON_soctens_surrounding", "conflict_events"),
 ])
 def test_a_recipe_reads_its_largest_input_once(spark, tables, name, of):
     tables[of], read = once(spark, tables[of])
