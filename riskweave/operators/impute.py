@@ -38,6 +38,7 @@ def fill_all(df: DataFrame, entity: list[str], order: list[str], columns: list[s
 
 def interpolate(df: DataFrame, entity: list[str], order: list[str], column: str, head: str = "none", tail: str = "none", out: str | None = None) -> DataFrame:
     """Straight lines between observations; all windows share one partitioning and sort."""
+    ends_needed = "extrapolate" in (head, tail)
     if head not in TAILS or tail not in TAILS:
         raise ValueError(f"tails are {TAILS}")
     line, before, after = _frames(entity, order)
@@ -52,7 +53,7 @@ def interpolate(df: DataFrame, entity: list[str], order: list[str], column: str,
         "_n": F.count("_seen").over(whole),
     })
     rows = rows.withColumns({
-        f"_o{i}": F.max(F.when((F.col("_nth") == n) & F.col("_seen").isNotNull(), F.col("_seen"))).over(whole)
+        f"_o{i}": F.max(F.when((F.col("_nth") == n) & F.col("_seen").isNotNull(), F.col("_seen"))).over(whole) if ends_needed else F.lit(None)
         for i, n in ((1, F.lit(1)), (2, F.lit(2)), (3, F.col("_n") - 1), (4, F.col("_n")))
     })
 

@@ -246,6 +246,7 @@ def _actors(tables):
 
 def _quarters(tables: Tables, yearly: DataFrame, columns: list[str], head: str = "extrapolate", tail: str = "none") -> DataFrame:
     """Country-year values in the fourth quarters of the panel, lines between them."""
+    yearly = cut(yearly.select("iso3", "year", *columns))
     line = yearly.groupBy("iso3").agg(F.min("year").alias("_a"), F.max("year").alias("_b"))
     first = tables["panel"].agg(F.min("year"), F.max("year")).first()
     if first[0] is None:
@@ -255,7 +256,7 @@ def _quarters(tables: Tables, yearly: DataFrame, columns: list[str], head: str =
     for c in columns:
         filled = impute.interpolate(filled, ["iso3"], ["_t"], c, head, tail)
     year, quarter = calendar.from_ordinal(F.col("_t"))
-    return tables["panel"].join(filled.select("iso3", year.alias("year"), quarter.alias("quarter"), *columns), ["iso3", *TIME], "left")
+    return tables["panel"].join(few(filled.select("iso3", year.alias("year"), quarter.alias("quarter"), *columns)), ["iso3", *TIME], "left")
 
 
 def _placed(tables: Tables, yearly: DataFrame, head: str = "extrapolate", tail: str = "none") -> DataFrame:
@@ -403,9 +404,9 @@ def _inequality(tables):
     areas = spatial.gini(lit.where("pop > 0"), ["area", "year"], "per_head")
     cells = spatial.bridged_mean(tables["regions"], areas, "area", ["pgid", "year"], "gini")
     income = _placed(tables, tables["income_gini"].select("iso3", "year", F.col("gini_disp").alias("raw")), "fill", "fill").withColumnRenamed("raw", "income")
-    out = income.join(cells.withColumn("quarter", F.lit(4)), KEYS, "left")
+    out = income.select(*KEYS, "income").join(cells.withColumn("quarter", F.lit(4)), KEYS, "left")
     out = impute.interpolate(out, CELL, TIME, "gini", "fill", "fill")
-    return scale.scaled(out.withColumn("raw", scores.row_mean(F.col("gini"), F.col("income") / 100)), "raw", "score", (0.01, 0.99))
+    return _scaled(out.withColumn("raw", scores.row_mean(F.col("gini"), F.col("income") / 100)), (0.01, 0.99))
 
 
 @indicator("VUL_demographic_popgrowth", "panel", "country_pop")

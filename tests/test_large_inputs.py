@@ -55,7 +55,7 @@ def test_conflict_around_beyond_the_globes_last_cell(tables, name):
 
 
 @pytest.mark.parametrize(("name", "of"), [
-    ("CLI_longterm_temperature-anomaly", "temperature"), ("VUL_socioeconomic_education", "education"), ("CON_context_country", "conflict_events"), ("CON_soctens_surrounding", "conflict_events"),
+    ("CLI_longterm_temperature-anomaly", "temperature"), ("VUL_socioeconomic_education", "education"), ("CON_context_country", "conflict_events"), ("CON_soctens_surrounding", "conflict_events"), ("VUL_socioeconomic_inequality", "light_pixels"),
 ])
 def test_a_recipe_reads_its_largest_input_once(spark, tables, name, of):
     tables[of], read = once(spark, tables[of])
@@ -81,3 +81,11 @@ def test_only_few_counted_rows_are_broadcast(spark, monkeypatch):
     values = spark.range(50).select(F.col("id").alias("area"), F.explode(F.sequence(F.lit(1), F.lit(8))).alias("year"), F.lit(2.0).alias("x"))
     out = spatial.bridged_mean(bridge, values, "area", ["id", "year"], "x")
     assert out.count() == 400 and "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_gini_counts_equal_values(spark):
+    xs = [0.0, 0.0, 1.0, 1.0, 1.0, 5.0]
+    df = spark.createDataFrame([(1, x) for x in xs], "k int, x double")
+    n = len(xs)
+    wanted = 2 * sum((i + 1) * x for i, x in enumerate(sorted(xs))) / (n * sum(xs)) - (n + 1) / n
+    assert spatial.gini(df, ["k"], "x").first().gini == pytest.approx(wanted)
