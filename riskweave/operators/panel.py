@@ -119,11 +119,12 @@ def clip_fill(panel: DataFrame, entity: list[str], times: list[str], columns: li
     ``availability``; NULL at all others."""
     from riskweave.operators import impute
 
-    good = availability(panel, times, columns, most_missing, require_all)
-    filled = panel.join(good, times, "left_semi")
+    # One row a time step: few. ``panel`` is read twice: store it before if it is costly.
+    good = F.broadcast(availability(panel, times, columns, most_missing, require_all).withColumn("_passes", F.lit(True)))
+    filled = panel.join(good, times, "left").withColumn("_passes", F.coalesce("_passes", F.lit(False)))
     for c in columns:
-        filled = impute.interpolate(filled, entity, times, c, "fill", "fill")
-    return panel.drop(*columns).join(filled.select(*entity, *times, *columns), [*entity, *times], "left")
+        filled = impute.interpolate(filled, [*entity, "_passes"], times, c, "fill", "fill")
+    return filled.withColumns({c: F.when(F.col("_passes"), F.col(c)) for c in columns}).drop("_passes")
 
 
 def years_of(intervals: DataFrame, first: str, last: str) -> DataFrame:

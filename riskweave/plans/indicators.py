@@ -316,7 +316,7 @@ def _institutions(tables):
     columns = ["corruption", "rule_of_law", "effectiveness"]
     q = _quarters(tables, tables["institutions"], columns)
     q = q.withColumns({"corruption": scores.rescale(F.col("corruption"), 0, 100), "effectiveness": scores.rescale(F.col("effectiveness"), -2.5, 2.5)})
-    q = panel.clip_fill(q, CELL, TIME, columns, require_all=False)
+    q = panel.clip_fill(q.select(*KEYS, *columns), CELL, TIME, columns, require_all=False)
     return q.withColumn("raw", 1 - _mean(*columns)).withColumn("score", F.col("raw"))
 
 
@@ -331,6 +331,7 @@ def _system(tables):
 def _gender(tables):
     """Inequality and exclusion by gender of countries, and the regions' development gap, turned round above its lowest values of 2012-2020."""
     q = _quarters(tables, tables["gender"], ["gii", "exclusion"]).join(tables["development_gap"].select(*KEYS, "sgdi"), KEYS, "left")
+    q = cut(q.select(*KEYS, "gii", "exclusion", "sgdi"))
     q = cut(panel.clip_fill(q, CELL, TIME, ["gii", "exclusion", "sgdi"], require_all=False))
     q = scale.scaled(q, "sgdi", "balance", (0.01, None), (None, 1.0), since=2012, until=REFERENCE)
     return q.withColumn("raw", scores.row_mean(F.col("gii"), F.col("exclusion"), 1 - F.col("balance"))).withColumn("score", F.col("raw"))

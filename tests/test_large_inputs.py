@@ -55,7 +55,8 @@ def test_conflict_around_beyond_the_globes_last_cell(tables, name):
 
 
 @pytest.mark.parametrize(("name", "of"), [
-    ("CLI_longterm_temperature-anomaly", "temperature"), ("VUL_socioeconomic_education", "education"), ("CON_context_country", "conflict_events"), ("CON_soctens_surrounding", "conflict_events"), ("VUL_socioeconomic_inequality", "light_pixels"),
+    ("CLI_longterm_temperature-anomaly", "temperature"), ("CON_context_country", "conflict_events"), ("CON_soctens_surrounding", "conflict_events"),
+    ("VUL_socioeconomic_inequality", "light_pixels"), ("VUL_political_gender", "development_gap"), ("VUL_socioeconomic_education", "education"),
 ])
 def test_a_recipe_reads_its_largest_input_once(spark, tables, name, of):
     tables[of], read = once(spark, tables[of])
@@ -89,3 +90,10 @@ def test_gini_counts_equal_values(spark):
     n = len(xs)
     wanted = 2 * sum((i + 1) * x for i, x in enumerate(sorted(xs))) / (n * sum(xs)) - (n + 1) / n
     assert spatial.gini(df, ["k"], "x").first().gini == pytest.approx(wanted)
+
+
+def test_clip_fill_doesnt_join_the_panel_with_itself(spark):
+    df = spark.createDataFrame([(1, t, 1.0 * t if t % 2 else None) for t in range(6)], "k int, t int, x double")
+    out = panel.clip_fill(df, ["k"], ["t"], ["x"], require_all=False)
+    assert {r.t: r.x for r in out.collect()} == {0: None, 1: 1.0, 2: None, 3: 3.0, 4: None, 5: 5.0}
+    assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
