@@ -63,6 +63,10 @@ def gini_by_group(spark, d):
     return spatial.gini(e, ["iso3"], "value").select("iso3", F.round("gini", 8).alias("gini"))
 
 
+#: Rows of a task that groups by pixel.
+PART = 500_000
+
+
 def _pixels(spark, d):
     return table(spark, d, "lineitem").select(F.col("l_partkey").alias("x"), F.col("l_suppkey").alias("y"), F.col("l_quantity").alias("v"))
 
@@ -88,8 +92,11 @@ def coarsen_5x5(spark, d):
     SELECT p.x, p.y, CASE WHEN t <= 0.05 THEN v END AS v FROM p LEFT JOIN m USING (x, y)"""
 )
 def masked_pixels(spark, d):
-    p = _pixels(spark, d).groupBy("x", "y").agg(F.sum("v").alias("v"))
-    m = table(spark, d, "lineitem").where("l_linenumber < 4").groupBy(F.col("l_partkey").alias("x"), F.col("l_suppkey").alias("y")).agg(F.max("l_tax").alias("t"))
+    """Pixels are nearly as many as rows, so both layers are grouped after their shuffle, in parts of as many rows at any size."""
+    rows = table(spark, d, "lineitem").select(F.col("l_partkey").alias("x"), F.col("l_suppkey").alias("y"), F.col("l_quantity").alias("v"), F.col("l_tax").alias("t"), "l_linenumber")
+    dealt = rows.repartition(-(-rows.count() // PART) or 1, "x", "y")
+    p = dealt.groupBy("x", "y").agg(F.sum("v").alias("v"))
+    m = dealt.where("l_linenumber < 4").groupBy("x", "y").agg(F.max("t").alias("t"))
     return raster.masked(p, m, F.col("t") <= 0.05, "v").select("x", "y", "v")
 
 

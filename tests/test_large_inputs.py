@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from riskweave import session
 from riskweave.operators import panel, rolling, spatial
 from riskweave.plans import indicators as I
+from riskweave.plans import spatial_queries
 from riskweave.operators.panel import entity_quarters
+from tests.conftest import DATA
 
 
 def once(spark, df):
@@ -97,3 +99,9 @@ def test_clip_fill_doesnt_join_the_panel_with_itself(spark):
     out = panel.clip_fill(df, ["k"], ["t"], ["x"], require_all=False)
     assert {r.t: r.x for r in out.collect()} == {0: None, 1: 1.0, 2: None, 3: 3.0, 4: None, 5: 5.0}
     assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_masked_pixels_are_grouped_in_parts_of_bounded_size(spark, monkeypatch):
+    rows = spark.read.parquet(f"{DATA}/lineitem.parquet").count()
+    monkeypatch.setattr(spatial_queries, "PART", 1000, raising=False)
+    assert spatial_queries.masked_pixels(spark, DATA).rdd.getNumPartitions() == -(-rows // 1000)
