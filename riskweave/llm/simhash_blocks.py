@@ -8,8 +8,9 @@ are shuffled, and nodes that collide are verified: first by the bits of all thei
 fingerprints together, then by the exact similarity of their whole sets. Texts
 with equal sets are one node however many documents carry them.
 
-A node is first compared with the least node that it meets in each block. Where
-this leaves a bucket with several classes, each node outside its largest class is
+A node is first compared with the least node that it meets in each block, and with
+the other of each bucket of two, most of which meet by chance; those are done. Where
+this leaves a larger bucket with several classes, each node outside its largest class is
 compared with a member of it, in some of the node's buckets, which joins most of
 what belongs together. Buckets that still hold several classes are compared in
 full, but only pairs across classes, each in one of the buckets that it shares.
@@ -140,11 +141,13 @@ def links(docs: DataFrame, marked: DataFrame, similarity: float = SIMILARITY, sh
     bucket = Window.partitionBy("bucket")
     met = balls(nodes).select("bucket", "fp", F.min("fp").over(bucket).alias("centre"), F.count(F.lit(1)).over(bucket).alias("n"))
     # A node has at most BLOCKS * (BITS + 1) buckets, so they are one row of it.
-    shared = met.where("n > 1").groupBy("fp").agg(F.collect_list(F.struct("bucket", "centre")).alias("at"))
+    shared = met.where("n > 1").groupBy("fp").agg(F.collect_list(F.struct("bucket", "centre", "n")).alias("at"))
     crowd = cut(shared.join(nodes, "fp"))
     signed = lambda name, sig: crowd.select(F.col("fp").alias(name), F.col("sig").alias(sig))
     least = F.array(*[F.array_min(F.expr(f"transform(filter(at, x -> shiftright(x.bucket, {BITS}) = {k}), x -> x.centre)")) for k in range(BLOCKS)])
-    closest = crowd.select(F.explode(F.array_distinct(least)).alias("a"), F.col("fp").alias("b")).where("a < b")
+    # The two of a bucket are compared here, whoever else its block holds, so only larger buckets go on.
+    pair = F.expr("transform(filter(at, x -> x.n = 2), x -> x.centre)")
+    closest = crowd.select(F.explode(F.array_distinct(F.concat(least, pair))).alias("a"), F.col("fp").alias("b")).where("a < b")
     near = _near(closest, signed)
     direct = cut(similar(docs, marked, near, similarity, shingle))
     tried = _near(_tries(_rooted_crowd(crowd, direct)).join(near, ["a", "b"], "left_anti"), signed)
@@ -186,9 +189,9 @@ def _first_shared(bucket: str, a: str, b: str) -> Column:
 
 
 def _rooted_crowd(crowd: DataFrame, found: DataFrame) -> DataFrame:
-    """(fp, sig, root, buckets), one row a node: its class under the links ``found`` and the buckets that it shares."""
+    """(fp, sig, root, buckets), one row a node: its class under the links ``found`` and the buckets that it shares with two others or more."""
     roots = connected_components(found).withColumnRenamed("node", "fp")
-    return cut(crowd.join(roots, "fp", "left").select("fp", "sig", F.coalesce("root", "fp").alias("root"), F.col("at.bucket").alias("buckets")))
+    return cut(crowd.join(roots, "fp", "left").select("fp", "sig", F.coalesce("root", "fp").alias("root"), F.expr("transform(filter(at, x -> x.n > 2), x -> x.bucket)").alias("buckets")))
 
 
 def _tries(crowd: DataFrame) -> DataFrame:

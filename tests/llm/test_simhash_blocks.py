@@ -100,3 +100,11 @@ def test_rows_of_one_id(spark, docs, crowded):
     out = m.deduplicate(docs)
     assert out.columns == docs.columns and m.deduplicate(crowded).columns == crowded.columns
     assert m.deduplicate(out).count() == out.count()
+
+
+def test_buckets_of_two_are_left_out_of_the_later_steps(spark):
+    """Chance meetings are mostly of two; they are compared once and not tried again."""
+    at = "array(struct(1L as bucket, 5L as centre, 2L as n), struct(2L as bucket, 5L as centre, 3L as n))"
+    crowd = spark.sql(f"select 7L as fp, array(1L) as sig, {at} as at")
+    rows = m._rooted_crowd(crowd, spark.createDataFrame([], "a long, b long")).collect()
+    assert [r.buckets for r in rows] == [[2]]
