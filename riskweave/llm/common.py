@@ -59,6 +59,10 @@ def row_key(text: str = "text", id_col: str = "doc_id") -> Column:
     )
 
 
+#: How many edges a task of ``connected_components`` takes.
+EDGES_A_TASK = 1 << 16
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Components of the undirected edges (a, b): one row (node, root) per node, root the least.
 
@@ -68,32 +72,27 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     ``min`` aggregate, which combines before the shuffle, and it is joined back
     by a join that AQE can split, so a hub with very many edges is no
     bottleneck. Each round is cut through the checkpoint folder.
+
+    The edges are counted once and every stage has a task for each
+    ``EDGES_A_TASK`` of them at most, since what a round costs the driver and
+    the disk follows its tasks; those of one task need no shuffle.
     """
     links = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    tasks = -(-links.count() // EDGES_A_TASK) or 1
+    links = links.coalesce(tasks)
     for _ in range(max_rounds):
-        both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = links.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("e.*")
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = (
-            both.join(least, "u")
-            .where("v > u")
-            .select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .where("u <> v")
-            .distinct()
-        )
+        # Each v > u is one edge, so this makes no more rows than there are edges.
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).coalesce(tasks)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(least, "u")
-        small = cut(
-            joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .unionByName(joined.select("u", F.col("m").alias("v")))
-            .where("u <> v")
-            .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-            .distinct()
-        )
-        # A star forest: no root has an edge to a smaller node.
-        stars = small.join(small.select(F.col("u").alias("v")).distinct(), "v", "left_semi").isEmpty()
-        one_root = stars and small.groupBy("u").count().where("count > 1").isEmpty()
-        links = small
-        if one_root:
+        hooked = F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))
+        each = large.join(least, "u").select(F.explode(hooked).alias("e")).select("e.*").where("u <> v").coalesce(tasks)
+        links = cut(each.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct().coalesce(tasks)).coalesce(tasks)
+        # A star forest: every node has one greater or smaller neighbour at most, and no root has an edge to a smaller node.
+        ends = links.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("down")), F.struct(F.col("v").alias("node"), F.lit(0).alias("down")))).alias("e"))
+        ends = ends.groupBy("e.node").agg(F.sum("e.down").alias("down"), F.count("*").alias("n")).coalesce(tasks)
+        if ends.where("down > 1 or down = 1 and n > 1").isEmpty():
             break
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")

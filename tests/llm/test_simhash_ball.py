@@ -3,9 +3,11 @@ from __future__ import annotations
 import random
 import re
 
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from riskweave.llm import common
 from riskweave.llm import simhash_ball as s
 from riskweave.llm.common import connected_components
 from tests.conftest import DATA
@@ -95,6 +97,29 @@ def test_components_of_chains_and_stars(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+@pytest.mark.parametrize("edges_a_task", [1 << 16, 100, 1])
+def test_components_take_tasks_by_their_edges(spark, monkeypatch, edges_a_task):
+    """Whatever the number of shuffle partitions: the tasks of all rounds, empty ones too, weigh on the driver and the disk."""
+    monkeypatch.setattr(common, "EDGES_A_TASK", edges_a_task)
+    edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 300)], "a long, b long")
+    given, context = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}, spark.sparkContext
+    context.setJobGroup("components", "")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = {r.node: r.root for r in connected_components(edges).collect()}
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in given.items():
+            spark.conf.set(k, v)
+    assert got == {**dict.fromkeys(range(61), 0), **dict.fromkeys(range(1000, 1300), 1000)}
+    told = context.statusTracker()
+    stages = {i for j in told.getJobIdsForGroup("components") for i in told.getJobInfo(j).stageIds}
+    tasks = sum(x.numTasks for i in stages if (x := told.getStageInfo(i)) and x.numCompletedTasks)
+    if edges_a_task >= 1000:  # reading and counting the edges takes more than the rounds
+        assert tasks < 1000
+
+
 def test_bytes_outside_ascii_keep_their_case():
     assert s.fingerprint("Ä b c".encode()) != s.fingerprint("ä b c".encode())
     assert s.fingerprint("A b c d".encode()) == s.fingerprint("a B\tc\x0bd".encode())
